@@ -33,8 +33,7 @@ def is_track_uri(uri: Column) -> Column:
 
 def track_id_of(uri: Column) -> Column:
     """Text after the track prefix, NULL for any other URI."""
-    start = len(fixed.TRACK_URI_PREFIX) + 1
-    return F.when(is_track_uri(uri), F.substring(uri, start, 1 << 20))
+    return F.when(is_track_uri(uri), F.substr(uri, F.lit(len(fixed.TRACK_URI_PREFIX) + 1)))
 
 
 def last_uri_piece(uri: Column) -> Column:
