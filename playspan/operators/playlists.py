@@ -77,13 +77,11 @@ def playlist_coverage(
     per_track = track_plays(plays)
     n = F.coalesce(F.col("play_count"), F.lit(0))
     weight = F.lit(1) if exact else F.greatest(n, F.lit(1))
-    rows = (
-        playlists.select(*owner)
-        .join(playlist_tracks.select("playlist_id", "track_id", "added_at"), "playlist_id")
-        .join(per_track, "track_id", "left")
+    rows = playlist_tracks.select("playlist_id", "track_id", "added_at").join(
+        per_track, "track_id", "left"
     )
     track = F.col("track_id")
-    totals = rows.groupBy(*owner).agg(
+    totals = rows.groupBy("playlist_id").agg(
         F.countDistinct(track).alias("total_tracks"),
         F.countDistinct(F.when(n > 0, track)).alias("played_tracks"),
         F.countDistinct(F.when(F.col("play_count").isNull(), track)).alias("unplayed_tracks"),
@@ -100,7 +98,7 @@ def playlist_coverage(
     minutes = F.col("_ms").cast("double") / 1000.0 / 60.0
     mean_minutes = ratio(F.col("_ms"), F.col("_ms_rows")) / 1000.0 / 60.0
     share = F.lit(100.0) * F.col("played_tracks") / F.nullif(F.col("total_tracks").cast("double"), F.lit(0.0))
-    return totals.select(
+    return playlists.select(*owner).join(totals, "playlist_id").select(
         *owner,
         "total_tracks",
         "played_tracks",

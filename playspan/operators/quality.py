@@ -75,7 +75,7 @@ def malformed_ids(df: DataFrame) -> DataFrame:
 
     def bad(column: str, prefix: str) -> Column:
         c = F.col(column)
-        return ~c.startswith(prefix) & (F.length(c) != fixed.NATIVE_ID_LENGTH)
+        return ~c.like(prefix + "%") & (F.length(c) != fixed.NATIVE_ID_LENGTH)
 
     return df.filter(
         bad("artist_id", fixed.ARTIST_FALLBACK_PREFIX) | bad("album_id", fixed.ALBUM_FALLBACK_PREFIX)
