@@ -134,13 +134,9 @@ def consecutive_listening_daily(fact: DataFrame, *, ordered: bool = True) -> Dat
         ),
         total.alias("total_consecutive_time_minutes"),
         (F.col("_most").cast("double") / 100.0).alias("max_consecutive_time_minutes"),
-        (F.round(ratio(F.col("_hundredths"), F.col("_timed")), 0) / 100.0).alias(
-            "avg_consecutive_time_minutes"
-        ),
+        round_to(ratio(total, F.col("_timed")), 2).alias("avg_consecutive_time_minutes"),
         round_to(F.col("_longest"), 2).alias("longest_session_length_minutes"),
-        (F.round(ratio(F.col("_hundredths"), F.col("total_sessions")), 0) / 100.0).alias(
-            "avg_time_per_session_minutes"
-        ),
+        round_to(ratio(total, F.col("total_sessions")), 2).alias("avg_time_per_session_minutes"),
         "first_session_start",
         "last_session_end",
     )

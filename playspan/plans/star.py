@@ -154,10 +154,12 @@ def with_dimension_keys(plays: DataFrame, tracks, artists, albums, slots: DataFr
     combinations = plays.select(*PLAY_IDS).distinct()
     looked_up = (
         combinations.join(tracks.select("track_id", "track_key"), "track_id", "left")
+        .join(slots, "track_id", "left")
         .join(artists.select("artist_id", "artist_key"), "artist_id", "left")
         .join(albums.select("album_id", "album_key"), "album_id", "left")
-        .join(slots, "track_id", "left")
     )
+    # As a table its real size is known, so it is broadcast only if it is small enough.
+    looked_up = stage(looked_up, "keys")
     on = F.lit(True)
     for c in PLAY_IDS:
         on = on & F.col(f"p.{c}").eqNullSafe(F.col(f"k.{c}"))

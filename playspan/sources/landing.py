@@ -13,6 +13,9 @@ from playspan.sources import schemas
 
 BATCH_PARTS = ("year", "month", "day")
 
+# Without these, times would be cut to milliseconds when written.
+CSV_OUT = {"header": "true", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 
 def read_csv(
     spark: SparkSession, paths: str | Sequence[str], schema: str, loaded_at: Column | None = None
@@ -24,7 +27,8 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with header, microseconds kept."""
+    df.write.mode("overwrite").options(**CSV_OUT).csv(path)
 
 
 def write_landing(df: DataFrame, root: str, category: str, at: str) -> None:
@@ -39,7 +43,7 @@ def write_landing(df: DataFrame, root: str, category: str, at: str) -> None:
         df.withColumns(parts)
         .write.mode("overwrite")
         .partitionBy(*BATCH_PARTS)
-        .option("header", True)
+        .options(**CSV_OUT)
         .csv(f"{root}/{category}")
     )
 
