@@ -62,7 +62,7 @@ def raw_history(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("n", F.when(bought, k).otherwise(k + 20))
     )
     uri = (
-        F.when(kind == "signup", text("spotify:episode:e", k))
+        F.when(kind == "signup", text(fixed.EPISODE_URI_PREFIX + "e", k))
         .when((kind == "error") & (k % 10 == 0), F.lit(None))
         .otherwise(text(fixed.TRACK_URI_PREFIX + "t", n))
     )
@@ -260,6 +260,9 @@ def models(spark: SparkSession, folder: str) -> Models:
     return _models[key]
 
 
-def forget() -> None:
-    """Compute all models anew when they are next asked for."""
-    _models.clear()
+def forget(name: str | None = None) -> None:
+    """Compute all models, or the named one, anew when they are next asked for."""
+    if name is None:
+        _models.clear()
+    for made in _models.values():
+        made._made.pop(name, None)

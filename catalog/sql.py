@@ -119,7 +119,7 @@ PARTS = {
             'Track ' || n AS master_metadata_track_name,
             CASE WHEN n % 20 <> 7 THEN 'Artist ' || (n % 20) END AS master_metadata_album_artist_name,
             'Album ' || (n % 40) AS master_metadata_album_album_name,
-            CASE WHEN event_type = 'signup' THEN 'spotify:episode:e' || k
+            CASE WHEN event_type = 'signup' THEN '{fixed.EPISODE_URI_PREFIX}e' || k
                  WHEN event_type = 'error' AND k % 10 = 0 THEN NULL
                  ELSE '{PREFIX}t' || n END AS {URI},
             CASE WHEN value > 100 THEN 'clickrow' ELSE 'trackdone' END AS reason_start,

@@ -6,6 +6,7 @@ library replaces; everything else in the library is parameterised on them.
 
 # URI forms and key text
 TRACK_URI_PREFIX = "spotify:track:"
+EPISODE_URI_PREFIX = "spotify:episode:"
 SURROGATE_NULL_TEXT = "_dbt_utils_surrogate_key_null_"
 SURROGATE_SEPARATOR = "-"
 ARTIST_FALLBACK_PREFIX = "ext_artist_"

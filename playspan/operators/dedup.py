@@ -29,7 +29,7 @@ def first_per_key(
     name = rank or "_rank"
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     kept = ranked.filter(F.col(name) <= keep)
-    return kept if rank else kept.drop(name)
+    return kept.withColumn(rank, F.col(rank).cast("long")) if rank else kept.drop(name)
 
 
 def latest_per_key(

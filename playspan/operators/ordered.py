@@ -19,8 +19,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from playspan.session import stage
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 16_384
-SAMPLES_PER_RANGE = 16
+# Bounds the sampled keys on the driver, the cut points in the plan and the per-range
+# tables that are broadcast. With more rows than both allow, ranges get larger.
+MAX_RANGES = 65_536
+SAMPLES_PER_RANGE = 8
 
 RANGE = "_range"
 
@@ -102,8 +104,8 @@ def plan_ranges(
 ) -> Ranges:
     """Choose cut points for ``df`` ordered by ``columns`` (ascending, NULLS LAST).
 
-    The driver receives at most about ``SAMPLES_PER_RANGE * MAX_RANGES`` sampled
-    keys, whatever the size of ``df``. ``df`` should be cheap to read twice.
+    The driver receives about ``SAMPLES_PER_RANGE`` sampled keys per range, so at most
+    half a million whatever the size of ``df``. ``df`` should be cheap to read twice.
     """
     schema = _sort_schema(df, columns)
     rows = df.count()

@@ -32,7 +32,11 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_landing(df: DataFrame, root: str, category: str, at: str) -> None:
-    """CSV under category/year/month/day of the ``at`` column."""
+    """CSV under category/year/month/day of the ``at`` column.
+
+    Rows of a day are gathered into few files; a day that is much larger than others is
+    split over several tasks.
+    """
     when = F.col(at)
     parts = {
         "year": F.date_format(when, "yyyy"),
@@ -41,6 +45,7 @@ def write_landing(df: DataFrame, root: str, category: str, at: str) -> None:
     }
     (
         df.withColumns(parts)
+        .hint("rebalance", *BATCH_PARTS)
         .write.mode("overwrite")
         .partitionBy(*BATCH_PARTS)
         .options(**CSV_OUT)
