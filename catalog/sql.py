@@ -386,7 +386,7 @@ PARTS = {
         SELECT * EXCLUDE (place) FROM (
             SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                 ORDER BY l_shipdate ASC NULLS LAST, {ties(LINE_REST)}) AS place
-            FROM lineitem WHERE l_returnflag IN ('A', 'R')) WHERE place = 1""",
+            FROM lineitem) WHERE place = 1""",
     "old_balances": """
         SELECT c_custkey, c_acctbal AS balance, c_mktsegment AS note,
             TIMESTAMP '1990-01-01 00:00:00' AS loaded_at FROM customer""",
@@ -737,7 +737,7 @@ def bodies() -> dict[str, str]:
         lag_over_distinct="""
             SELECT l_orderkey, prev_session, l_orderkey - prev_session AS gap FROM (
                 SELECT l_orderkey, lag(l_orderkey) OVER (ORDER BY l_orderkey) AS prev_session
-                FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_quantity >= 49))
+                FROM (SELECT DISTINCT l_orderkey FROM lineitem))
             WHERE l_orderkey - prev_session > 1""",
         sort_daily_rank="""
             SELECT played_date, track_id, count(*) AS play_count FROM stg_plays GROUP BY 1, 2

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from playspan.operators.merge import new_rows, upsert
 
@@ -52,12 +52,28 @@ def load_once(spark: SparkSession, path: str, load: Callable[[], DataFrame]) ->
 def append_new(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Insert-ignore into the table at ``path`` by appending only rows with new keys.
 
-    The files already there are not rewritten, and running it again adds nothing.
+    The files already there are not rewritten, and running it again adds nothing. Known
+    keys are only looked for within the batch's span of each time column of the key, so
+    row groups of other times are skipped by their statistics.
     """
-    old = spark.read.parquet(path) if exists(spark, path) else spark.createDataFrame([], new.schema)
+    old = spark.createDataFrame([], new.schema)
+    if exists(spark, path):
+        old = within_span(spark.read.parquet(path), new, keys)
     new_rows(old, new, keys).write.mode("append").parquet(path)
 
 
+def within_span(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``old`` without rows that cannot have a key of ``new``: those outside its times."""
+    times = [k for k in keys if isinstance(new.schema[k].dataType, (T.TimestampType, T.DateType))]
+    if not times:
+        return old
+    ends = [f(k).alias(f"{n}_{k}") for k in times for n, f in (("low", F.min), ("high", F.max))]
+    span = new.agg(*ends).first()
+    for k in times:
+        old = old.filter(F.col(k).between(F.lit(span[f"low_{k}"]), F.lit(span[f"high_{k}"])))
+    return old
+
+
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Completed versions of a replaced table, oldest first."""
     system, folder = _files(spark, base)
