@@ -192,7 +192,9 @@ class Models:
 
     def _make(self, name: str) -> DataFrame:
         if name.startswith("raw_"):
-            return globals()[name](self.spark, self.folder)
+            raw = globals()[name](self.spark, self.folder)
+            # derived by grouping here, but a stored table in use
+            return stage(raw, name) if name == "raw_playlist_tracks" else raw
         made = getattr(self, f"_{name}")()
         return made if name in VIEWS else stage(made, name)
 

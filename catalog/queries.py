@@ -908,27 +908,35 @@ def stg_history(spark, folder):
 
 @query
 def dim_tracks(spark, folder):
-    return models(spark, folder).dim_tracks
+    m = models(spark, folder)
+    return star.dim_tracks(m.stg_plays, m.stg_history)
 
 
 @query
 def dim_artists(spark, folder):
-    return models(spark, folder).dim_artists
+    m = models(spark, folder)
+    return star.dim_artists(m.stg_artists, m.stg_plays, m.stg_history)
 
 
 @query
 def dim_albums(spark, folder):
-    return models(spark, folder).dim_albums
+    m = models(spark, folder)
+    return star.dim_albums(m.stg_plays, m.stg_history)
 
 
 @query
 def dim_playlists(spark, folder):
-    return models(spark, folder).dim_playlists.drop("dbt_updated_at")
+    m = models(spark, folder)
+    return star.dim_playlists(m.stg_playlists, m.stg_playlist_tracks).drop("dbt_updated_at")
 
 
 @query
 def fct_history(spark, folder):
-    return models(spark, folder).fct_history
+    m = models(spark, folder)
+    return star.fact_plays(
+        m.stg_plays, m.stg_history, m.dim_tracks, m.dim_artists, m.dim_albums, m.dim_playlists,
+        m.stg_playlist_tracks,
+    )
 
 
 @query

@@ -27,72 +27,83 @@ SAMPLES_PER_RANGE = 8
 RANGE = "_range"
 
 
+LAST = 2**63 - 1
+
+
+@dataclass(frozen=True)
+class SortPart:
+    """A never-NULL column to sort and compare by."""
+
+    name: str
+    value: Column
+    kind: T.DataType
+
+
+def sort_parts(df: DataFrame, columns: Sequence[str]) -> list[SortPart]:
+    """``columns`` as parts whose ascending order is theirs with NULLS LAST.
+
+    Times and small numbers are longs with NULL above them all; text and big numbers have
+    a part in front that says whether they are NULL.
+    """
+    parts = []
+    for i, column in enumerate(columns):
+        kind, held = df.schema[column].dataType, F.col(column)
+        name = f"_sort{i}"
+        if isinstance(kind, T.TimestampType):
+            small = F.unix_micros(held)
+        elif isinstance(kind, T.DateType):
+            small = F.unix_date(held)
+        elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
+            small = held
+        elif isinstance(kind, (T.StringType, T.LongType)):
+            filler = F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
+            parts.append(SortPart(f"_null{i}", held.isNull().cast("int"), T.IntegerType()))
+            parts.append(SortPart(name, F.coalesce(held, filler), kind))
+            continue
+        else:
+            raise TypeError(f"cannot cut ranges on {column}: {kind.simpleString()}")
+        parts.append(SortPart(name, F.coalesce(small.cast("long"), F.lit(LAST)), T.LongType()))
+    return parts
+
+
 @dataclass(frozen=True)
 class Ranges:
-    """Cut points of an order: row r is in range (number of cuts <= r)."""
+    """Cut points of an order: a row is in range (number of cuts <= row)."""
 
-    columns: tuple[str, ...]
-    schema: T.StructType
+    parts: tuple[SortPart, ...]
     cuts: tuple[tuple, ...]
 
     @property
     def count(self) -> int:
         return len(self.cuts) + 1
 
-    def index(self) -> Column:
-        """Range number of a row, by binary search over the cut points."""
+    def assign(self, df: DataFrame) -> DataFrame:
+        """Add the range number of each row, by binary search over the cut points."""
         if not self.cuts:
-            return F.lit(0)
-        names = self.schema.fieldNames()
-        rows = [{n: v for n, v in zip(names, cut) if v is not None} for cut in self.cuts]
-        cuts = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(self.schema))
-        key = F.struct(*sort_fields(self.columns, self.schema))
-        size = len(self.cuts)
-        steps = [1 << i for i in reversed(range(size.bit_length()))]
-        return F.reduce(
-            F.array(*(F.lit(s) for s in steps)),
-            F.lit(0),
-            lambda low, step: F.when(
-                (low + step <= size) & (F.get(cuts, low + step - 1) <= key), low + step
-            ).otherwise(low),
-        )
-
-
-def sort_fields(columns: Sequence[str], schema: T.StructType) -> list[Column]:
-    """NULLS LAST sort fields of ``columns``; timestamps as microseconds, dates as days."""
-    fields = []
-    for i, column in enumerate(columns):
-        flag, value = schema.fields[2 * i], schema.fields[2 * i + 1]
-        fields += [F.col(column).isNull().alias(flag.name), _sortable(column, value)]
-    return fields
+            return df.withColumn(RANGE, F.lit(0))
+        points = [
+            F.from_json(F.lit(json.dumps([cut[i] for cut in self.cuts])), T.ArrayType(part.kind))
+            for i, part in enumerate(self.parts)
+        ]
+        names = [part.name for part in self.parts]
+        steps = [1 << i for i in reversed(range(len(self.cuts).bit_length()))]
 
+        def advance(low: Column, step: Column) -> Column:
+            # Past the last cut the arrays yield NULL and the search stays where it is.
+            reached = _not_after([F.get(p, low + step - 1) for p in points], names)
+            return F.when(reached, low + step).otherwise(low)
 
-def _sortable(column: str, field: T.StructField) -> Column:
-    source = F.col(column)
-    kind = field.metadata.get("from")
-    if kind == "timestamp":
-        source = F.unix_micros(source)
-    elif kind == "date":
-        source = F.unix_date(source)
-    return source.cast(field.dataType).alias(field.name)
+        found = F.reduce(F.array(*(F.lit(s) for s in steps)), F.lit(0), advance)
+        helpers = {part.name: part.value for part in self.parts}
+        return df.withColumns(helpers).withColumn(RANGE, found).drop(*helpers)
 
 
-def _sort_schema(df: DataFrame, columns: Sequence[str]) -> T.StructType:
-    fields = []
-    for i, column in enumerate(columns):
-        declared = df.schema[column].dataType
-        meta: dict = {}
-        if isinstance(declared, T.TimestampType):
-            kind, meta = T.LongType(), {"from": "timestamp"}
-        elif isinstance(declared, T.DateType):
-            kind, meta = T.IntegerType(), {"from": "date"}
-        elif isinstance(declared, (T.StringType, T.IntegralType, T.BooleanType)):
-            kind = declared
-        else:
-            raise TypeError(f"cannot cut ranges on {column}: {declared.simpleString()}")
-        fields.append(T.StructField(f"n{i}", T.BooleanType()))
-        fields.append(T.StructField(f"v{i}", kind, metadata=meta))
-    return T.StructType(fields)
+def _not_after(point: list[Column], names: list[str]) -> Column:
+    """Whether ``point`` <= row, part by part."""
+    here, value = point[0], F.col(names[0])
+    if len(names) == 1:
+        return here <= value
+    return (here < value) | ((here == value) & _not_after(point[1:], names[1:]))
 
 
 def plan_ranges(
@@ -107,19 +118,20 @@ def plan_ranges(
     The driver receives about ``SAMPLES_PER_RANGE`` sampled keys per range, so at most
     half a million whatever the size of ``df``. ``df`` should be cheap to read twice.
     """
-    schema = _sort_schema(df, columns)
+    parts = tuple(sort_parts(df, columns))
     rows = df.count()
     if ranges is None:
         at_least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ranges = max(-(-rows // rows_per_range), at_least)
     ranges = max(1, min(ranges, MAX_RANGES, rows))
     if ranges == 1:
-        return Ranges(tuple(columns), schema, ())
+        return Ranges(parts, ())
     fraction = min(1.0, ranges * SAMPLES_PER_RANGE / rows)
-    keys = df.select(F.struct(*sort_fields(columns, schema)).alias("key"))
-    sampled = keys.sample(fraction, seed=17).distinct().orderBy("key").collect()
-    picked = [tuple(sampled[len(sampled) * i // ranges].key) for i in range(1, ranges) if sampled]
-    return Ranges(tuple(columns), schema, tuple(dict.fromkeys(picked)))
+    keys = df.sample(fraction, seed=17).select(*(p.value.alias(p.name) for p in parts))
+    sampled = keys.distinct()
+    sampled = sampled.orderBy(*sampled.columns).collect()
+    picked = [tuple(sampled[len(sampled) * i // ranges]) for i in range(1, ranges) if sampled]
+    return Ranges(parts, tuple(dict.fromkeys(picked)))
 
 
 def dense_key(
@@ -145,7 +157,7 @@ def dense_key(
         # One range by count: fewer rows than fit into a single task by definition.
         numbered = df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
         return numbered.select(name, *df.columns)
-    ranged = df.withColumn(RANGE, cut.index())
+    ranged = cut.assign(df)
     # One row per range (MAX_RANGES at most), so this window and broadcast are bounded.
     before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     shifts = (

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from playspan import fixed
 from playspan.functions.calendar import minutes_between
-from playspan.operators.ordered import RANGE, ROWS_PER_RANGE, Ranges, plan_ranges, sort_fields
+from playspan.operators.ordered import RANGE, ROWS_PER_RANGE, Ranges, plan_ranges, sort_parts
 from playspan.session import stage
 
 AT = "played_at"
@@ -131,7 +131,7 @@ def _scan_ranges(df: DataFrame, cut: Ranges, by, ties, seen, rule) -> DataFrame:
     opened = F.when(inner, _opens_session(prev, row, *rule)).otherwise(0)
     run_opened = inner & (_opens_run(prev, row) == 1)
     return (
-        df.withColumn(RANGE, cut.index())
+        cut.assign(df)
         .withColumns(
             {
                 **{f"_prev_{c}": F.lag(c).over(within) for c in seen},
@@ -223,9 +223,13 @@ def _join_carried(numbered: DataFrame, carried: DataFrame, by) -> DataFrame:
 def _users_met_by_cuts(df: DataFrame, cut: Ranges, by) -> DataFrame:
     """Rows of users that a cut point falls into. Only they can continue in the next
     range, and there are no more of them than cuts."""
-    schema = T.StructType(cut.schema.fields[: 2 * len(by)])
-    met = list(dict.fromkeys(point[: 2 * len(by)] for point in cut.cuts))
-    wanted = df.sparkSession.createDataFrame(met, schema)
-    wanted = wanted.select(F.struct(*wanted.columns).alias("_user"))
-    keyed = df.withColumn("_user", F.struct(*sort_fields(by, schema)))
-    return keyed.join(F.broadcast(wanted), "_user", "left_semi").drop("_user")
+    parts = sort_parts(df, by)
+    met = list(dict.fromkeys(point[: len(parts)] for point in cut.cuts))
+    fields = [T.StructField(part.name, part.kind, False) for part in parts]
+    wanted = df.sparkSession.createDataFrame(met, T.StructType(fields))
+    helpers = {part.name: part.value for part in parts}
+    return (
+        df.withColumns(helpers)
+        .join(F.broadcast(wanted), list(helpers), "left_semi")
+        .drop(*helpers)
+    )

@@ -64,13 +64,18 @@ def append_new(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[st
 
 def within_span(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``old`` without rows that cannot have a key of ``new``: those outside its times."""
-    times = [k for k in keys if isinstance(new.schema[k].dataType, (T.TimestampType, T.DateType))]
+    times = [k for k in keys if isinstance(new.schema[k].dataType, T.TimestampType)]
     if not times:
         return old
-    ends = [f(k).alias(f"{n}_{k}") for k in times for n, f in (("low", F.min), ("high", F.max))]
-    span = new.agg(*ends).first()
+    ends = {
+        f"{end}_{k}": F.unix_micros(f(k))
+        for k in times
+        for end, f in (("low", F.min), ("high", F.max))
+    }
+    span = new.agg(*(c.alias(n) for n, c in ends.items())).first()
     for k in times:
-        old = old.filter(F.col(k).between(F.lit(span[f"low_{k}"]), F.lit(span[f"high_{k}"])))
+        low, high = (F.timestamp_micros(F.lit(span[f"{end}_{k}"])) for end in ("low", "high"))
+        old = old.filter(F.col(k).between(low, high))
     return old
 
 
