@@ -118,12 +118,16 @@ def number_plays(
     )
 
 
+def _within(by, ties):
+    """Order within a range, and within a user if given."""
+    order = [F.col(c).asc_nulls_last() for c in (AT, *ties)]
+    return Window.partitionBy(RANGE, *by).orderBy(*order)
+
+
 def _scan_ranges(df: DataFrame, cut: Ranges, by, ties, seen, rule) -> DataFrame:
     """What can be said from within a range: the previous play, the position, and the
     sessions and runs opened so far, not counting the first play of the range."""
-    within = Window.partitionBy(RANGE, *by).orderBy(
-        *(F.col(c).asc_nulls_last() for c in (AT, *ties))
-    )
+    within = _within(by, ties)
     so_far = within.rowsBetween(Window.unboundedPreceding, 0)
     inner = F.col("_at") > 1
     prev = _Play(inner, {c: F.col(f"_prev_{c}") for c in seen})
@@ -155,14 +159,18 @@ def _carried(plays: DataFrame, cut: Ranges, by, ties, seen, rule) -> DataFrame:
     slim = plays.select(*dict.fromkeys([*by, *seen, *ties]))
     if by:
         slim = _users_met_by_cuts(slim, cut, by)
-    first, last = F.col("_at") == 1, F.struct(*seen)
+    first, row = F.col("_at") == 1, F.struct(*seen)
+    final = F.lead(F.lit(1)).over(_within(by, ties)).isNull()
+    # The first and the last row of a range say all there is to carry.
     parts = (
         _scan_ranges(slim, cut, by, ties, seen, rule)
+        .withColumn("_final", final)
+        .filter(first | F.col("_final"))
         .groupBy(RANGE, *by)
         .agg(
             F.max("_at").alias("_rows"),
-            F.max(F.when(first, last)).alias("_first"),
-            F.max_by(last, F.col("_at")).alias("_last"),
+            F.max(F.when(first, row)).alias("_first"),
+            F.max(F.when(F.col("_final"), row)).alias("_last"),
             F.max("_sessions").alias("_inner_sessions"),
             F.max("_run_at").alias("_inner_run_at"),
         )
