@@ -201,10 +201,12 @@ def fact_plays(
         keep_range=True,
         **numbering,
     )
-    # Copies of a play are neighbours within a range, so counting them needs no shuffle.
+    # Copies of a play are neighbours within a range: counting rows of the same place in
+    # the order needs neither a shuffle nor another sort.
     by = list(numbering.get("by", ()))
-    same = Window.partitionBy(RANGE, *by, "played_at", "play_id")
-    copies = F.count("*").over(same)
+    order = [F.col(c).asc_nulls_last() for c in ("played_at", "play_id")]
+    place = Window.partitionBy(RANGE, *by).orderBy(*order)
+    copies = F.count("*").over(place.rangeBetween(Window.currentRow, Window.currentRow))
     local = local_time(F.col("played_at"))
     shown = numbered.withColumn("_copies", copies).withColumns(
         {
