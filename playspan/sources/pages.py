@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from playspan.sources import schemas
-
 
 def read_pages(spark: SparkSession, path: str, schema: str, *extra: str) -> DataFrame:
     """JSON lines, one page per line; ``extra`` are further columns as DDL."""
