@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playspan.llm import bpe, langid, mixing
+from playspan.llm import bpe, fertility, langid, mixing, ranking
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +26,16 @@ def op1_language(spark, folder):
     return langid.digest(table(spark, folder, "documents"))
 
 
+@query
+def op2_fertility(spark, folder):
+    return fertility.digest(table(spark, folder, "documents"))
+
+
+@query
+def op5_ranking(spark, folder):
+    return ranking.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op6_mix(spark, folder):
     return mixing.digest(table(spark, folder, "documents"))
