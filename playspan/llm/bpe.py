@@ -5,7 +5,9 @@ short word the part boundaries and the ranks of adjacent parts lie in two plain
 smallest rank is found by a scan, its boundary is deleted and the two ranks beside it are
 looked up again, until no adjacent pair is in the merge table. Words above ``SHORT`` bytes
 take the same merges off a heap, since repeated scans would be quadratic. Words met before
-are kept per Python worker, ``KEPT`` at most.
+are kept per Python worker, twice ``KEPT`` at most. A blank between two other characters
+always begins a word of the pattern, so a text is looked up blank by blank first, and the
+pattern is only run on what was not met yet.
 
 Null and empty texts have no tokens and decode to an empty text. Whole texts are encoded,
 whatever their length; rows and other columns are passed through.
@@ -27,7 +29,7 @@ from playspan.llm.common import free_name, kept_in_worker, quoted
 #: Fixed value: the word pattern of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SHORT = 128
-KEPT = 150_000
+KEPT = 400_000
 
 
 @lru_cache(maxsize=None)
@@ -62,12 +64,15 @@ class Encoder:
         self.ids = {raw(t): i for t, i in spec["model"]["vocab"].items() if t not in special}
         pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
         self.ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
+        self.first = {a + b: i for (a, b), i in self.ranks.items() if len(a) == len(b) == 1}
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in special.items()}
         self.special = special
         self.split = regex.compile(PATTERN).findall
         longest = sorted(special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")").split if special else None
-        self.met: dict[str, tuple[bytes, bytes]] = {}
+        self.blanks = regex.compile(r"\s | \s|^ | $").search
+        self.met, self.old = {}, {}  # words to (ids, bytes)
+        self.chunks, self.old_chunks = {}, {}  # the same for what stands from blank to blank
 
     def merged(self, word: bytes) -> list[int]:
         return self._scan(word) if len(word) <= SHORT else self._heap(word)
@@ -75,7 +80,8 @@ class Encoder:
     def _scan(self, word: bytes) -> list[int]:
         rank, none = self.ranks.get, len(self.ranks)
         cuts = list(range(len(word) + 1))
-        ranks = [rank((word[i : i + 1], word[i + 1 : i + 2]), none) for i in range(len(word) - 1)]
+        first = self.first.get
+        ranks = [first(word[i : i + 2], none) for i in range(len(word) - 1)]
         while ranks:
             least = min(ranks)
             if least == none:
@@ -117,25 +123,46 @@ class Encoder:
 
     def of_word(self, word: str) -> tuple[bytes, bytes]:
         """The ids as decimal text, a comma after each, and the bytes these ids decode to."""
-        ids = self.merged(word.encode("utf-8"))
-        out = b"".join(b"%d," % i for i in ids), b"".join(self.tokens[i] for i in ids)
+        out = self.old.get(word)
+        if out is None:
+            ids = self.merged(word.encode("utf-8"))
+            out = b"".join([b"%d," % i for i in ids]), b"".join([self.tokens[i] for i in ids])
         if len(self.met) >= KEPT:
-            self.met.clear()
+            self.met, self.old = {}, self.met
         self.met[word] = out
         return out
 
+    def of_words(self, text: str) -> tuple[bytes, bytes]:
+        met = self.met
+        found = [met.get(word) or self.of_word(word) for word in self.split(text)]
+        return b"".join([a for a, _ in found]), b"".join([b for _, b in found])
+
+    def of_chunk(self, chunk: str) -> tuple[bytes, bytes]:
+        out = self.old_chunks.get(chunk) or self.of_words(chunk)
+        if len(chunk) <= SHORT:
+            if 2 * len(self.chunks) >= KEPT:
+                self.chunks, self.old_chunks = {}, self.chunks
+            self.chunks[chunk] = out
+        return out
+
     def encode(self, text: str) -> tuple[bytes, str]:
         """All ids of a text as decimals, each followed by a comma, and the decoded text."""
-        ids, raw, met = [], [], self.met
+        ids, raw = [], []
         for piece in self.cut(text) if self.cut else [text]:
             if piece in self.special:
                 ids.append(b"%d," % self.special[piece])
                 raw.append(piece.encode())
-                continue
-            for word in self.split(piece):
-                a, b = met.get(word) or self.of_word(word)
+            elif not piece or self.blanks(piece):
+                a, b = self.of_words(piece)
                 ids.append(a)
                 raw.append(b)
+            else:
+                known = self.chunks
+                found = [known.get(c) or self.of_chunk(c) for c in piece.replace(" ", "\0 ").split("\0")] if (
+                    "\0" not in piece
+                ) else [self.of_words(piece)]
+                ids += [a for a, _ in found]
+                raw += [b for _, b in found]
         return b"".join(ids), b"".join(raw).decode("utf-8", "replace")
 
 
