@@ -6,9 +6,9 @@ reads again as the next stage's ``docs``. All but the last return the columns of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playspan.llm import bpe, langid, mixing
+from playspan.llm import bpe, forest, langid, mixing, suffix
 from playspan.session import stage
 
 
@@ -17,6 +17,16 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near-duplicates."""
+    return forest.keep_one_each(docs)
+
+
+def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages of 200 bytes or more that start elsewhere too; every row stays."""
+    return suffix.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each source to its target; a document comes once per epoch it is taken in."""
     return mixing.mix(docs)
@@ -29,6 +39,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language", identify),
+    ("near_dedup", near_dedup),
+    ("passage_dedup", passage_dedup),
     ("mix", mix),
     ("encode", encode),
 ]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playspan.llm import bpe, fertility, forest, langid, mixing, ranking
+from playspan.llm import bpe, fertility, forest, langid, mixing, ranking, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -36,6 +36,11 @@ def op3_forest(spark, folder):
     return forest.digest(table(spark, folder, "documents"))
 
 
+@query
+def op4_suffix(spark, folder):
+    return suffix.digest(table(spark, folder, "documents"))
+
+
 @query
 def op5_ranking(spark, folder):
     return ranking.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
