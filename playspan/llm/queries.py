@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playspan.llm import bpe, fertility, forest, langid, mixing, ranking, suffix
+from playspan.llm import automaton, bpe, fertility, forest, langid, mixing, ranking, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -54,3 +54,8 @@ def op6_mix(spark, folder):
 @query
 def op7_bpe(spark, folder):
     return bpe.digest(table(spark, folder, "documents"))
+
+
+@query
+def op9_automaton(spark, folder):
+    return automaton.digest(table(spark, folder, "documents"))
