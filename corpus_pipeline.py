@@ -9,31 +9,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playspan.llm import bpe, forest, langid, mixing, suffix
+from playspan.llm.common import small_batches
 from playspan.session import stage
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that language ID rejects."""
+    small_batches(spark)
     return langid.keep_identified(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates."""
+    small_batches(spark)
     return forest.keep_one_each(docs)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of 200 bytes or more that start elsewhere too; every row stays."""
+    small_batches(spark)
     return suffix.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes each source to its target; a document comes once per epoch it is taken in."""
+    small_batches(spark)
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded text of each row."""
+    small_batches(spark)
     return bpe.digest(docs)
 
 

@@ -26,9 +26,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.functions import arrow_udf
 
-from playspan.llm.common import U, mix, quoted, remainder_of_id, slices_by_size, texts_of
+from playspan.llm.common import U, mix, packed, quoted, remainder_of_id, slices_by_size
 from playspan.llm.words import Batch
 from playspan.session import stage
 
@@ -59,14 +58,6 @@ def _release(data: bytes, *kinds) -> list[np.ndarray]:
     return out
 
 
-@arrow_udf("binary")
-def _packed(column: pa.Array) -> pa.Array:
-    import zstandard
-
-    press = zstandard.ZstdCompressor(level=3).compress
-    return pa.array([press(x) for x in texts_of(column)], pa.binary())
-
-
 def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token hashes of all texts, the end of each included; first token and number per text."""
     batch = Batch(texts)
@@ -358,7 +349,7 @@ def score_texts(docs: DataFrame, train, text: str = "text") -> tuple[DataFrame,
     others = [quoted(c) for c in docs.columns if c != text]
     rows = docs.select(
         F.struct(*others, F.lit(0).alias("_")).alias("row"), F.coalesce(train, F.lit(False)).alias("train"),
-        _packed(F.coalesce(quoted(text).cast("string"), F.lit(""))).alias("z"),
+        packed(F.coalesce(quoted(text).cast("string"), F.lit(""))).alias("z"),
         F.monotonically_increasing_id().alias("t"),
     )
     rows = stage(rows.withColumn("block", F.floor(F.col("t") / BLOCK)), "texts")

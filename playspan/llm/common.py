@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import BinaryType
 
 #: Words everywhere in this package: runs without space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -88,3 +90,26 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+@arrow_udf(BinaryType())
+def packed(column: pa.Array) -> pa.Array:
+    """Texts as compressed UTF-8 bytes, for shuffles and written tables; null is empty."""
+    import zstandard
+
+    press, out = zstandard.ZstdCompressor(level=3).compress, []
+    for i in range(0, len(column), 64):
+        out += [press(x) for x in texts_of(column.slice(i, 64))]
+    return pa.array(out, pa.binary())
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(x) for x in column.to_pylist()]
+
+
+def small_batches(spark) -> None:
+    """Fewer rows per Arrow batch: rows hold whole documents, and workers little memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")

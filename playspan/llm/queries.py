@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playspan.llm import automaton, bpe, fertility, forest, langid, mixing, ranking, suffix
+from playspan.llm.common import small_batches
+from playspan.llm import automaton, bpe, covertree, fertility, forest, langid, mixing, ranking, suffix, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -18,6 +19,7 @@ def query(f):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -56,6 +58,67 @@ def op7_bpe(spark, folder):
     return bpe.digest(table(spark, folder, "documents"))
 
 
+@query
+def op8_covertree(spark, folder):
+    return covertree.digest(table(spark, folder, "embeddings"))
+
+
+SQL["op8_covertree"] = """
+WITH v AS (
+    SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def op9_automaton(spark, folder):
     return automaton.digest(table(spark, folder, "documents"))
+
+
+@query
+def op10_urls(spark, folder):
+    return urlfilter.digest(table(spark, folder, "pages"))
+
+
+SQL["op10_urls"] = r"""
+WITH hosts AS (
+    SELECT page_id, url, CAST((page_id * 37) % 365 AS INTEGER) AS fetch_day,
+           nullif(regexp_replace(lower(regexp_extract(url, '^(?i:https?)://(?:[^/?#@]*@)?([^/?#:@\[\]]+)', 1)), '\.$', ''), '') AS host
+    FROM pages
+), captures AS (
+    SELECT *, string_split(host, '.') AS labels FROM hosts
+), names AS (
+    SELECT host AS name, page_id FROM captures WHERE host IS NOT NULL
+    UNION ALL
+    SELECT array_to_string(labels[2:], '.'), page_id FROM captures WHERE len(labels) >= 3
+), least AS (
+    SELECT name, min(page_id) AS m FROM names GROUP BY name
+), daily AS (
+    SELECT name, CAST((m * 11 + step) % 365 AS INTEGER) AS day, max(action) AS action
+    FROM least, (VALUES (0, 'block'), (120, 'allow'), (250, 'block')) AS e(step, action)
+    WHERE m % 3 <> 0
+    GROUP BY 1, 2
+), spans AS (
+    SELECT name, action, day AS valid_from, lead(day) OVER (PARTITION BY name ORDER BY day) AS valid_to FROM daily
+), hits AS (
+    SELECT c.page_id, s.*, row_number() OVER (PARTITION BY c.page_id ORDER BY length(s.name) DESC) AS n
+    FROM captures c, (VALUES (0), (1), (2), (3)) AS l(up), spans s
+    WHERE s.name = CASE WHEN l.up = 0 THEN c.host WHEN len(c.labels) - l.up >= 2 THEN array_to_string(c.labels[l.up + 1:], '.') END
+      AND c.fetch_day >= s.valid_from AND (s.valid_to IS NULL OR c.fetch_day < s.valid_to)
+)
+SELECT c.page_id, c.url, c.fetch_day, c.host, h.name, h.action, h.valid_from, h.valid_to,
+       coalesce(h.action <> 'block', TRUE) AS kept
+FROM captures c LEFT JOIN hits h ON h.page_id = c.page_id AND h.n = 1
+"""
