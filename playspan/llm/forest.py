@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import IntegerType
 
-from playspan.llm.common import U, free_name, kept_in_worker, mix, quoted, slices, texts_of
+from playspan.llm.common import U, free_name, mix, packed, quoted, slices, texts_of, unpacked
 from playspan.llm.components import components
 from playspan.llm.words import Batch
 from playspan.session import stage
@@ -99,25 +100,14 @@ def signed(n: int):
     return run
 
 
-@arrow_udf("binary")
-def packed(column: pa.Array) -> pa.Array:
-    import zstandard
-
-    press = zstandard.ZstdCompressor(level=3).compress
-    return pa.array([press(x) for x in texts_of(column)], pa.binary())
-
-
 def similar(n: int, per_cent: int):
     """A column function: two packed texts -> whether their sets reach the similarity."""
 
     @arrow_udf("boolean")
     def run(left: pa.Array, right: pa.Array) -> pa.Array:
-        import zstandard
-
-        unpack = zstandard.ZstdDecompressor().decompress
         out = []
         for i in range(0, len(left), 32):
-            x, y = ([unpack(v) for v in side.slice(i, 32).to_pylist()] for side in (left, right))
+            x, y = (unpacked(side.slice(i, 32)) for side in (left, right))
             for a, b in zip(shingle_sets(x, n), shingle_sets(y, n)):
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 out.append(100 * both >= per_cent * (len(a) + len(b) - both) and both > 0)
@@ -126,7 +116,7 @@ def similar(n: int, per_cent: int):
     return run
 
 
-@arrow_udf("int")
+@arrow_udf(IntegerType())
 def agreeing(left: pa.Array, right: pa.Array) -> pa.Array:
     x, y = (
         np.frombuffer(b"".join(side.to_pylist()), np.uint32).reshape(len(side), -1) for side in (left, right)
@@ -199,9 +189,10 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = S
     pairs = pairs.join(left, "a").join(right, "b").select("a", "b", agreeing("sa", "sb").alias("equal"))
     pairs = stage(pairs.where(F.col("equal") >= LEAST_EQUAL), "pairs")
 
+    # Never broadcast: the candidates' texts are shuffled alike at every size.
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     source = docs.select(quoted(doc_id).alias("id"), packed(quoted(text)).alias("z"))
-    texts = stage(source.join(ends, "id").groupBy("id").agg(F.min("z").alias("z")), "texts")
+    texts = stage(source.join(ends.hint("merge"), "id").groupBy("id").agg(F.min("z").alias("z")), "texts")
     best = lambda one, other: (
         pairs.groupBy(one).agg(F.max_by(other, F.struct("equal", -F.col(other))).alias(other)).select("a", "b")
     )
