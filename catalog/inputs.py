@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from playspan import fixed
 from playspan.operators.dedup import align
-from playspan.plans import staging, star
+from playspan.plans import reports, staging, star
 from playspan.session import stage
 from playspan.sources import schemas
 
@@ -234,6 +234,9 @@ class Models:
             self.dim_playlists, self.stg_playlist_tracks,
         )
 
+    def _top_artists_daily(self):
+        return reports.top_artists_daily(self.fct_history, self.dim_artists, ordered=False)
+
     def _user_plays(self):
         """Plays of both sources with their user, for orders per user."""
         api = self.raw_plays.select("user_id", "played_at", "track_id")

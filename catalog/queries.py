@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from catalog.inputs import models, table, text
 from playspan import fixed
 from playspan.functions import calendar, keys, labels, numbers
 from playspan.operators import dedup, merge, ordered, playlists, quality, sessions, stats
-from playspan.plans import checks, features, reports, staging, star
+from playspan.plans import checks, features, load, reports, staging, star
 from playspan.session import scratch_path
 from playspan.sources import landing, pages, schemas, tables
 from playspan.streaming import landing as incremental
@@ -60,9 +60,13 @@ def ingest_all_files(spark, folder):
 
 
 def _write_export(spark, folder) -> str:
-    """The history as export files: JSON arrays of some thousand records each."""
+    """The history as export files: JSON arrays of some thousand records each, with all fields
+    and play lengths as decimal numbers."""
     path = scratch_path(spark, "export")
     raw = models(spark, folder).raw_history.drop("loaded_at", "user_id")
+    absent = T.StructType.fromDDL(schemas.HISTORY_RECORD.strip())
+    raw = raw.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent if f.name not in raw.columns})
+    raw = raw.withColumn("ms_played", F.col("ms_played").cast("double"))
     block = F.floor(F.col("offline_timestamp") / 5000)
     (
         raw.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
@@ -80,11 +84,45 @@ def _write_export(spark, folder) -> str:
 @query
 def ingest_json_export(spark, folder):
     path = _write_export(spark, folder)
-    return landing.read_history(spark, path, pattern="part-*", loaded_at=load_time()).select(
-        "ts", "platform", "ms_played", "conn_country", schemas.HISTORY_TRACK_URI,
-        "master_metadata_track_name", "master_metadata_album_artist_name", "shuffle", "skipped",
-        "offline_timestamp", "loaded_at",
+    return landing.read_history(spark, path, pattern="part-*", loaded_at=load_time())
+
+
+@query
+def ingest_exported_plays(spark, folder):
+    """The other export path, from files to its raw table, loaded twice."""
+    path, root = _write_export(spark, folder), scratch_path(spark, "raw")
+    for _ in range(2):
+        load.load_exported_plays(spark, path, root, loaded_at=load_time(), patterns=("part-*",))
+    return load.read_raw(spark, root, "raw_exported_plays")
+
+
+@query
+def ingest_csv_quoted(spark, folder):
+    """Documents as playlists in CSV files of another writer: doubled quotes, commas and
+    newlines in quoted fields, integers written as 7.0, truth values as True and False."""
+    path, docs = scratch_path(spark, "quoted"), table(spark, folder, "documents")
+
+    def quoted(value):
+        doubled = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.when(value.rlike('[",\\r\\n]'), doubled).otherwise(value)
+
+    def truth(value):
+        return F.when(value, "True").otherwise("False")
+
+    names = T.StructType.fromDDL(schemas.PLAYLISTS_FILE.strip()).fieldNames()
+    line = F.concat_ws(
+        ",", text("p", F.col("doc_id")), quoted(F.concat(F.lit('My ""best"", '), F.col("source"))),
+        F.coalesce("lang", F.lit("")), truth(F.col("doc_id") % 2 == 0), truth(F.lit(True)), F.lit("False"),
+        F.concat(F.col("n_chars").cast("string"), F.lit(".0")), F.coalesce(quoted(F.col("text")), F.lit("")),
+        F.lit(""), F.lit("2024-01-01 00:00:00"),
     )
+    file = F.floor(F.col("doc_id") / 500)
+    (
+        docs.groupBy(file.alias("file")).agg(F.array_join(F.collect_list(line), "\n").alias("value"))
+        .select("file", F.concat(F.lit(",".join(names) + "\n"), "value").alias("value"))
+        .write.partitionBy("file").text(path)
+    )
+    return landing.read_csv(spark, path, schemas.PLAYLISTS_FILE, load_time())
 
 
 @query
@@ -158,7 +196,7 @@ def ingest_once(spark, folder):
     first = tables.load_once(spark, path, lambda: orders.filter("o_orderstatus = 'F'"))
     second = tables.load_once(spark, path, lambda: orders)
     return (
-        spark.read.parquet(path)
+        tables.read_current(spark, path)
         .groupBy("o_orderstatus", F.lit(first).alias("first_load"), F.lit(second).alias("second_load"))
         .agg(F.count("*").alias("n_rows"))
     )
@@ -179,7 +217,7 @@ def sink_layers(spark, folder):
     m = models(spark, folder)
     view = tables.publish(m.stg_artists, root, "staging", "artists")
     tables.publish(m.dim_artists, root, "marts", "artists")
-    mart = spark.read.parquet(tables.layer_path(root, "marts", "artists"))
+    mart = tables.read_current(spark, tables.layer_path(root, "marts", "artists"))
     counted = [
         spark.table("staging_artists").select("artist_id", F.lit("staging").alias("layer")),
         mart.select("artist_id", F.lit("marts").alias("layer")),
@@ -432,9 +470,7 @@ def join_reconcile(spark, folder):
 @query
 def join_wide_denorm(spark, folder):
     m = models(spark, folder)
-    wide = features.wide_history(
-        m.stg_plays, m.stg_features, m.stg_artists, m.stg_playlist_tracks, m.stg_playlists
-    )
+    wide = features.wide_history(m.stg_plays, m.stg_features, m.stg_artists, m.stg_playlist_tracks)
     return wide.groupBy("track_id", "artist_id", "mood_category", "playlist_count").agg(
         F.count("*").alias("n_plays"), F.max("artist_followers").alias("artist_followers")
     )
@@ -476,37 +512,32 @@ def agg_having_dups(spark, folder):
     )
 
 
-def _wide(spark, folder):
+def _measured(spark, folder):
     m = models(spark, folder)
-    return features.wide_history(
-        m.stg_plays, m.stg_features, m.stg_artists, m.stg_playlist_tracks, m.stg_playlists
-    )
+    return features.measured_plays(m.stg_plays, m.stg_features)
 
 
 @query
 def audio_features_daily(spark, folder):
-    return features.audio_features_daily(_wide(spark, folder), digits=6)
+    return features.audio_features_daily(_measured(spark, folder), digits=6)
 
 
 @query
 def agg_mode(spark, folder):
     return features.most_common(
-        _wide(spark, folder), ("played_date", "played_hour"), "mood_category", "most_common_mood"
+        _measured(spark, folder), ("played_date", "played_hour"), "mood_category", "most_common_mood"
     )
 
 
 @query
 def agg_string_distinct(spark, folder):
     m = models(spark, folder)
-    named = m.stg_playlist_tracks.select("playlist_id", "track_id").join(
-        m.stg_playlists.select("playlist_id", "playlist_name"), "playlist_id", "left"
-    )
-    return features.names_per_track(named)
+    return features.names_per_track(features.playlist_names(m.stg_playlist_tracks, m.stg_playlists))
 
 
 @query
 def agg_hourly_features(spark, folder):
-    return features.hourly_features(_wide(spark, folder), digits=6)
+    return features.hourly_features(_measured(spark, folder), digits=6)
 
 
 # ---------------------------------------------------------------- windows
@@ -746,40 +777,34 @@ def stream_ingest(spark, folder):
         incremental.ingest_new(
             stream, path, key, scratch_path(spark, f"stream-{run}"), loaded_at=load_time()
         )
-    return spark.read.parquet(path)
+    return tables.read(spark, path)
 
 
 @query
 def stream_upsert(spark, folder):
-    """Customer balances, then orders as updates, through a stream of two files sets."""
+    """Customer balances, then orders as updates, through two streams with checkpoints of
+    their own; the second reads the first files again, which changes nothing."""
     old, new = _balances(spark, folder)
     root, base = scratch_path(spark, "landing"), scratch_path(spark, "balances")
-    check = scratch_path(spark, "stream")
     schema = "c_custkey long, balance double, note string, loaded_at timestamp"
     for part in (old, new):
         part.write.mode("append").options(**landing.CSV_OUT).csv(root)
         stream = incremental.landing_stream(spark, root, schema)
-        incremental.ingest_upsert(stream, base, ["c_custkey"], check)
+        incremental.ingest_upsert(stream, base, ["c_custkey"], scratch_path(spark, "stream"))
     return tables.read_current(spark, base)
 
 
 @query
 def stream_dedup(spark, folder):
-    """Plays landed twice, each kept once by a stream with a watermark."""
+    """Plays landed twice in several batches, late ones among them, each kept once."""
     root, path = scratch_path(spark, "landing"), scratch_path(spark, "deduped")
-    plays = plays_file(spark, folder)
-    landing.write_landing(plays.unionAll(plays), root, "plays", "played_at")
-    stream = incremental.landing_stream(spark, f"{root}/plays", schemas.PLAYS_FILE)
-    kept = incremental.without_repeats(stream, schemas.TABLE_KEYS["raw_plays"], delay="60 days")
-    (
-        kept.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", scratch_path(spark, "stream"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.parquet(path)
+    check, plays = scratch_path(spark, "stream"), plays_file(spark, folder)
+    late = F.hour("played_at") % 2 == 0
+    for part in (plays.filter(~late), plays.filter(late), plays):
+        landing.write_landing(part, root, "plays", "played_at")
+        stream = incremental.landing_stream(spark, f"{root}/plays", schemas.PLAYS_FILE)
+        incremental.without_repeats(stream, path, schemas.TABLE_KEYS["raw_plays"], check)
+    return tables.read(spark, path)
 
 
 # ---------------------------------------------------------------- data quality
@@ -833,7 +858,8 @@ def dq_freshness(spark, folder):
 @query
 def dq_reconcile_counts(spark, folder):
     m = models(spark, folder)
-    return quality.count_differences(m.fct_history, m.dim_artists, "artist_key")
+    fact = m.fct_history.filter("played_hour_utc <> 0")  # plays that the dimension has counted are gone
+    return quality.count_differences(fact, m.dim_artists, "artist_key")
 
 
 @query
@@ -851,12 +877,14 @@ def dq_no_duplicate_events(spark, folder):
 @query
 def dq_positive_count(spark, folder):
     m = models(spark, folder)
-    return checks.without_plays(reports.top_artists_daily(m.fct_history, m.dim_artists, ordered=False))
+    daily = reports.top_artists_daily(m.fct_history, m.dim_artists, ordered=False)
+    return checks.without_plays(daily.withColumn("play_count", F.col("play_count") - 2))
 
 
 @query
 def dq_sequence_gaps(spark, folder):
-    return quality.sequence_gaps(models(spark, folder).fct_history)
+    fact = models(spark, folder).fct_history
+    return quality.sequence_gaps(fact.filter("session_number % 7 <> 3"))
 
 
 @query
@@ -873,7 +901,7 @@ def dq_value_bounds(spark, folder):
 def dq_report(spark, folder):
     m = models(spark, folder)
     made = {name: getattr(m, name) for name in checks.DECLARED}
-    made["top_artists_daily"] = reports.top_artists_daily(m.fct_history, m.dim_artists, ordered=False)
+    made["top_artists_daily"] = m.top_artists_daily
     return checks.full_report(made)
 
 
@@ -975,7 +1003,9 @@ def stg_audio_features(spark, folder):
 
 @query
 def fct_history_wide(spark, folder):
-    return _wide(spark, folder)
+    m = models(spark, folder)
+    wide = features.wide_history(m.stg_plays, m.stg_features, m.stg_artists, m.stg_playlist_tracks)
+    return features.with_names(wide, features.playlist_names(m.stg_playlist_tracks, m.stg_playlists))
 
 
 @query

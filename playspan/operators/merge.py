@@ -40,33 +40,40 @@ def insert_ignore(
     return old.unionByName(new_rows(old, new, keys, order))
 
 
+def batch_rows(new: DataFrame, keys: Sequence[str], newest: str | Sequence[str] = "loaded_at") -> DataFrame:
+    """The newest row per key of a batch; a NULL key is an error."""
+    return latest_per_key(require_keys(new, keys), keys, newest)
+
+
+def upsert_batch(old: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``old`` with rows replaced by, and extended with, those of ``batch`` (one per key)."""
+    kept = old.join(batch.select(*keys), list(keys), "left_anti")
+    return kept.unionByName(align(batch, old))
+
+
 def upsert(
     old: DataFrame, new: DataFrame, keys: Sequence[str], newest: str | Sequence[str] = "loaded_at"
 ) -> DataFrame:
     """``old`` with rows replaced by, and extended with, the newest row per key of ``new``."""
-    batch = latest_per_key(require_keys(new, keys), keys, newest)
-    kept = old.join(batch.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(align(batch, old))
+    return upsert_batch(old, batch_rows(new, keys, newest), keys)
 
 
 def load_metrics(table: str, old: DataFrame, new: DataFrame, keys: Sequence[str], *, updates: bool) -> DataFrame:
     """One row: table, rows_before, rows_after, rows_added, rows_updated.
 
     ``updates`` says whether keys already present count as updated (upsert) or are
-    left alone (insert-ignore).
+    left alone (insert-ignore). Either input is scanned once: keys are counted together.
     """
-    batch = new.select(*keys).distinct()
-    hits = old.select(*keys).join(batch, list(keys), "left_semi").distinct()
-    added = batch.join(hits, list(keys), "left_anti")
-    marks = (
-        old.select(F.lit("before").alias("part"))
-        .unionAll(hits.select(F.lit("hit")))
-        .unionAll(added.select(F.lit("added")))
+    marked = old.select(*keys, F.lit(1).alias("is_old")).unionAll(new.select(*keys, F.lit(0).alias("is_old")))
+    per_key = marked.groupBy(*keys).agg(
+        F.sum("is_old").alias("n_old"), F.count_if(F.col("is_old") == 0).alias("n_new")
     )
-    part = F.col("part")
-    return marks.agg(
-        F.count_if(part == "before").alias("rows_before"),
-        F.count_if(part.isin("before", "added")).alias("rows_after"),
-        F.count_if(part == "added").alias("rows_added"),
-        (F.count_if(part == "hit") if updates else F.lit(0).cast("long")).alias("rows_updated"),
+    both = (F.col("n_old") > 0) & (F.col("n_new") > 0)
+    added = F.count_if(F.col("n_old") == 0)
+    before = F.coalesce(F.sum("n_old"), F.lit(0))
+    return per_key.agg(
+        before.alias("rows_before"),
+        (before + added).alias("rows_after"),
+        added.alias("rows_added"),
+        (F.count_if(both) if updates else F.lit(0).cast("long")).alias("rows_updated"),
     ).select(F.lit(table).alias("table_name"), "*")

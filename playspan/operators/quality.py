@@ -114,74 +114,124 @@ def sequence_gaps(df: DataFrame, number: str = "session_number", by: Sequence[st
 
 @dataclass(frozen=True)
 class TableChecks:
-    """Declared checks of one table."""
+    """Declared checks of one table.
+
+    ``where`` limits the range check of a column to rows that meet a SQL condition.
+    ``warn`` names checks whose failures are a warning only.
+    """
 
     unique: tuple[str, ...] = ()
     not_null: tuple[str, ...] = ()
     ranges: Mapping[str, tuple[float | None, float | None]] = field(default_factory=dict)
     accepted: Mapping[str, tuple] = field(default_factory=dict)
     parents: Mapping[str, tuple[str, str]] = field(default_factory=dict)
+    where: Mapping[str, str] = field(default_factory=dict)
+    warn: tuple[str, ...] = ()
+
+
+Check = tuple[str, str]  # table name and check name as reported
 
 
-def report(tables: Mapping[str, DataFrame], checks: Mapping[str, TableChecks]) -> DataFrame:
+def report(
+    tables: Mapping[str, DataFrame],
+    checks: Mapping[str, TableChecks],
+    more_rows: Mapping[str, Mapping[Check, Column]] | None = None,
+    more_unique: Mapping[str, Mapping[Check, Sequence[str]]] | None = None,
+) -> DataFrame:
     """One row per declared check: table_name, check_name, failures, status.
 
-    Row checks of a table share one scan; a uniqueness check is one aggregation and a
-    parent check one anti join.
+    All row checks of a table share one scan, all uniqueness checks another and all parent
+    checks a third. ``more_rows`` and ``more_unique`` add conditions of bad rows and keys
+    (with NULLs as a value) to the scans of a table.
     """
     parts = []
     for name, declared in checks.items():
         if name not in tables:
             continue
         df = tables[name]
-        row_checks = _row_checks(declared)
-        if row_checks:
-            parts.append(_one_scan(df, name, row_checks))
-        for column in declared.unique:
-            parts.append(_failures(duplicates(df, [column]), name, f"unique:{column}"))
-        for column, (parent, key) in declared.parents.items():
-            missing = orphans(df, column, tables[parent], key)
-            parts.append(_failures(missing, name, f"parent:{column}", F.sum("n_rows")))
+        rows = {(name, check): bad for check, bad in _row_checks(declared).items()}
+        rows |= (more_rows or {}).get(name, {})
+        if rows:
+            parts.append(_one_scan(df, rows))
+        unique = {(name, f"unique:{c}"): (c,) for c in declared.unique}
+        extra = (more_unique or {}).get(name, {})
+        if unique or extra:
+            parts.append(_unique_keys(df, unique, extra))
+        if declared.parents:
+            parts.append(_parents(df, name, declared.parents, tables))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return with_status(out)
+    return with_status(out, [f"{t}/{c}" for t, declared in checks.items() for c in declared.warn])
 
 
-def with_status(counted: DataFrame) -> DataFrame:
-    return counted.withColumn("status", F.when(F.col("failures") > 0, "fail").otherwise("pass"))
+def with_status(counted: DataFrame, warnings: Sequence[str] = ()) -> DataFrame:
+    """Status of each check; ``warnings`` are checks (``table/check``) that only warn."""
+    only_warn = F.concat_ws("/", "table_name", "check_name").isin(list(warnings))
+    bad = F.when(only_warn, "warn").otherwise("fail") if warnings else F.lit("fail")
+    return counted.withColumn("status", F.when(F.col("failures") > 0, bad).otherwise("pass"))
 
 
 def violations(df: DataFrame, table: str, check: str) -> DataFrame:
     """A report row for an arbitrary query of violating rows."""
-    return _failures(df, table, check)
+    return df.agg(F.count("*").alias("failures")).select(
+        F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), "failures"
+    )
 
 
 def _row_checks(declared: TableChecks) -> dict[str, Column]:
     found = {f"not_null:{c}": F.col(c).isNull() for c in declared.not_null}
     for column, (low, high) in declared.ranges.items():
-        found[f"range:{column}"] = out_of_range(F.col(column), low, high)
+        bad = out_of_range(F.col(column), low, high)
+        if column in declared.where:
+            bad = F.coalesce(F.expr(declared.where[column]), F.lit(False)) & bad
+        found[f"range:{column}"] = bad
     for column, values in declared.accepted.items():
         found[f"accepted:{column}"] = not_accepted(F.col(column), values)
     return found
 
 
-def _one_scan(df: DataFrame, table: str, found: Mapping[str, Column]) -> DataFrame:
-    counted = df.agg(
-        F.array(
-            *(
-                F.struct(F.lit(check).alias("check_name"), F.count_if(bad).alias("failures"))
-                for check, bad in found.items()
-            )
-        ).alias("checks")
-    )
-    return counted.select(F.inline("checks")).select(
-        F.lit(table).alias("table_name"), "check_name", "failures"
+def _as_rows(df: DataFrame, counts: Mapping[Check, Column]) -> DataFrame:
+    """One report row per entry, from a single aggregation of ``df``."""
+    rows = [
+        F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("check_name"), n.cast("long").alias("failures"))
+        for (t, c), n in counts.items()
+    ]
+    return df.agg(F.array(*rows).alias("checks")).select(F.inline("checks"))
+
+
+def _one_scan(df: DataFrame, found: Mapping[Check, Column]) -> DataFrame:
+    return _as_rows(df, {check: F.count_if(bad) for check, bad in found.items()})
+
+
+def _unique_keys(df: DataFrame, keys: Mapping[Check, Sequence[str]], with_null: Mapping[Check, Sequence[str]]) -> DataFrame:
+    """Keys that occur more than once, for all keys of a table in one scan and one grouping."""
+    every = [*keys.items(), *with_null.items()]
+    pairs = []
+    for place, (_, columns) in enumerate(every):
+        key = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+        if place < len(keys):
+            key = F.when(F.col(columns[0]).isNotNull(), key)
+        pairs.append(F.struct(F.lit(place).alias("place"), key.alias("key")))
+    counted = (
+        df.select(F.inline(F.array(*pairs))).where("key IS NOT NULL")
+        .groupBy("place", "key").agg(F.count("*").alias("n")).where("n > 1")
     )
+    return _as_rows(counted, {check: F.count_if(F.col("place") == i) for i, (check, _) in enumerate(every)})
 
 
-def _failures(df: DataFrame, table: str, check: str, count: Column | None = None) -> DataFrame:
-    n = F.coalesce(count if count is not None else F.count("*"), F.lit(0)).alias("failures")
-    return df.agg(n).select(
-        F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), "failures"
+def _parents(df: DataFrame, name: str, parents: Mapping[str, tuple[str, str]], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows without a parent, for all foreign keys of a table in one scan and one join."""
+    used = (
+        df.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("key")) for c in parents
+        ])))
+        .where("key IS NOT NULL").groupBy("column", "key").agg(F.count("*").alias("n"))
     )
+    known = None
+    for column, (parent, key) in parents.items():
+        rows = tables[parent].select(F.lit(column).alias("column"), F.col(key).cast("string").alias("key")).dropna()
+        known = rows if known is None else known.union(rows)
+    missing = used.join(known, ["column", "key"], "left_anti")
+    n = {c: F.coalesce(F.sum(F.when(F.col("column") == c, F.col("n"))), F.lit(0)) for c in parents}
+    return _as_rows(missing, {(name, f"parent:{c}"): count for c, count in n.items()})

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from playspan.operators.merge import load_metrics
 from playspan.sources import landing, schemas, tables
 
 # category: (table, schema of its files, whether known keys are replaced)
@@ -24,11 +23,11 @@ def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
     if table in replaced:
         found = tables.read_current(spark, path)
     else:
-        found = spark.read.parquet(path) if tables.exists(spark, path) else None
+        found = tables.read(spark, path)
     if found is not None:
         return found
     known = {t: schema for t, schema, _ in CATEGORIES.values()}
-    known["raw_history"] = schemas.HISTORY_RECORD
+    known |= {"raw_history": schemas.HISTORY_RECORD, "raw_exported_plays": schemas.EXPORTED_PLAYS}
     return spark.createDataFrame([], schemas.with_loaded_at(known[table]))
 
 
@@ -37,10 +36,13 @@ def load_landing(
     landing_root: str,
     root: str,
     *,
-    mode: str = "latest",
+    mode: str = "all",
     loaded_at: Column | None = None,
 ) -> DataFrame:
-    """Merge the last batch (or all, ``mode="all"``) of every category into its raw table.
+    """Merge all batches (or the last one, ``mode="latest"``) of every category into its raw table.
+
+    All batches is the safe choice: a run that was missed is made up for, and keys that are
+    known already change nothing.
 
     Plays already known are left alone, the other categories are replaced by key. Returns
     a row of counts per category; a category without files, or with empty ones, has none.
@@ -52,18 +54,32 @@ def load_landing(
         )
         if batch is None or batch.isEmpty():
             continue
-        keys = schemas.TABLE_KEYS[table]
-        old = read_raw(spark, root, table)
-        counts = load_metrics(table, old, batch, keys, updates=replaces).collect()
         path = tables.layer_path(root, "raw", table)
-        if replaces:
-            tables.upsert_version(spark, batch, path, keys)
-        else:
-            tables.append_new(spark, batch, path, keys)
-        counted = counted.unionByName(spark.createDataFrame(counts, METRICS))
+        merge = tables.upsert_version if replaces else tables.append_new
+        done = merge(spark, batch, path, schemas.TABLE_KEYS[table])
+        counted = counted.unionByName(_metrics(spark, table, done))
     return counted
 
 
+def _metrics(spark: SparkSession, table: str, done: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame([(table, *(done[k] for k in ("before", "after", "added", "updated")))], METRICS)
+
+
+def load_exported_plays(
+    spark: SparkSession, folder: str, root: str, *, loaded_at: Column | None = None, **options
+) -> DataFrame:
+    """Load the other export path: insert-ignore into its raw table. Returns its counts.
+
+    Plays without a time or track have no key and are left out.
+    """
+    stamp = F.current_timestamp() if loaded_at is None else loaded_at
+    keys = schemas.TABLE_KEYS["raw_exported_plays"]
+    plays = landing.read_exported_plays(spark, folder, **options).dropna(subset=list(keys))
+    path = tables.layer_path(root, "raw", "raw_exported_plays")
+    done = tables.append_new(spark, plays.withColumn("loaded_at", stamp), path, keys)
+    return _metrics(spark, "raw_exported_plays", done)
+
+
 def load_history(
     spark: SparkSession, folder: str, root: str, *, loaded_at: Column | None = None
 ) -> bool:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from playspan import fixed
@@ -11,19 +13,58 @@ from playspan.functions.keys import is_track_uri, last_uri_piece
 from playspan.session import stage
 from playspan.sources import schemas
 
-BATCH_PARTS = ("year", "month", "day")
+BATCH_PARTS = ("year", "month", "day", "batch")
+ROWS_PER_FILE = 500_000  # files with newlines in quotes are read by one task each
+
+# One dialect for files, streams and writers: doubled quotes, newlines inside quotes, blanks
+# and microseconds kept; a row with too many or too few fields is an error.
+CSV_IN = {"header": "true", "escape": '"', "multiLine": "true", "mode": "FAILFAST"}
+CSV_OUT = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+
+def as_text(schema: str) -> T.StructType:
+    """The columns of ``schema``, all as text, for files whose values are converted later."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in T.StructType.fromDDL(schema.strip())])
+
+
+def converted(value: Column, kind: T.DataType, name: str) -> Column:
+    """Text as ``kind``, as a SQL cast converts it: ``7.0`` is the integer 7, ``3000.5`` the
+    even one next to it. Empty text is NULL for all but texts; other text that has no such
+    value is an error."""
+    if isinstance(kind, T.StringType):
+        return value
+    text = F.trim(value)
+    if isinstance(kind, (T.IntegerType, T.LongType)):
+        found = F.bround(text.try_cast("decimal(38,10)"), 0).try_cast(kind)
+    else:
+        found = text.try_cast(kind)
+    wrong = F.raise_error(F.concat(F.lit(f"{name}: not {kind.simpleString()}: "), value))
+    return F.when(value.isNull() | (text == ""), F.lit(None)).when(found.isNull(), wrong).otherwise(found).cast(kind)
 
-# Without these, times would be cut to milliseconds when written.
-CSV_OUT = {"header": "true", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+def typed(rows: DataFrame, schema: str) -> DataFrame:
+    """Text columns of ``rows`` converted to the types of ``schema``; other columns stay."""
+    kinds = T.StructType.fromDDL(schema.strip())
+    return rows.withColumns({f.name: converted(F.col(f.name), f.dataType, f.name) for f in kinds})
+
+
+def no_such_path(error: Exception) -> bool:
+    return getattr(error, "getCondition", error.getErrorClass)() == "PATH_NOT_FOUND"
 
 
 def read_csv(
     spark: SparkSession, paths: str | Sequence[str], schema: str, loaded_at: Column | None = None
 ) -> DataFrame:
     """Typed CSV with header; ``loaded_at`` is the load time unless given."""
-    rows = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
+    rows = spark.read.schema(as_text(schema)).options(**CSV_IN).option("recursiveFileLookup", True)
     stamp = F.current_timestamp() if loaded_at is None else loaded_at
-    return rows.csv(paths).withColumn("loaded_at", stamp)
+    return typed(rows.csv(paths), schema).withColumn("loaded_at", stamp)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -31,30 +72,34 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_OUT).csv(path)
 
 
-def write_landing(df: DataFrame, root: str, category: str, at: str) -> None:
-    """CSV under category/year/month/day of the ``at`` column.
+def write_landing(df: DataFrame, root: str, category: str, at: str, batch: str | None = None) -> str:
+    """Add a batch as CSV under category/year/month/day of the ``at`` column and its own name.
 
-    Rows of a day are gathered into few files; a day that is much larger than others is
-    split over several tasks.
+    Batches written before stay. The name is the time of writing unless given, so the last
+    batch of a day sorts last. Rows of a day are gathered into few files; a day that is
+    much larger than others is split over several tasks. Returns the batch name.
     """
+    batch = batch or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
     when = F.col(at)
     parts = {
         "year": F.date_format(when, "yyyy"),
         "month": F.date_format(when, "MM"),
         "day": F.date_format(when, "dd"),
+        "batch": F.lit(batch),
     }
     (
         df.withColumns(parts)
         .hint("rebalance", *BATCH_PARTS)
-        .write.mode("overwrite")
+        .write.mode("append")
         .partitionBy(*BATCH_PARTS)
-        .options(**CSV_OUT)
+        .options(**CSV_OUT, maxRecordsPerFile=ROWS_PER_FILE)
         .csv(f"{root}/{category}")
     )
+    return batch
 
 
 def batches(spark: SparkSession, root: str, category: str) -> DataFrame:
-    """Batches of a category, one row each: a dated folder, or a file named after the
+    """Batches of a category, one row each: a batch folder, or a file named after the
     category. Lists files without opening them."""
     files = (
         spark.read.format("binaryFile")
@@ -78,21 +123,18 @@ def read_batches(
 ) -> DataFrame | None:
     """Rows of the last batch of a category, or of all batches with ``mode="all"``.
 
-    Returns None when the category has no files, so that a missing category is a
-    warning for the caller and not an error.
+    Returns None when the category has no folder or no files, so that a missing category is
+    a warning for the caller and not an error. Any other problem is raised.
     """
-    from pyspark.errors import AnalysisException
-
-    if mode == "all":
-        try:
-            return read_csv(spark, f"{root}/{category}", schema, loaded_at)
-        except AnalysisException:
-            return None
     try:
         latest = batches(spark, root, category).agg(F.max("batch")).first()[0]
-    except AnalysisException:
+    except AnalysisException as error:
+        if no_such_path(error):
+            return None
+        raise
+    if latest is None:
         return None
-    return None if latest is None else read_csv(spark, latest, schema, loaded_at)
+    return read_csv(spark, f"{root}/{category}" if mode == "all" else latest, schema, loaded_at)
 
 
 def read_history(
@@ -104,22 +146,42 @@ def read_history(
 ) -> DataFrame:
     """Music plays of a history export: files hold one JSON array of records each.
 
-    A file that is not valid JSON is left out whole, the others are loaded. Records are
-    parsed once, with the text of broken ones kept to recognise their file.
+    A file that is not valid JSON is left out whole, the others are loaded (see
+    ``history_files``). Values are read as text and converted, so an odd number is no
+    reason to leave out anything; one that does not convert is an error.
     """
-    records = _read_arrays(spark, folder, pattern)
-    broken = records.filter(F.col("_broken").isNotNull()).select("_file").distinct()
+    return plays_of_history(_read_arrays(spark, folder, pattern), loaded_at)
+
+
+def plays_of_history(records: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     stamp = F.current_timestamp() if loaded_at is None else loaded_at
+    # One row per broken file, written first, so that Spark knows how small it is.
+    broken = stage(broken_files(records), "broken")
+    music = records.join(broken, "_file", "left_anti").filter(is_track_uri(F.col(schemas.HISTORY_TRACK_URI)))
+    return typed(music.drop("_file", "_broken"), schemas.HISTORY_RECORD).withColumn("loaded_at", stamp)
+
+
+def broken_files(records: DataFrame) -> DataFrame:
+    return records.filter(F.col("_broken").isNotNull()).select("_file").distinct()
+
+
+def history_files(spark: SparkSession, folder: str, pattern: str = fixed.HISTORY_FILE_GLOB) -> DataFrame:
+    """What a history load takes: file, skipped (not JSON), n_records, n_music."""
+    skipped = F.count(F.col("_broken")) > 0
+    music = F.count_if(is_track_uri(F.col(schemas.HISTORY_TRACK_URI)))
     return (
-        records.join(broken, "_file", "left_anti")
-        .filter(is_track_uri(F.col(schemas.HISTORY_TRACK_URI)))
-        .drop("_file", "_broken")
-        .withColumn("loaded_at", stamp)
+        _read_arrays(spark, folder, pattern)
+        .groupBy(F.col("_file").alias("file"))
+        .agg(skipped.alias("skipped"), F.count("*").alias("n"), music.alias("m"))
+        .select(
+            "file", "skipped", F.when(F.col("skipped"), 0).otherwise(F.col("n")).alias("n_records"),
+            F.when(F.col("skipped"), 0).otherwise(F.col("m")).alias("n_music"),
+        )
     )
 
 
 def _read_arrays(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    schema = T.StructType.fromDDL(f"{schemas.HISTORY_RECORD.strip()}, _broken string")
+    schema = as_text(schemas.HISTORY_RECORD).add("_broken", T.StringType())
     parsed = (
         spark.read.schema(schema)
         .option("multiLine", True)
@@ -159,19 +221,29 @@ def exported_plays(records: DataFrame, min_play_ms: int = fixed.MIN_PLAY_MS) ->
     return named.select(*(c for c in wanted if c in named.columns)).distinct()
 
 
-def read_exported_plays(spark: SparkSession, folder: str, min_play_ms: int = fixed.MIN_PLAY_MS) -> DataFrame:
-    """Exported plays of a folder, under either file name, oldest first."""
-    from pyspark.errors import AnalysisException
+def read_exported_plays(
+    spark: SparkSession, folder: str, min_play_ms: int = fixed.MIN_PLAY_MS,
+    patterns: Sequence[str] = (fixed.HISTORY_FILE_GLOB, fixed.HISTORY_FILE_GLOB_ALT),
+) -> DataFrame:
+    """Exported plays of a folder, under the first file name that is found, oldest first.
 
+    A file that is not JSON is an error here.
+    """
     records = None
-    for pattern in (fixed.HISTORY_FILE_GLOB, fixed.HISTORY_FILE_GLOB_ALT):
+    for pattern in patterns:
         try:
             found = _read_arrays(spark, folder, pattern)
-        except AnalysisException:
-            continue
+        except AnalysisException as error:
+            if no_such_path(error):
+                continue
+            raise
         if not found.isEmpty():
             records = found
             break
     if records is None:
         raise FileNotFoundError(f"no history files in {folder}")
-    return exported_plays(records.drop("_file", "_broken"), min_play_ms).orderBy("played_at")
+    broken = [r[0] for r in broken_files(records).limit(5).collect()]
+    if broken:
+        raise ValueError(f"not JSON: {', '.join(broken)}")
+    records = typed(records.drop("_file", "_broken"), schemas.HISTORY_RECORD)
+    return exported_plays(records, min_play_ms).orderBy("played_at")

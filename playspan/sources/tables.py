@@ -1,28 +1,67 @@
-"""Tables as parquet folders: layers, load-once, append and replace."""
+"""Tables as parquet folders with a manifest: layers, load-once, append and replace.
+
+A table is a set of parts (``part=<name>`` folders) and a manifest next to it, a small table
+with a row per part. A part counts once its row is in the manifest, which is written after
+the part, so a broken write is never read and committer settings do not matter.
+
+Appended tables read all their parts, replaced ones the part with the highest version. A
+part can carry a tag; a write whose tag is in the manifest already is left out, which makes
+the batches of a stream safe to repeat, under any checkpoint.
+"""
 
 from __future__ import annotations
 
-import re
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
-from playspan.operators.merge import new_rows, upsert
+from playspan.operators.merge import batch_rows, new_rows, upsert_batch
+from playspan.session import stage
+from playspan.sources.landing import no_such_path
 
 LAYERS = ("raw", "staging", "marts", "analytics")
+MANIFEST = "part string, version long, n_rows long, tag string, low timestamp, high timestamp"
 
 
-def _files(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+def manifest(spark: SparkSession, path: str) -> list[Row]:
+    """Parts of a table in the order of their versions: one row per load."""
+    try:
+        rows = spark.read.schema(MANIFEST).parquet(f"{path}.manifest").collect()
+    except AnalysisException as error:
+        if no_such_path(error):
+            return []
+        raise
+    return sorted(rows, key=lambda r: r["version"])
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a completed write is at ``path``."""
-    system, folder = _files(spark, path)
-    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
-    return bool(system.exists(done))
+    return bool(manifest(spark, path))
+
+
+def _write_part(df: DataFrame, path: str, version: int, tag: str | None, time: str | None = None) -> int:
+    """Write a part, then its row in the manifest; returns the number of rows."""
+    spark, part = df.sparkSession, f"{version}-{uuid.uuid4().hex}"
+    folder = f"{path}/part={part}"
+    df.write.parquet(folder)
+    written = spark.read.schema(df.schema).parquet(folder)
+    ends = (F.min(time), F.max(time)) if time else (F.lit(None).cast("timestamp"),) * 2
+    n, low, high = written.agg(F.count(F.lit(1)), *ends).first()
+    row = spark.createDataFrame([(part, version, n, tag, low, high)], MANIFEST)
+    row.coalesce(1).write.mode("append").parquet(f"{path}.manifest")
+    return n
+
+
+def _read_parts(spark: SparkSession, path: str, parts: Sequence[Row]) -> DataFrame:
+    return spark.read.parquet(*[f"{path}/part={r['part']}" for r in parts])
+
+
+def read(spark: SparkSession, path: str) -> DataFrame | None:
+    """All parts of an appended table, or None if there is none."""
+    parts = manifest(spark, path)
+    return _read_parts(spark, path, parts) if parts else None
 
 
 def layer_path(root: str, layer: str, name: str) -> str:
@@ -31,35 +70,53 @@ def layer_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def publish(df: DataFrame, root: str, layer: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Make a model available: staging models stay lazy views, the rest become tables."""
+def publish(df: DataFrame, root: str, layer: str, name: str) -> DataFrame:
+    """Make a model available: staging models stay lazy views, the rest become tables.
+
+    A table is a new version beside the one being read, which stays until the new one is
+    complete.
+    """
     if layer == "staging":
         df.createOrReplaceTempView(f"{layer}_{name}")
         return df
     path = layer_path(root, layer, name)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    replace_version(df, path)
+    return read_current(df.sparkSession, path).select(*df.columns)
 
 
 def load_once(spark: SparkSession, path: str, load: Callable[[], DataFrame]) -> bool:
     """Write ``load()`` to ``path`` unless rows are there already. True if it was written."""
-    if exists(spark, path) and not spark.read.parquet(path).isEmpty():
+    if any(r["n_rows"] for r in manifest(spark, path)):
         return False
-    load().write.mode("overwrite").parquet(path)
+    replace_version(load(), path)
     return True
 
 
-def append_new(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str]) -> None:
+def append_new(
+    spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str], tag: str | None = None
+) -> dict[str, int]:
     """Insert-ignore into the table at ``path`` by appending only rows with new keys.
 
-    The files already there are not rewritten, and running it again adds nothing. Known
-    keys are only looked for within the batch's span of each time column of the key, so
-    row groups of other times are skipped by their statistics.
+    The parts already there are not rewritten, and running it again adds nothing. Known
+    keys are only looked for in parts that overlap the batch's span of the key's time, and
+    within that span. Returns the row counts before and after, added and updated.
     """
-    old = spark.createDataFrame([], new.schema)
-    if exists(spark, path):
-        old = within_span(spark.read.parquet(path), new, keys)
-    new_rows(old, new, keys).write.mode("append").parquet(path)
+    parts = manifest(spark, path)
+    before, version = sum(r["n_rows"] for r in parts), len(parts)
+    if tag is not None and any(r["tag"] == tag for r in parts):
+        return {"before": before, "after": before, "added": 0, "updated": 0}
+    times = [k for k in keys if isinstance(new.schema[k].dataType, T.TimestampType)]
+    old, time = spark.createDataFrame([], new.schema), times[0] if times else None
+    if time and parts:
+        low, high = new.agg(F.min(time), F.max(time)).first()
+        parts = [
+            r for r in parts
+            if r["n_rows"] and (r["low"] is None or low is None or (r["low"] <= high and r["high"] >= low))
+        ]
+    if parts:
+        old = within_span(_read_parts(spark, path, parts), new, keys)
+    added = _write_part(new_rows(old, new, keys), path, version, tag, time)
+    return {"before": before, "after": before + added, "added": added, "updated": 0}
 
 
 def within_span(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -81,34 +138,35 @@ def within_span(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
 
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Completed versions of a replaced table, oldest first."""
-    system, folder = _files(spark, base)
-    if not system.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in system.listStatus(folder)]
-    found = sorted(int(m.group(1)) for n in names if (m := re.fullmatch(r"version=(\d+)", n)))
-    return [v for v in found if exists(spark, f"{base}/version={v}")]
+    return [r["version"] for r in manifest(spark, base)]
 
 
-def read_current(spark: SparkSession, base: str, before: int | None = None) -> DataFrame | None:
-    """The newest completed version (older than ``before`` if given), or None."""
-    found = [v for v in versions(spark, base) if before is None or v < before]
-    return spark.read.parquet(f"{base}/version={found[-1]}") if found else None
+def read_current(spark: SparkSession, base: str) -> DataFrame | None:
+    """The newest completed version, or None."""
+    parts = manifest(spark, base)
+    return _read_parts(spark, base, parts[-1:]) if parts else None
 
 
-def replace_version(df: DataFrame, base: str, version: int) -> None:
-    """Write a version next to the ones being read. Writing it again gives the same table."""
-    df.write.mode("overwrite").parquet(f"{base}/version={version}")
+def replace_version(df: DataFrame, base: str, tag: str | None = None) -> int:
+    """Write the next version next to the ones being read; returns its number of rows."""
+    found = versions(df.sparkSession, base)
+    return _write_part(df, base, found[-1] + 1 if found else 0, tag)
 
 
 def upsert_version(
-    spark: SparkSession, new: DataFrame, base: str, keys: Sequence[str], version: int | None = None,
+    spark: SparkSession, new: DataFrame, base: str, keys: Sequence[str], tag: str | None = None,
     newest: str = "loaded_at",
-) -> None:
-    """Upsert into a replaced table: the next version is the one before plus ``new``."""
-    if version is None:
-        found = versions(spark, base)
-        version = found[-1] + 1 if found else 0
-    old = read_current(spark, base, before=version)
-    if old is None:
-        old = spark.createDataFrame([], new.schema)
-    replace_version(upsert(old, new, keys, newest), base, version)
+) -> dict[str, int]:
+    """Upsert into a replaced table: the next version is the one before plus ``new``.
+
+    Returns the row counts before and after, added and updated, taken from what is written.
+    """
+    parts = manifest(spark, base)
+    before = parts[-1]["n_rows"] if parts else 0
+    if tag is not None and any(r["tag"] == tag for r in parts):
+        return {"before": before, "after": before, "added": 0, "updated": 0}
+    old = _read_parts(spark, base, parts[-1:]) if parts else spark.createDataFrame([], new.schema)
+    batch = stage(batch_rows(new, keys, newest), "batch")
+    after = replace_version(upsert_batch(old, batch, keys), base, tag)
+    added = after - before
+    return {"before": before, "after": after, "added": added, "updated": batch.count() - added}

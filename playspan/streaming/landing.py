@@ -10,16 +10,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from playspan.sources import tables
+from playspan.sources import landing, tables
 
 
 def landing_stream(spark: SparkSession, folder: str, schema: str, max_files: int | None = None) -> DataFrame:
+    """Landing CSV files as they arrive, in the dialect and types of batch loads."""
     reader = (
-        spark.readStream.schema(schema).option("header", True).option("recursiveFileLookup", True)
+        spark.readStream.schema(landing.as_text(schema)).options(**landing.CSV_IN)
+        .option("recursiveFileLookup", True)
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(folder)
+    return landing.typed(reader.csv(folder), schema)
 
 
 def ingest_new(
@@ -28,8 +30,9 @@ def ingest_new(
     """Insert-ignore each batch into ``table``. A repeated batch adds nothing."""
     stamp = F.current_timestamp() if loaded_at is None else loaded_at
 
-    def merge(batch: DataFrame, _: int) -> None:
-        tables.append_new(batch.sparkSession, batch.withColumn("loaded_at", stamp), table, keys)
+    def merge(batch: DataFrame, number: int) -> None:
+        stamped = batch.withColumn("loaded_at", stamp)
+        tables.append_new(batch.sparkSession, stamped, table, keys, f"{checkpoint}#{number}")
 
     _run(stream, merge, checkpoint)
 
@@ -38,13 +41,13 @@ def ingest_upsert(
     stream: DataFrame, table: str, keys: Sequence[str], checkpoint: str, *, newest: str = "loaded_at",
     loaded_at: Column | None = None,
 ) -> None:
-    """Upsert each batch. The batch number is the table version, so a repeated batch
-    rewrites its own version."""
+    """Upsert each batch as the next version of the table, tagged with checkpoint and batch
+    number, so that a repeated batch is left out and batch loads may come in between."""
     stamp = F.current_timestamp() if loaded_at is None else loaded_at
 
     def merge(batch: DataFrame, number: int) -> None:
         stamped = batch if "loaded_at" in batch.columns else batch.withColumn("loaded_at", stamp)
-        tables.upsert_version(batch.sparkSession, stamped, table, keys, number, newest)
+        tables.upsert_version(batch.sparkSession, stamped, table, keys, f"{checkpoint}#{number}", newest)
 
     _run(stream, merge, checkpoint)
 
@@ -59,9 +62,14 @@ def _run(stream: DataFrame, merge, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def without_repeats(
-    stream: DataFrame, keys: Sequence[str], at: str = "played_at", delay: str = "2 hours"
-) -> DataFrame:
-    """Drop plays seen before, for pulls that overlap by less than ``delay``; the state
-    kept is bounded by the delay."""
-    return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(list(keys))
+def without_repeats(stream: DataFrame, table: str, keys: Sequence[str], checkpoint: str) -> None:
+    """Each play once, however often and late it is landed.
+
+    Plays are looked up among the parts of ``table`` that overlap the batch in time, so late
+    ones are kept, no state grows, and no delay has to be guessed.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        tables.append_new(batch.sparkSession, batch, table, keys, f"{checkpoint}#{number}")
+
+    _run(stream, merge, checkpoint)
