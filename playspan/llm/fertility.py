@@ -3,7 +3,8 @@
 Two public vocabularies measure every whole text, word by word with a blank before each:
 a byte-level BPE gives characters per token and the entropy of the text's tokens (as a
 share of log2 of their number), a piece vocabulary with byte fallback gives the share of
-pieces that are single bytes. Words met before are kept per Python worker.
+characters that fall back to bytes, which are those without a piece of their own. Words met
+before are kept per Python worker.
 
 The bands are learned from all texts that pass the base rules: per group (the language
 label where there is one, else the script of most letters) and length class (log2 of the
@@ -18,6 +19,7 @@ kept. Repeated rows and null ids are treated like other rows; an empty table giv
 
 from __future__ import annotations
 
+import array
 import base64
 from functools import lru_cache
 
@@ -34,7 +36,7 @@ from playspan.session import stage
 REACH = 3.0
 SLACK = 0.02
 LEAST = 50
-KEPT = 200_000
+KEPT = 300_000
 
 #: First code points of letter ranges and the script they begin.
 SCRIPTS = (
@@ -57,7 +59,7 @@ def default_vocabularies() -> tuple[str, str]:
 
 
 class Meter:
-    """Per word: its token ids, the number of its pieces and of byte pieces among them."""
+    """Token ids of words, and which characters fall back to bytes."""
 
     def __init__(self, ranks: bytes, pieces: bytes):
         import sentencepiece
@@ -65,25 +67,28 @@ class Meter:
 
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.tokens = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
-        self.pieces = sentencepiece.SentencePieceProcessor(model_proto=pieces)
-        self.is_byte = np.array([self.pieces.IsByte(i) for i in range(self.pieces.GetPieceSize())])
-        self.met: dict[bytes, tuple[bytes, int, int]] = {}
-
-    def measure(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        known = sentencepiece.SentencePieceProcessor(model_proto=pieces)
+        self.falls_back = np.ones(0x110000, bool)
+        single = [known.IdToPiece(i) for i in range(known.GetPieceSize()) if not known.IsByte(i)]
+        self.falls_back[[ord(p) for p in single if len(p) == 1]] = False
+        self.met, self.old = {}, {}
+
+    def of_word(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            found = self.tokens.encode_ordinary(" " + word.decode("utf-8", "replace"))
+            ids = array.array("H", found).tobytes()
+        if len(self.met) >= KEPT:
+            self.met, self.old = {}, self.met
+        self.met[word] = ids
+        return ids
+
+    def measure(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and the number of ids of each word."""
         met = self.met
-        new = list({w for w in words if w not in met})
-        if new:
-            if len(met) + len(new) > KEPT:
-                met.clear()
-                new = list(set(words))
-            shown = [w.decode("utf-8", "replace") for w in new]
-            ids = self.tokens.encode_ordinary_batch([" " + w for w in shown], num_threads=1)
-            for w, a, b in zip(new, ids, self.pieces.encode(shown, num_threads=1)):
-                met[w] = np.array(a, np.uint16).tobytes(), len(b), int(self.is_byte[b].sum()) if b else 0
-        found = [met[w] for w in words]
-        flat = np.frombuffer(b"".join([f[0] for f in found]), np.uint16)
-        n = np.fromiter((len(f[0]) >> 1 for f in found), np.int64, len(found))
-        return flat, n, *(np.fromiter((f[i] for f in found), np.int64, len(found)) for i in (1, 2))
+        found = [met.get(w) or self.of_word(w) for w in words]
+        n = np.fromiter(map(len, found), np.int64, len(found)) >> 1
+        return np.frombuffer(b"".join(found), np.uint16), n
 
 
 def entropy_share(ids: np.ndarray, owner: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -97,7 +102,8 @@ def entropy_share(ids: np.ndarray, owner: np.ndarray, n: np.ndarray) -> np.ndarr
     return np.where(n > 1, bits / np.log2(np.maximum(n, 2)), 1.0)
 
 
-def _scripts(texts: list[str]) -> list[str]:
+def _characters(texts: list[str], falls_back: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Script of each text, and its number of characters that fall back to bytes."""
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     found = _CODES[np.searchsorted(_STARTS, codes, side="right") - 1]
@@ -105,7 +111,9 @@ def _scripts(texts: list[str]) -> list[str]:
     owner = np.repeat(np.arange(len(texts)), lengths)
     k = len(_NAMES)
     counts = np.bincount((owner * k + found)[letter], minlength=len(texts) * k).reshape(len(texts), k)
-    return [_NAMES[i] if m else "none" for i, m in zip(counts.argmax(axis=1), counts.max(axis=1))]
+    names = [_NAMES[i] if m else "none" for i, m in zip(counts.argmax(axis=1), counts.max(axis=1))]
+    back = falls_back[codes] & (codes > 32)
+    return names, np.bincount(owner[back], minlength=len(texts))
 
 
 MEASURES = ("chars_per_token", "byte_share", "entropy_share")
@@ -132,16 +140,15 @@ def measured(spark, vocabularies: tuple[str, str] | None = None):
             texts = texts_of(column.slice(a, b - a))
             batch = Batch(texts)
             words = [w for t in texts for w in t.split()]
-            ids, n, pieces, bytes_ = meter.measure(words)
+            ids, n = meter.measure(words)
             owner, chars = batch.owner, batch.word_chars()
             tokens = np.bincount(owner, n, len(texts)).astype(np.int64)
-            pieces, bytes_ = (np.bincount(owner, x, len(texts)) for x in (pieces, bytes_))
+            scripts, back = _characters([t.decode("utf-8", "replace") for t in texts], meter.falls_back)
             parts.append((
                 batch.n_words, chars, batch.symbols(), np.fromiter(map(repeated_lines, texts), np.int64),
                 batch.repeated_window_words(batch.word_hashes(lower=False)), tokens,
-                chars / np.maximum(tokens, 1), bytes_ / np.maximum(pieces, 1),
-                entropy_share(ids.astype(np.int64), np.repeat(owner, n), tokens),
-                _scripts([t.decode("utf-8", "replace") for t in texts]),
+                chars / np.maximum(tokens, 1), back / np.maximum(chars, 1),
+                entropy_share(ids.astype(np.int64), np.repeat(owner, n), tokens), scripts,
             ))
         names = [f.split(":") for f in _FIELDS.split(",")]
         kinds = {"long": pa.int64(), "double": pa.float64(), "string": pa.string()}
