@@ -221,14 +221,21 @@ def _add_pairs(batches):
             mass.append(counts[at[once]] - DISCOUNT if len(total) else np.zeros(0))
         context, mass = _summed(np.concatenate(context), np.concatenate(mass))
         rows = [(-1, bucket, _press(context, mass))] if len(context) else []
-        for block, (h, w, _), k, (mine, at) in zip(blocks, pairs, keys, held_by):
-            if mine.any():
-                own = np.unique(h[mine])
+        for block, (h, *_), k, (mine, at) in zip(blocks, data, keys, held_by):
+            # All contexts of the block that have an arc anywhere, not only for its own pairs.
+            own = np.intersect1d(h, context)
+            if len(own):
                 rows.append((block, bucket, _press(k[mine], counts[at[mine]], own, mass[np.searchsorted(context, own)])))
         if rows:
             yield _rows(["block", "bucket", "data"], rows)
 
 
+def _found_in(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each wanted value in the sorted ``keys``, and whether it is there."""
+    at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+    return at, keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
+
+
 class Automaton:
     """The part of the automaton that a block needs: its words, arcs and failure weights."""
 
@@ -268,10 +275,10 @@ class Automaton:
             if len(inside):
                 s = now[inside]
                 key = mix(self.contexts[s], tokens[at[inside]])
-                arc = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
-                has = self.arcs[arc] == key
-                p = (self.arc_counts[arc] - DISCOUNT) / np.maximum(self.times[s], 1) + self.left[s] * 10 ** low[inside]
-                weight[inside] = np.where(has, np.log10(p), self.fail[s] + low[inside])
+                arc, has = _found_in(self.arcs, key)
+                p = (self.arc_counts[arc[has]] - DISCOUNT) / np.maximum(self.times[s[has]], 1) + self.left[s[has]] * 10 ** low[inside[has]]
+                weight[inside] += self.fail[s]
+                weight[inside[has]] = np.log10(p)
             score[texts] += weight
             state[texts] = after[at]
         return score, np.add.reduceat(base, first), np.add.reduceat(self.counts[word] > 0, first)
@@ -296,9 +303,12 @@ def _score(n: int, v: int, texts_seen: int, hot: np.ndarray, hot_mass: np.ndarra
         ac = joined(pairs, 1, np.int64)[where]
         h, where = np.unique(joined(pairs, 2, np.uint64), return_index=True)
         m = joined(pairs, 3, np.float64)[where]
-        if len(hot) and len(h):  # the sums of spread contexts come from the driver
-            at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
-            m = np.where(hot[at] == h, hot_mass[at], m)
+        # The sums of spread contexts come from the driver.
+        some = hot_mass > 0
+        rest = ~np.isin(h, hot)
+        h, m = np.concatenate([h[rest], hot[some]]), np.concatenate([m[rest], hot_mass[some]])
+        order = np.argsort(h)
+        h, m = h[order], m[order]
         return Automaton(w, c, a, ac, h, m, n, v, texts_seen)
 
     def scored(model, rows):

@@ -9,8 +9,9 @@ before are kept per Python worker.
 The bands are learned from all texts that pass the base rules: per group (the language
 label where there is one, else the script of most letters) and length class (log2 of the
 tokens) the quartiles of each measure, widened by ``REACH`` interquartile ranges
-and a small slack. A text outside a band is rejected; groups with fewer than ``LEAST``
-texts have no bands. The group table has a row per language or script and length class, so it is small
+and a small slack. A text outside a band is rejected. A class with fewer than ``LEAST``
+texts uses the bands of its whole group for all but the entropy, which depends on length;
+a group with fewer has no bands. The group table has a row per language or script and length class, so it is small
 whatever the input. Percentiles come from mergeable sketches; nothing is sampled.
 
 A null or empty text has no words, fails the base rules (fewer than 20 words) and is not
@@ -161,6 +162,22 @@ def measured(spark, vocabularies: tuple[str, str] | None = None):
     return run
 
 
+def _bands(rows: DataFrame, keys: list[str], measures: tuple[str, ...]) -> DataFrame:
+    """Keys and the low and high limit of each measure, for groups with enough rows."""
+    quartiles = (
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(m, [0.25, 0.75], 1000).alias(m) for m in measures])
+        .where(F.col("n") >= LEAST)
+    )
+    limits = []
+    for m in measures:
+        first, third = F.col(m)[0], F.col(m)[1]
+        for quartile, sign in ((first, -1), (third, 1)):
+            slack = SLACK * F.greatest(quartile, F.lit(1.0))
+            limits.append(quartile + sign * (REACH * (third - first) + slack))
+    return quartiles.select(*keys, *limits)
+
+
 def judge(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str | None = None, vocabularies=None
 ) -> DataFrame:
@@ -174,25 +191,19 @@ def judge(
     rows = rows.withColumn(
         "base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     ).withColumn("length_class", F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))).cast("int"))
-    quartiles = (
-        rows.where("NOT base_failed")
-        .groupBy("group", "length_class")
-        .agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(m, [0.25, 0.75], 1000).alias(m) for m in MEASURES])
-        .where(F.col("n") >= LEAST)
-    )
-    bands = quartiles.select(
-        "group", "length_class",
-        *[
-            (F.col(m)[i] + sign * (REACH * (F.col(m)[1] - F.col(m)[0]) + SLACK * F.greatest(F.col(m)[i], F.lit(1.0))))
-            .alias(f"{m}_{end}")
-            for m in MEASURES
-            for i, sign, end in ((0, -1, "low"), (1, 1, "high"))
-        ],
-    )
+    passed = rows.where("NOT base_failed")
+    found = rows
+    for keys, measures, end in ((["group", "length_class"], MEASURES, "class"), (["group"], MEASURES[:2], "group")):
+        bands = _bands(passed, keys, measures).toDF(
+            *[f"{end}_{k}" for k in keys], *[f"{end}_{m}_{side}" for m in measures for side in ("low", "high")]
+        )
+        same = [F.col(k) == F.col(f"{end}_{k}") for k in keys]
+        found = found.join(F.broadcast(bands), same, "left")
     outside = F.lit(False)
     for m in MEASURES:
-        outside = outside | F.coalesce(~F.col(m).between(F.col(f"{m}_low"), F.col(f"{m}_high")), F.lit(False))
-    found = rows.join(F.broadcast(bands), ["group", "length_class"], "left")
+        levels = ("class", "group") if m in MEASURES[:2] else ("class",)
+        low, high = (F.coalesce(*[F.col(f"{level}_{m}_{side}") for level in levels]) for side in ("low", "high"))
+        outside = outside | F.coalesce(~F.col(m).between(low, high), F.lit(False))
     return found.withColumn("kept", ~F.col("base_failed") & ~outside)
 
 

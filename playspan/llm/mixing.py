@@ -113,19 +113,20 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
         [(*r[:4], *at.get(r[0], ((1 << _BITS) if r[4] > 0 else -1, 0))) for r in rows],
         "m_source string, source_size long, target double, epochs long, cut long, rest long",
     )
-    name, n, k = free_name(docs, "mix"), free_name(docs, "mix_size"), free_name(docs, "mix_key")
+    name, n, k, m = (free_name(docs, x) for x in ("mix", "mix_size", "mix_key", "mix_source"))
+    of = lambda field: F.col(f"{m}.{field}")
     sized = docs.withColumn(n, n_words(quoted(text))).withColumn(k, _key(quoted(doc_id), quoted(text)))
-    rest = F.when(F.col(k) < F.col("m.cut"), F.col(n)).when(F.col(k) == F.col("m.cut"), F.least(F.col("m.rest"), F.col(n)))
+    rest = F.when(F.col(k) < of("cut"), F.col(n)).when(F.col(k) == of("cut"), F.least(of("rest"), F.col(n)))
     mixed = sized.join(
-        F.broadcast(final.select(F.struct("*").alias("m"))),
-        F.equal_null(quoted(source).cast("string"), F.col("m.m_source")),
+        F.broadcast(final.select(F.struct("*").alias(m))),
+        F.equal_null(quoted(source).cast("string"), of("m_source")),
         "left",
     )
     return mixed.withColumn(
         name,
         F.struct(
-            F.col(n).alias("size"), F.col("m.source_size"), F.col("m.target"), F.col("m.epochs"),
-            (F.col("m.epochs") * F.col(n) + F.coalesce(rest, F.lit(0))).alias("taken"),
+            F.col(n).alias("size"), of("source_size"), of("target"), of("epochs"),
+            (of("epochs") * F.col(n) + F.coalesce(rest, F.lit(0))).alias("taken"),
         ),
     ).select(*[quoted(c) for c in docs.columns], F.col(name))
 
