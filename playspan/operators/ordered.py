@@ -1,137 +1,43 @@
 """Work on one total order of all rows without moving them to one task.
 
-A window without PARTITION BY would put the whole table into a single task.
-Here the order is cut into ranges of about equal size. Cut points come from a
-sample and are plain literals afterwards, so the range of a row is a function
-of the row alone: retries and recomputed stages always agree, and the sample
-only decides how even the ranges are. Every range is numbered on its own and
-then shifted by a small table with one row per range.
+A window without PARTITION BY would put the whole table into a single task. Here Spark's
+range partitioning deals the rows out in ranges of about equal size, and the rows are
+written once with the number of their range, so every later stage and every retry sees the
+same ranges. Rows that are equal in the order share a range. Every range is numbered on its
+own and then shifted by a small table with one row per range.
+
+The number of ranges follows the number of rows, without a limit. What is computed over the
+rows per range is one row per ``ROWS_PER_RANGE`` rows; it is joined like any table, so Spark
+broadcasts it only while it is small.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from playspan.session import stage
 
 ROWS_PER_RANGE = 1_000_000
-# Bounds the sampled keys on the driver, the cut points in the plan and the per-range
-# tables that are broadcast. With more rows than both allow, ranges get larger.
-MAX_RANGES = 65_536
-SAMPLES_PER_RANGE = 8
-
 RANGE = "_range"
 
 
-LAST = 2**63 - 1
-
-
-@dataclass(frozen=True)
-class SortPart:
-    """A never-NULL column to sort and compare by."""
-
-    name: str
-    value: Column
-    kind: T.DataType
-
-
-def sort_parts(df: DataFrame, columns: Sequence[str]) -> list[SortPart]:
-    """``columns`` as parts whose ascending order is theirs with NULLS LAST.
-
-    Times and small numbers are longs with NULL above them all; text and big numbers have
-    a part in front that says whether they are NULL.
-    """
-    parts = []
-    for i, column in enumerate(columns):
-        kind, held = df.schema[column].dataType, F.col(column)
-        name = f"_sort{i}"
-        if isinstance(kind, T.TimestampType):
-            small = F.unix_micros(held)
-        elif isinstance(kind, T.DateType):
-            small = F.unix_date(held)
-        elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
-            small = held
-        elif isinstance(kind, (T.StringType, T.LongType)):
-            filler = F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
-            parts.append(SortPart(f"_null{i}", held.isNull().cast("int"), T.IntegerType()))
-            parts.append(SortPart(name, F.coalesce(held, filler), kind))
-            continue
-        else:
-            raise TypeError(f"cannot cut ranges on {column}: {kind.simpleString()}")
-        parts.append(SortPart(name, F.coalesce(small.cast("long"), F.lit(LAST)), T.LongType()))
-    return parts
-
-
-@dataclass(frozen=True)
-class Ranges:
-    """Cut points of an order: a row is in range (number of cuts <= row)."""
-
-    parts: tuple[SortPart, ...]
-    cuts: tuple[tuple, ...]
-
-    @property
-    def count(self) -> int:
-        return len(self.cuts) + 1
-
-    def assign(self, df: DataFrame) -> DataFrame:
-        """Add the range number of each row, by binary search over the cut points."""
-        if not self.cuts:
-            return df.withColumn(RANGE, F.lit(0))
-        points = [
-            F.from_json(F.lit(json.dumps([cut[i] for cut in self.cuts])), T.ArrayType(part.kind))
-            for i, part in enumerate(self.parts)
-        ]
-        names = [part.name for part in self.parts]
-        steps = [1 << i for i in reversed(range(len(self.cuts).bit_length()))]
-
-        def advance(low: Column, step: Column) -> Column:
-            # Past the last cut the arrays yield NULL and the search stays where it is.
-            reached = _not_after([F.get(p, low + step - 1) for p in points], names)
-            return F.when(reached, low + step).otherwise(low)
-
-        found = F.reduce(F.array(*(F.lit(s) for s in steps)), F.lit(0), advance)
-        helpers = {part.name: part.value for part in self.parts}
-        return df.withColumns(helpers).withColumn(RANGE, found).drop(*helpers)
-
-
-def _not_after(point: list[Column], names: list[str]) -> Column:
-    """Whether ``point`` <= row, part by part."""
-    here, value = point[0], F.col(names[0])
-    if len(names) == 1:
-        return here <= value
-    return (here < value) | ((here == value) & _not_after(point[1:], names[1:]))
-
-
-def plan_ranges(
+def in_ranges(
     df: DataFrame,
     columns: Sequence[str],
     *,
     rows_per_range: int = ROWS_PER_RANGE,
     ranges: int | None = None,
-) -> Ranges:
-    """Choose cut points for ``df`` ordered by ``columns`` (ascending, NULLS LAST).
-
-    The driver receives about ``SAMPLES_PER_RANGE`` sampled keys per range, so at most
-    half a million whatever the size of ``df``. ``df`` should be cheap to read twice.
-    """
-    parts = tuple(sort_parts(df, columns))
-    rows = df.count()
+) -> DataFrame:
+    """``df`` written in ranges of the order of ``columns`` (ascending, NULLS LAST), with the
+    number of the range in ``RANGE``. ``df`` should be cheap to read several times."""
     if ranges is None:
         at_least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranges = max(-(-rows // rows_per_range), at_least)
-    ranges = max(1, min(ranges, MAX_RANGES, rows))
-    if ranges == 1:
-        return Ranges(parts, ())
-    fraction = min(1.0, ranges * SAMPLES_PER_RANGE / rows)
-    keys = df.sample(fraction, seed=17).select(*(p.value.alias(p.name) for p in parts))
-    sampled = keys.distinct()
-    sampled = sampled.orderBy(*sampled.columns).collect()
-    picked = [tuple(sampled[len(sampled) * i // ranges]) for i in range(1, ranges) if sampled]
-    return Ranges(parts, tuple(dict.fromkeys(picked)))
+        ranges = max(-(-df.count() // rows_per_range), at_least)
+    order = [F.col(c).asc_nulls_last() for c in columns]
+    dealt = df.repartitionByRange(max(1, ranges), *order)
+    return stage(dealt.withColumn(RANGE, F.spark_partition_id()), "ranges")
 
 
 def dense_key(
@@ -151,14 +57,9 @@ def dense_key(
     columns = [columns] if isinstance(columns, str) else list(columns)
     if not staged:
         df = stage(df, name)
-    cut = plan_ranges(df, columns, rows_per_range=rows_per_range, ranges=ranges)
+    ranged = in_ranges(df, columns, rows_per_range=rows_per_range, ranges=ranges)
     order = [F.col(c).asc_nulls_last() for c in columns]
-    if cut.count == 1:
-        # One range by count: fewer rows than fit into a single task by definition.
-        numbered = df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
-        return numbered.select(name, *df.columns)
-    ranged = cut.assign(df)
-    # One row per range (MAX_RANGES at most), so this window and broadcast are bounded.
+    # One row per range, so this window is over a millionth of the rows.
     before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         ranged.groupBy(RANGE)
@@ -168,7 +69,7 @@ def dense_key(
     local = F.row_number().over(Window.partitionBy(RANGE).orderBy(*order))
     return (
         ranged.withColumn("_local", local)
-        .join(F.broadcast(shifts), RANGE)
+        .join(shifts, RANGE)
         .withColumn(name, F.col("_shift") + F.col("_local"))
         .select(name, *df.columns)
     )

@@ -7,9 +7,10 @@ a stretch of plays of the same track; its plays are numbered from 0.
 The order is global, or per user when ``by`` is given. Either way the rows are
 cut into ranges of the whole order (see ``ordered``), so neither a busy day nor
 a user with a third of all plays has to fit into one task. Each range is
-scanned on its own; what a range needs from earlier ones (the last play, the
-session count, the start of an open run) is carried in a table with a row per
-range and is joined back as a broadcast.
+scanned on its own, with the one sort of the whole table, and the scan is
+written. What a range needs from earlier ones (the last play, the session count,
+the start of an open run) is taken from the first and last rows of the written
+scan: a table with a row per range, joined like any other.
 """
 
 from __future__ import annotations
@@ -17,11 +18,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from playspan import fixed
 from playspan.functions.calendar import minutes_between
-from playspan.operators.ordered import RANGE, ROWS_PER_RANGE, Ranges, plan_ranges, sort_parts
+from playspan.operators.ordered import RANGE, ROWS_PER_RANGE, in_ranges
 from playspan.session import stage
 
 AT = "played_at"
@@ -66,29 +67,23 @@ def number_plays(
     rows_per_range: int = ROWS_PER_RANGE,
     ranges: int | None = None,
     staged: bool = False,
-    keep_range: bool = False,
+    copies: str | None = None,
 ) -> DataFrame:
     """Add ``prev_<carry>`` and the session and run columns to ``plays``.
 
     ``plays`` needs played_at, played_date and track_id; (by, played_at, ties) must be a
     total order. Rows equal in (by, played_at, first tie) always share a range.
     ``staged`` says that ``plays`` is a table already and cheap to read several times.
+    ``copies`` adds a column with the number of rows equal in (by, played_at, first tie).
     """
     if not staged:
         plays = stage(plays, "plays")
     by, ties, carry = list(by), list(ties), list(carry)
     seen = list(dict.fromkeys([AT, DAY, TRACK, *carry]))
-    cut = plan_ranges(plays, [*by, AT, *ties[:1]], rows_per_range=rows_per_range, ranges=ranges)
     rule = (gap_minutes, split_days)
-
-    numbered = _scan_ranges(plays, cut, by, ties, seen, rule)
-    if cut.cuts:
-        numbered = _join_carried(numbered, _carried(plays, cut, by, ties, seen, rule), by)
-    else:
-        none = {f"_before_{c}": F.lit(None).cast(plays.schema[c].dataType) for c in seen}
-        numbered = numbered.withColumns(
-            {**none, **{c: F.lit(None).cast("long") for c in CARRIED}}
-        )
+    ranged = in_ranges(plays, [*by, AT, *ties[:1]], rows_per_range=rows_per_range, ranges=ranges)
+    scanned = stage(_scan_ranges(ranged, by, ties, seen, rule, copies), "scanned")
+    numbered = _join_carried(scanned, _carried(scanned, by, seen, rule), by)
 
     first = F.col("_at") == 1
     prev = _Play(
@@ -114,7 +109,7 @@ def number_plays(
         ).alias("session_number"),
         F.coalesce(prev[TRACK] == row[TRACK], F.lit(False)).alias("is_repeat"),
         (row_shift + F.col("_at") - run_start).alias("repeat_sequence"),
-        *([RANGE] if keep_range else []),
+        *([copies] if copies else []),
     )
 
 
@@ -124,9 +119,10 @@ def _within(by, ties):
     return Window.partitionBy(RANGE, *by).orderBy(*order)
 
 
-def _scan_ranges(df: DataFrame, cut: Ranges, by, ties, seen, rule) -> DataFrame:
-    """What can be said from within a range: the previous play, the position, and the
-    sessions and runs opened so far, not counting the first play of the range."""
+def _scan_ranges(ranged: DataFrame, by, ties, seen, rule, copies: str | None) -> DataFrame:
+    """What can be said from within a range: the previous play, the position, whether it is
+    the last one, and the sessions and runs opened so far, not counting the first play of
+    the range. All of it comes from one sort."""
     within = _within(by, ties)
     so_far = within.rowsBetween(Window.unboundedPreceding, 0)
     inner = F.col("_at") > 1
@@ -134,48 +130,44 @@ def _scan_ranges(df: DataFrame, cut: Ranges, by, ties, seen, rule) -> DataFrame:
     row = _Play(F.lit(True), {c: F.col(c) for c in seen})
     opened = F.when(inner, _opens_session(prev, row, *rule)).otherwise(0)
     run_opened = inner & (_opens_run(prev, row) == 1)
-    return (
-        cut.assign(df)
-        .withColumns(
-            {
-                **{f"_prev_{c}": F.lag(c).over(within) for c in seen},
-                "_at": F.row_number().over(within).cast("long"),
-            }
-        )
-        .withColumns(
-            {
-                "_sessions": F.sum(opened).over(so_far),
-                "_run_at": F.max(F.when(run_opened, F.col("_at"))).over(so_far),
-            }
-        )
+    scanned = ranged.withColumns(
+        {
+            **{f"_prev_{c}": F.lag(c).over(within) for c in seen},
+            "_at": F.row_number().over(within).cast("long"),
+            "_final": F.lead(F.lit(1)).over(within).isNull(),
+        }
+    ).withColumns(
+        {
+            "_sessions": F.sum(opened).over(so_far),
+            "_run_at": F.max(F.when(run_opened, F.col("_at"))).over(so_far),
+        }
     )
+    if copies:
+        # Copies are neighbours: counting them needs neither a shuffle nor another sort.
+        place = Window.partitionBy(RANGE, *by).orderBy(*[F.col(c).asc_nulls_last() for c in (AT, *ties[:1])])
+        same = place.rangeBetween(Window.currentRow, Window.currentRow)
+        scanned = scanned.withColumn(copies, F.count("*").over(same))
+    return scanned
 
 
 CARRIED = ("_first_opens", "_first_run", "_session_shift", "_row_shift", "_open_run_at")
 
 
-def _carried(plays: DataFrame, cut: Ranges, by, ties, seen, rule) -> DataFrame:
-    """What came before each range: one row per range, and per user met by a cut."""
-    slim = plays.select(*dict.fromkeys([*by, *seen, *ties]))
-    if by:
-        slim = _users_met_by_cuts(slim, cut, by)
+def _carried(scanned: DataFrame, by, seen, rule) -> DataFrame:
+    """What came before each range: one row per range, and per user in several ranges."""
     first, row = F.col("_at") == 1, F.struct(*seen)
-    final = F.lead(F.lit(1)).over(_within(by, ties)).isNull()
     # The first and the last row of a range say all there is to carry.
-    parts = (
-        _scan_ranges(slim, cut, by, ties, seen, rule)
-        .withColumn("_final", final)
-        .filter(first | F.col("_final"))
-        .groupBy(RANGE, *by)
-        .agg(
-            F.max("_at").alias("_rows"),
-            F.max(F.when(first, row)).alias("_first"),
-            F.max(F.when(F.col("_final"), row)).alias("_last"),
-            F.max("_sessions").alias("_inner_sessions"),
-            F.max("_run_at").alias("_inner_run_at"),
-        )
+    ends = scanned.filter(first | F.col("_final"))
+    if by:
+        ends = _users_in_several(ends, by)
+    parts = ends.groupBy(RANGE, *by).agg(
+        F.max("_at").alias("_rows"),
+        F.max(F.when(first, row)).alias("_first"),
+        F.max(F.when(F.col("_final"), row)).alias("_last"),
+        F.max("_sessions").alias("_inner_sessions"),
+        F.max("_run_at").alias("_inner_run_at"),
     )
-    # One row per range here (see the note at the join), also without ``by``.
+    # One row per range here, also without ``by``.
     along = Window.partitionBy(*by).orderBy(RANGE)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     prev = _Play(
@@ -214,30 +206,26 @@ def _carried(plays: DataFrame, cut: Ranges, by, ties, seen, rule) -> DataFrame:
     )
 
 
-def _join_carried(numbered: DataFrame, carried: DataFrame, by) -> DataFrame:
-    """Broadcast join. ``carried`` has a row per range, or per range of a user met by a
-    cut: at most two per cut, so its size is bounded by MAX_RANGES and not by the data."""
+def _join_carried(scanned: DataFrame, carried: DataFrame, by) -> DataFrame:
+    """``carried`` has a row per range, or per range of a user in several of them."""
     on = F.lit(True)
     for c in (RANGE, *by):
         on = on & F.col(f"p.{c}").eqNullSafe(F.col(f"c.{c}"))
     added = [c for c in carried.columns if c not in (RANGE, *by)]
     return (
-        numbered.alias("p")
-        .join(F.broadcast(carried).alias("c"), on, "left")
+        scanned.alias("p")
+        .join(carried.alias("c"), on, "left")
         .select("p.*", *(f"c.{c}" for c in added))
     )
 
 
-def _users_met_by_cuts(df: DataFrame, cut: Ranges, by) -> DataFrame:
-    """Rows of users that a cut point falls into. Only they can continue in the next
-    range, and there are no more of them than cuts."""
-    parts = sort_parts(df, by)
-    met = list(dict.fromkeys(point[: len(parts)] for point in cut.cuts))
-    fields = [T.StructField(part.name, part.kind, False) for part in parts]
-    wanted = df.sparkSession.createDataFrame(met, T.StructType(fields))
-    helpers = {part.name: part.value for part in parts}
-    return (
-        df.withColumns(helpers)
-        .join(F.broadcast(wanted), list(helpers), "left_semi")
-        .drop(*helpers)
+def _users_in_several(ends: DataFrame, by) -> DataFrame:
+    """Rows of users that are in more than one range, of whom there are fewer than ranges."""
+    several = (
+        ends.groupBy(*by).agg(F.min(RANGE).alias("_from"), F.max(RANGE).alias("_to"))
+        .filter("_from < _to").select(*by)
     )
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(f"p.{c}").eqNullSafe(F.col(f"s.{c}"))
+    return ends.alias("p").join(several.alias("s"), on, "left_semi")

@@ -9,7 +9,7 @@ from playspan.functions.calendar import calendar_parts, local_time, weekday_name
 from playspan.functions.keys import hash_key
 from playspan.functions.numbers import hours_of, round_to
 from playspan.operators.dedup import align, first_per_key, latest_per_key, prefer_present
-from playspan.operators.ordered import RANGE, dense_key
+from playspan.operators.ordered import dense_key
 from playspan.operators.playlists import slot_names, slots_of_copies, track_memberships, track_slots
 from playspan.operators.sessions import number_plays
 from playspan.operators.stats import entity_stats, playlist_stats, with_stats
@@ -198,17 +198,12 @@ def fact_plays(
         ties=("play_id", "data_source"),
         carry=("track_key", "artist_key"),
         staged=True,
-        keep_range=True,
+        copies="_copies",
         **numbering,
     )
-    # Copies of a play are neighbours within a range: counting rows of the same place in
-    # the order needs neither a shuffle nor another sort.
     by = list(numbering.get("by", ()))
-    order = [F.col(c).asc_nulls_last() for c in ("played_at", "play_id")]
-    place = Window.partitionBy(RANGE, *by).orderBy(*order)
-    copies = F.count("*").over(place.rangeBetween(Window.currentRow, Window.currentRow))
     local = local_time(F.col("played_at"))
-    shown = numbered.withColumn("_copies", copies).withColumns(
+    shown = numbered.withColumns(
         {
             **dict(zip(slot_names(), slots_of_copies(F.col("_copies")))),
             "playlist_count": F.coalesce("playlist_count", F.lit(0)),

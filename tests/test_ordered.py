@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from playspan.operators.ordered import RANGE, dense_key, dense_key_single_task, plan_ranges
+from playspan.operators.ordered import RANGE, dense_key, dense_key_single_task, in_ranges
 
 
 def keys(n, seed=4):
@@ -27,16 +27,14 @@ def test_numbers_follow_the_order(spark, ranges):
 
 def test_ranges_are_balanced_under_a_shared_prefix(spark):
     df = spark.range(20000).select(F.concat(F.lit("same_prefix_"), F.md5(F.col("id").cast("string"))).alias("id"))
-    cut = plan_ranges(df, ["id"], ranges=20)
-    sizes = [r["count"] for r in cut.assign(df).groupBy(RANGE).count().collect()]
+    sizes = [r["count"] for r in in_ranges(df, ["id"], ranges=20).groupBy(RANGE).count().collect()]
     assert len(sizes) == 20
     assert max(sizes) < 3 * 1000
 
 
 def test_one_hot_value_is_split_by_the_next_column(spark):
     df = spark.range(12000).select(F.when(F.col("id") < 8000, 7).otherwise(F.col("id")).alias("user"), "id")
-    cut = plan_ranges(df, ["user", "id"], ranges=12)
-    sizes = [r["count"] for r in cut.assign(df).groupBy(RANGE).count().collect()]
+    sizes = [r["count"] for r in in_ranges(df, ["user", "id"], ranges=12).groupBy(RANGE).count().collect()]
     assert max(sizes) < 3 * 1000
 
 
