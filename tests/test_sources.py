@@ -225,3 +225,117 @@ def test_load_and_build(spark, tmp_path):
     failed = {r.check_name for r in build.check(made).collect() if r.status == "fail"}
     assert failed >= {"not_null:artist_key", "not_null:conn_country"}
     assert not failed & {"unique:play_id", "sessions_are_sequential", "parent:track_key"}
+
+
+PLAYLIST_HEADER = (
+    "playlist_id,playlist_name,owner_id,is_owner,is_public,is_collaborative,total_tracks,description,"
+    "snapshot_id,extracted_at"
+)
+QUOTED = PLAYLIST_HEADER + '\np1,"My ""best"", mix",me,True,False,,7.0,"two\nlines, "" and \\",s,2024-01-01 00:00:00\n'
+
+
+def test_csv_of_another_writer(spark, tmp_path):
+    write(tmp_path / "a.csv", QUOTED)
+    (row,) = landing.read_csv(spark, str(tmp_path), schemas.PLAYLISTS_FILE, stamp()).collect()
+    assert row.playlist_name == 'My "best", mix' and row.description == 'two\nlines, " and \\'
+    assert (row.total_tracks, row.is_owner, row.is_public, row.is_collaborative) == (7, True, False, None)
+
+
+@pytest.mark.parametrize("line", ["p1,n,me,True,True,False,seven,,s,2024-01-01 00:00:00", "p1,n,me", "p1,n,me,maybe,,,,,,"])
+def test_csv_that_does_not_convert_is_an_error(spark, tmp_path, line):
+    write(tmp_path / "a.csv", f"{PLAYLIST_HEADER}\n{line}\n")
+    with pytest.raises(Exception):
+        landing.read_csv(spark, str(tmp_path), schemas.PLAYLISTS_FILE, stamp()).collect()
+
+
+def test_stream_reads_the_same_dialect(spark, tmp_path):
+    write(tmp_path / "in" / "a.csv", QUOTED)
+    stream = incremental.landing_stream(spark, str(tmp_path / "in"), schemas.PLAYLISTS_FILE)
+    table = str(tmp_path / "table")
+    incremental.ingest_upsert(stream, table, ["playlist_id"], str(tmp_path / "check"), loaded_at=stamp())
+    (row,) = tables.read_current(spark, table).collect()
+    assert row.playlist_name == 'My "best", mix' and row.total_tracks == 7
+
+
+def test_written_text_is_read_back(spark, tmp_path):
+    texts = ['a "b"', "c,d", "e\nf", " g ", "\\", '""', "h\\\"i"]
+    df = spark.createDataFrame([(t, dt.datetime(2024, 1, 1)) for t in texts], "track_name string, at timestamp")
+    landing.write_csv(df, str(tmp_path / "x"))
+    back = landing.read_csv(spark, str(tmp_path / "x"), "track_name string, at timestamp", stamp())
+    assert sorted(r.track_name for r in back.collect()) == sorted(texts)
+
+
+def test_landing_batches_stay(spark, tmp_path):
+    root = str(tmp_path / "l")
+    for batch, rows in (("1", pairs(spark, ("a", 1, 1))), ("2", pairs(spark, ("b", 2, 2))), ("3", pairs(spark, ("c", 3, 2)))):
+        landing.write_landing(rows, root, "things", "loaded_at", batch)
+    schema = "k string, v int, loaded_at timestamp"
+
+    def found(mode):
+        df = landing.read_batches(spark, root, "things", schema, mode=mode)
+        return sorted((r.k, r.v) for r in df.collect())
+
+    assert found("all") == [("a", 1), ("b", 2), ("c", 3)] and found("latest") == [("c", 3)]
+
+
+def test_odd_numbers_keep_their_file(spark, tmp_path):
+    uri = fixed.TRACK_URI_PREFIX
+    data = [record(uri + "A", 3000.5), record(uri + "B", "41000"), record(uri + "C", None)]
+    write(tmp_path / "Streaming_History_Audio_1.json", json.dumps(data))
+    write(tmp_path / "Streaming_History_Audio_2.json", json.dumps(data)[:-3])
+    rows = landing.read_history(spark, str(tmp_path), loaded_at=stamp()).collect()
+    assert sorted((r.ms_played or 0) for r in rows) == [0, 3000, 41000]
+    files = {r.file[-6:]: (r.skipped, r.n_records) for r in landing.history_files(spark, str(tmp_path)).collect()}
+    assert files == {"1.json": (False, 3), "2.json": (True, 0)}
+    with pytest.raises(ValueError, match="not JSON"):
+        landing.read_exported_plays(spark, str(tmp_path))
+
+
+def test_exported_plays_are_loaded_once(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    data = [record(fixed.TRACK_URI_PREFIX + "A", minute=2), record(fixed.TRACK_URI_PREFIX + "B", minute=3), record(None)]
+    write(tmp_path / "endsong_0.json", json.dumps(data))
+    counts = [tuple(load.load_exported_plays(spark, str(tmp_path), root, loaded_at=stamp()).first())[1:] for _ in range(2)]
+    assert counts == [(0, 2, 2, 0), (2, 2, 0, 0)]
+
+
+def test_success_markers_do_not_matter(spark, tmp_path):
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    spark.conf.set(key, "false")
+    try:
+        for _ in range(2):
+            tables.append_new(spark, pairs(spark, ("a", 1, 1)), str(tmp_path / "t"), ["k"])
+    finally:
+        spark.conf.unset(key)
+    assert tables.read(spark, str(tmp_path / "t")).count() == 1
+
+
+def test_stream_upsert_goes_on_after_a_new_checkpoint(spark, tmp_path):
+    table, schema = str(tmp_path / "t"), "k string, v int, loaded_at timestamp"
+    for n, rows in enumerate((("a", 1, 1), ("b", 2, 2), ("c", 3, 3))):
+        landing.write_csv(pairs(spark, rows), str(tmp_path / f"in{n}"))
+        stream = incremental.landing_stream(spark, str(tmp_path / f"in{n}"), schema)
+        incremental.ingest_upsert(stream, table, ["k"], str(tmp_path / f"check{n % 2}-{n}"))
+    tables.upsert_version(spark, pairs(spark, ("d", 4, 4)), table, ["k"])
+    assert sorted(r.k for r in tables.read_current(spark, table).collect()) == ["a", "b", "c", "d"]
+    tables.upsert_version(spark, pairs(spark, ("e", 5, 5)), table, ["k"], "again")
+    tables.upsert_version(spark, pairs(spark, ("f", 6, 6)), table, ["k"], "again")
+    assert tables.read_current(spark, table).count() == 5
+
+
+def test_late_plays_are_kept(spark, tmp_path):
+    table, keys = str(tmp_path / "t"), schemas.TABLE_KEYS["raw_plays"]
+    for hour, tracks in ((9, "AB"), (5, "C"), (9, "AB")):
+        play_file(tmp_path / "in", 1, hour, tracks)
+        stream = incremental.landing_stream(spark, str(tmp_path / "in"), schemas.PLAYS_FILE)
+        incremental.without_repeats(stream, table, keys, str(tmp_path / "check"))
+    assert sorted(r.track_id for r in tables.read(spark, table).collect()) == ["A", "B", "C"]
+
+
+def test_range_condition_and_warning(spark):
+    from playspan.operators import quality
+
+    t = spark.createDataFrame([(1, 500, "x"), (2, 600, "y")], "id int, v int, kind string")
+    declared = {"t": quality.TableChecks(ranges={"v": (0, 100)}, where={"v": "kind = 'x'"}, warn=("range:v",))}
+    (r,) = quality.report({"t": t}, declared).collect()
+    assert (r.failures, r.status) == (1, "warn")
