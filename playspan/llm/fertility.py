@@ -198,7 +198,7 @@ def judge(
             *[f"{end}_{k}" for k in keys], *[f"{end}_{m}_{side}" for m in measures for side in ("low", "high")]
         )
         same = [F.col(k) == F.col(f"{end}_{k}") for k in keys]
-        found = found.join(F.broadcast(bands), same, "left")
+        found = found.join(bands, same, "left")
     outside = F.lit(False)
     for m in MEASURES:
         levels = ("class", "group") if m in MEASURES[:2] else ("class",)

@@ -80,7 +80,7 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     )
 
     # Ranges of keys, their sums, and the range in which the budget of the source ends.
-    ranged = slim.join(F.broadcast(per_source), F.equal_null(F.col("source"), F.col("s_source"))).select(
+    ranged = slim.join(per_source, F.equal_null(F.col("source"), F.col("s_source"))).select(
         "source", "key", "size", "budget", F.expr("shiftright(key, shift)").alias("range")
     )
     sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("size"), F.first("budget").alias("budget"))
@@ -93,7 +93,7 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     )
     ends = spark.createDataFrame(ends, "e_source string, e_range long, before long")
     last = ranged.join(
-        F.broadcast(ends),
+        ends,
         F.equal_null(F.col("source"), F.col("e_source")) & (F.col("range") == F.col("e_range")),
     ).select("source", "key", "size", "budget", "before")
     # One row per key in that range; the rows of a range are about the root of the source's.
@@ -118,7 +118,7 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     sized = docs.withColumn(n, n_words(quoted(text))).withColumn(k, _key(quoted(doc_id), quoted(text)))
     rest = F.when(F.col(k) < of("cut"), F.col(n)).when(F.col(k) == of("cut"), F.least(of("rest"), F.col(n)))
     mixed = sized.join(
-        F.broadcast(final.select(F.struct("*").alias(m))),
+        final.select(F.struct("*").alias(m)),
         F.equal_null(quoted(source).cast("string"), of("m_source")),
         "left",
     )
