@@ -10,15 +10,17 @@ walk from left to right that carries its state and adds log10 weights; the texts
 walk side by side.
 
 Nothing of the model is held in one place. Rows are cut in blocks of ``BLOCK`` rows in
-written order. A block sends its different words, later its different pairs, to the bucket
-of their hash, where they are added up over all blocks, and gets the sums for its own words
-and pairs back. A word or pair that is everywhere is sent once per block. Contexts with more
-than a ``HOT_SHARE``-th of all tokens (so at most that many) are spread over ``SALTS``
-buckets and their sums collected on the driver.
+written order. A block sends its different pairs, by context, to the bucket of the context's
+hash, where they are added up over all blocks: the sum over a context's pairs is the count
+of that word, those seen often enough are its arcs. The block gets the counts and masses of
+its own contexts and the arcs among its own pairs back. A pair that is everywhere is sent
+once per block. Contexts with more than a ``HOT_SHARE``-th of all tokens (so at most that
+many) are spread over ``SALTS`` buckets, and their sums collected on the driver.
 
 Null and empty texts have the end as their only token. Rows with a null id teach nothing and
 are not held out. Without training rows all tokens are unknown (c = 0, N = 0, V = 0). Words
-and pairs are told apart by 64-bit hashes. Other columns may have any names.
+are told apart by 64-bit hashes, the second word of a pair by 48 bits of it. Other columns
+may have any names.
 """
 
 from __future__ import annotations
@@ -36,14 +38,17 @@ LEAST = 2
 DISCOUNT = 0.75
 HOT_SHARE = 512
 SALTS = 64
+_WORD48 = U((1 << 48) - 1)
 _END, _START = U(0x5DEECE66D1234567), U(0x2545F4914F6CDD1D)
 
 
 def _press(*arrays: np.ndarray) -> bytes:
+    """Arrays as bytes, the first bytes of all numbers together, then the second ones."""
     import zstandard
 
     head = np.array([len(a) for a in arrays], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes))
 
 
 def _release(data: bytes, *kinds) -> list[np.ndarray]:
@@ -52,12 +57,18 @@ def _release(data: bytes, *kinds) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(data)
     at, out = 8 * len(kinds), []
     for n, kind in zip(np.frombuffer(raw[:at], np.int64).tolist(), kinds):
-        size = n * np.dtype(kind).itemsize
-        out.append(np.frombuffer(raw[at : at + size], kind))
-        at += size
+        size = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw[at : at + n * size], np.uint8).reshape(size, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += n * size
     return out
 
 
+def _steps(ascending: np.ndarray) -> np.ndarray:
+    """Differences of ascending numbers, which are smaller; undone by a cumulated sum."""
+    return np.diff(ascending, prepend=ascending.dtype.type(0))
+
+
 def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token hashes of all texts, the end of each included; first token and number per text."""
     batch = Batch(texts)
@@ -116,23 +127,23 @@ def _rows(names: list[str], rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[n]) for i, n in enumerate(names)], names)
 
 
-def _send_words(buckets: int):
-    def run(batches):
-        for block, texts, train in _blocks(batches):
-            keys, counts = [], []
-            for a, b, tokens, _, n in _in_slices(texts):
-                k, c = _summed(tokens, np.repeat(train[a:b], n).astype(np.int64))
-                keys.append(k)
-                counts.append(c)
-            k, c = _summed(np.concatenate(keys), np.concatenate(counts))
-            to = (k % U(buckets)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            k, c, cut = k[order], c[order], np.searchsorted(to[order], np.arange(buckets + 1))
-            yield _rows(["bucket", "block", "data"], [
-                (i, block, _press(k[a:b], c[a:b])) for i, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a
-            ])
-
-    return run
+def _frequent(batches):
+    """Words with a ``HOT_SHARE``-th of a block's training tokens; all of them as word null."""
+    for _, texts, train in _blocks(batches):
+        parts, total = [], 0
+        for a, b, tokens, _, n in _in_slices(texts):
+            own = tokens[np.repeat(train[a:b], n)]
+            total += len(own)
+            parts.append(_summed(own, np.ones(len(own), np.int64)))
+        k, c = _summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        often = c * HOT_SHARE > total
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([None, *k[often].view(np.int64).tolist()], pa.int64()),
+                pa.array([total, *c[often].tolist()], pa.int64()),
+            ],
+            ["word", "n"],
+        )
 
 
 def _by_bucket(batches, *kinds):
@@ -150,19 +161,6 @@ def _by_bucket(batches, *kinds):
         yield held, blocks, data
 
 
-def _add_words(batches):
-    """Totals of a bucket back to its blocks; totals and frequent words of the bucket in block -1."""
-    for bucket, blocks, data in _by_bucket(batches, np.uint64, np.int64):
-        keys, counts = _summed(np.concatenate([d[0] for d in data]), np.concatenate([d[1] for d in data]))
-        top = np.argsort(-counts)[:HOT_SHARE]
-        rows = [(-1, bucket, _press(
-            np.array([counts.sum(), (counts > 0).sum()], np.int64), keys[top], counts[top]
-        ))]
-        for block, (k, _) in zip(blocks, data):
-            rows.append((block, bucket, _press(k, counts[np.searchsorted(keys, k)])))
-        yield _rows(["block", "bucket", "data"], rows)
-
-
 def _send_pairs(buckets: int, hot: np.ndarray):
     """Per bucket: contexts, pairs of each, the pairs' other words, training counts."""
 
@@ -170,17 +168,16 @@ def _send_pairs(buckets: int, hot: np.ndarray):
         for block, texts, train in _blocks(batches):
             parts = []
             for a, b, tokens, first, n in _in_slices(texts):
-                h, flags = _before(tokens, first), np.repeat(train[a:b], n)
-                order = np.lexsort((tokens, h))
-                h, w, c = h[order], tokens[order], flags[order].astype(np.int64)
+                h, w, flags = _before(tokens, first), tokens & _WORD48, np.repeat(train[a:b], n)
+                order = np.lexsort((w, h))
+                h, w, c = h[order], w[order], flags[order].astype(np.int64)
                 new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (w[1:] != w[:-1])))
                 parts.append((h[new], w[new], np.add.reduceat(c, new)))
             h, w, c = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            salt = np.zeros(len(h), np.uint64)
-            if len(hot):
-                place = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
-                salt = np.where(hot[place] == h, U(1) + (w >> U(40)) % U(SALTS), U(0))
-            to = (mix(h, salt) % U(buckets)).astype(np.int64)
+            del parts
+            salt = np.where(np.isin(h, hot), U(1) + (w >> U(40)) % U(SALTS), U(0))
+            place = np.where(salt > 0, mix(h, salt), h)
+            to = ((place >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
             order = np.lexsort((w, h, to))
             h, w, c, to = h[order], w[order], c[order], to[order]
             new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (w[1:] != w[:-1]) | (to[1:] != to[:-1])))
@@ -191,44 +188,61 @@ def _send_pairs(buckets: int, hot: np.ndarray):
                 if b > a:
                     starts = np.flatnonzero(np.append(True, h[a + 1 : b] != h[a : b - 1]))
                     each = np.diff(np.append(starts, b - a)).astype(np.uint32)
-                    rows.append((i, block, _press(h[a:b][starts], each, w[a:b], c[a:b].astype(np.uint32))))
+                    rows.append((i, block, _press(_steps(h[a:b][starts]), each, w[a:b], c[a:b].astype(np.uint32))))
             yield _rows(["bucket", "block", "data"], rows)
 
     return run
 
 
-def _add_pairs(batches):
-    """Kept pairs and left mass of a bucket back to its blocks; sums of its contexts in block -1.
+_BACK = (np.uint64, np.int64, np.uint64, np.uint32, np.int64)
+_SUMS = (np.int64, np.uint64, np.int64, np.int64)
+
+
+def _add_pairs(hot: np.ndarray):
+    """Sums of a bucket back to its blocks, and those of hot contexts in block -1.
 
-    A block gets (pair, count) for its pairs with ``LEAST`` training counts or more and, for
-    their contexts, the discounted counts of all kept pairs.
+    A block gets (pair, count) for its pairs with ``LEAST`` training counts or more, and for
+    each of its contexts the count and four times the discounted counts of its arcs (whole
+    numbers). Block -1 gets the number of other contexts with a count.
     """
-    for bucket, blocks, data in _by_bucket(batches, np.uint64, np.uint32, np.uint64, np.uint32):
-        pairs = [(np.repeat(h, n), w, c) for h, n, w, c in data]
-        keys = [mix(h, w) for h, w, _ in pairs]
-        total, counts = _summed(np.concatenate(keys), np.concatenate([c for *_, c in pairs]).astype(np.int64))
-        kept = counts >= LEAST
-        total, counts = total[kept], counts[kept]
-        held_by, seen = [], np.zeros(len(total), bool)
-        context, mass = [], []
-        for (h, w, _), k in zip(pairs, keys):
-            at = np.minimum(np.searchsorted(total, k), max(len(total) - 1, 0))
-            mine = total[at] == k if len(total) else np.zeros(len(k), bool)
-            held_by.append((mine, at))
-            once = mine & ~seen[at] if len(total) else mine
-            seen[at[once]] = True
-            context.append(h[once])
-            mass.append(counts[at[once]] - DISCOUNT if len(total) else np.zeros(0))
-        context, mass = _summed(np.concatenate(context), np.concatenate(mass))
-        rows = [(-1, bucket, _press(context, mass))] if len(context) else []
-        for block, (h, *_), k, (mine, at) in zip(blocks, data, keys, held_by):
-            # All contexts of the block that have an arc anywhere, not only for its own pairs.
-            own = np.intersect1d(h, context)
-            if len(own):
-                rows.append((block, bucket, _press(k[mine], counts[at[mine]], own, mass[np.searchsorted(context, own)])))
-        if rows:
+
+    def run(batches):
+        for bucket, blocks, data in _by_bucket(batches, np.uint64, np.uint32, np.uint64, np.uint32):
+            data = [(np.cumsum(h, dtype=np.uint64), n, w, c) for h, n, w, c in data]
+            keys = [mix(np.repeat(h, n), w) for h, n, w, _ in data]
+            total, counts = _summed(np.concatenate(keys), np.concatenate([c for *_, c in data]).astype(np.int64))
+            kept = counts >= LEAST
+            total, counts = total[kept], counts[kept]
+            context, times, mass, found, seen = [], [], [], [], np.zeros(len(total), bool)
+            for (h, n, _, c), k in zip(data, keys):
+                at, mine = _found_in(total, k)
+                found.append((at, mine))
+                once = mine.copy()
+                once[mine] = ~seen[at[mine]]
+                seen[at[once]] = True
+                own = np.zeros(len(k), np.int64)
+                own[once] = 4 * counts[at[once]] - round(4 * DISCOUNT)
+                first = np.cumsum(n, dtype=np.int64) - n
+                context.append(h)
+                times.append(np.add.reduceat(c.astype(np.int64), first))
+                mass.append(np.add.reduceat(own, first))
+            every = np.concatenate(context)
+            context, times = _summed(every, np.concatenate(times))
+            _, mass = _summed(every, np.concatenate(mass))
+            spread = np.isin(context, hot)
+            rows = [(-1, bucket, _press(
+                np.array([(times[~spread] > 0).sum()], np.int64), context[spread], times[spread], mass[spread]
+            ))]
+            for block, (h, *_), k, (at, mine) in zip(blocks, data, keys, found):
+                order = np.argsort(k[mine])
+                place = np.searchsorted(context, h)
+                rows.append((block, bucket, _press(
+                    _steps(k[mine][order]), counts[at[mine][order]], _steps(h), times[place].astype(np.uint32), mass[place]
+                )))
             yield _rows(["block", "bucket", "data"], rows)
 
+    return run
+
 
 def _found_in(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of each wanted value in the sorted ``keys``, and whether it is there."""
@@ -239,15 +253,19 @@ def _found_in(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndar
 class Automaton:
     """The part of the automaton that a block needs: its words, arcs and failure weights."""
 
-    def __init__(self, words, counts, arcs, arc_counts, contexts, masses, n: int, v: int, texts: int):
-        self.words, self.counts = words, counts
-        self.log_p = np.log10((counts + 0.1) / (n + 0.1 * (v + 1)))
-        self.contexts = contexts
-        # How often a context occurs in training: texts for the start, else the count of the word.
-        at = np.minimum(np.searchsorted(words, contexts), max(len(words) - 1, 0))
-        times = np.where(contexts == _START, texts, counts[at] if len(words) else 0).astype(float)
-        self.left = np.maximum(1 - masses / np.maximum(times, 1), 1e-12)
-        self.times = times
+    def __init__(self, words, times, mass, arcs, arc_counts, n: int, v: int, ends: int):
+        """``words`` are contexts, the start among them, with counts and discounted arc counts."""
+        order = np.argsort(words)
+        words, times, mass = words[order], times[order], mass[order]
+        real = words != _START
+        self.words = np.append(words[real], _END)
+        self.counts = np.append(times[real], ends)
+        order = np.argsort(self.words)
+        self.words, self.counts = self.words[order], self.counts[order]
+        self.log_p = np.log10((self.counts + 0.1) / (n + 0.1 * (v + 1)))
+        state = mass > 0
+        self.contexts, self.times = words[state], times[state].astype(float)
+        self.left = np.maximum(1 - mass[state] / self.times, 1e-12)
         self.fail = np.log10(self.left)
         self.arcs, self.arc_counts = arcs, arc_counts
 
@@ -274,9 +292,9 @@ class Automaton:
             weight = low.copy()
             if len(inside):
                 s = now[inside]
-                key = mix(self.contexts[s], tokens[at[inside]])
+                key = mix(self.contexts[s], tokens[at[inside]] & _WORD48)
                 arc, has = _found_in(self.arcs, key)
-                p = (self.arc_counts[arc[has]] - DISCOUNT) / np.maximum(self.times[s[has]], 1) + self.left[s[has]] * 10 ** low[inside[has]]
+                p = (self.arc_counts[arc[has]] - DISCOUNT) / self.times[s[has]] + self.left[s[has]] * 10 ** low[inside[has]]
                 weight[inside] += self.fail[s]
                 weight[inside[has]] = np.log10(p)
             score[texts] += weight
@@ -287,29 +305,21 @@ class Automaton:
 _SCORED = "t long, n_tokens long, n_known long, base_score double, score double"
 
 
-def _score(n: int, v: int, texts_seen: int, hot: np.ndarray, hot_mass: np.ndarray):
-    """Rows sorted by (block, kind): sums for words (0) and pairs (1), then texts (2)."""
+def _score(n: int, v: int, ends: int, hot: np.ndarray, hot_times: np.ndarray, hot_mass: np.ndarray):
+    """Rows sorted by (block, kind): what came back for it (0), then texts (1)."""
 
     def built(parts):
-        words = [_release(x, np.uint64, np.int64) for x in parts[0]]
-        pairs = [_release(x, np.uint64, np.int64, np.uint64, np.float64) for x in parts[1]]
-
-        def joined(rows, i, kind):
-            return np.concatenate([r[i] for r in rows]) if rows else np.zeros(0, kind)
-
-        w, where = np.unique(joined(words, 0, np.uint64), return_index=True)
-        c = joined(words, 1, np.int64)[where]
-        a, where = np.unique(joined(pairs, 0, np.uint64), return_index=True)
-        ac = joined(pairs, 1, np.int64)[where]
-        h, where = np.unique(joined(pairs, 2, np.uint64), return_index=True)
-        m = joined(pairs, 3, np.float64)[where]
-        # The sums of spread contexts come from the driver.
-        some = hot_mass > 0
-        rest = ~np.isin(h, hot)
-        h, m = np.concatenate([h[rest], hot[some]]), np.concatenate([m[rest], hot_mass[some]])
-        order = np.argsort(h)
-        h, m = h[order], m[order]
-        return Automaton(w, c, a, ac, h, m, n, v, texts_seen)
+        back = [_release(x, *_BACK) for x in parts]
+        arcs = np.concatenate([np.cumsum(b[0], dtype=np.uint64) for b in back])
+        arcs, where = np.unique(arcs, return_index=True)
+        arc_counts = np.concatenate([b[1] for b in back])[where]
+        words = np.concatenate([np.cumsum(b[2], dtype=np.uint64) for b in back])
+        words, where = np.unique(words, return_index=True)
+        times = np.concatenate([b[3] for b in back])[where].astype(np.int64)
+        mass = np.concatenate([b[4] for b in back])[where]
+        at, spread = _found_in(hot, words)  # the sums of these come from the driver
+        times[spread], mass[spread] = hot_times[at[spread]], hot_mass[at[spread]]
+        return Automaton(words, times, mass / 4, arcs, arc_counts, n, v, ends)
 
     def scored(model, rows):
         import zstandard
@@ -327,7 +337,7 @@ def _score(n: int, v: int, texts_seen: int, hot: np.ndarray, hot_mass: np.ndarra
         )
 
     def run(batches):
-        held, parts, model, rows, size = None, {0: [], 1: []}, None, [], 0
+        held, parts, model, rows, size = None, [], None, [], 0
         for batch in batches:
             for block, kind, t, data in zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "t", "data"))):
                 if block != held or size > 1 << 22:
@@ -335,12 +345,12 @@ def _score(n: int, v: int, texts_seen: int, hot: np.ndarray, hot_mass: np.ndarra
                         yield scored(model, rows)
                     rows, size = [], 0
                 if block != held:
-                    held, parts, model = block, {0: [], 1: []}, None
-                if kind < 2:
-                    parts[kind].append(data)
+                    held, parts, model = block, [], None
+                if kind == 0:
+                    parts.append(data)
                 else:
                     if model is None:
-                        model, parts = built(parts), {0: [], 1: []}
+                        model, parts = built(parts), []
                     rows.append((t, data))
                     size += 4 * len(data)
         if rows:
@@ -369,40 +379,25 @@ def score_texts(docs: DataFrame, train, text: str = "text") -> tuple[DataFrame,
     def met(sent: DataFrame) -> DataFrame:
         return sent.repartition("bucket").sortWithinPartitions("bucket", "block")
 
-    back = "block long, bucket int, data binary"
-    words = stage(met(texts.mapInArrow(_send_words(buckets), _SENT)).mapInArrow(_add_words, back), "words")
-    found = [_release(r["data"], np.int64, np.uint64, np.int64) for r in words.where("block = -1").collect()]
-    n, v = (sum(int(f[0][i]) for f in found) for i in (0, 1))
-    learned = rows.where("train").count()
-    frequent = [k for f in found for k, c in zip(f[1].tolist(), f[2].tolist()) if c * HOT_SHARE > n]
-    hot = np.unique(np.array([*frequent, int(_START)], np.uint64))
-    pairs = stage(met(texts.mapInArrow(_send_pairs(buckets, hot), _SENT)).mapInArrow(_add_pairs, back), "pairs")
-
-    def hot_only(batches):
-        for batch in batches:
-            for data in batch.column("data").to_pylist():
-                context, mass = _release(data, np.uint64, np.float64)
-                own = np.isin(context, hot)
-                if own.any():
-                    yield _rows(["data"], [(_press(context[own], mass[own]),)])
-
-    sums = pairs.where("block = -1").select("data").mapInArrow(hot_only, "data binary").collect()
-    hot_mass = np.zeros(len(hot))
-    for r in sums:
-        context, mass = _release(r["data"], np.uint64, np.float64)
+    frequent = stage(texts.mapInArrow(_frequent, "word long, n long"), "frequent")
+    n = frequent.where("word IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = frequent.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n"))
+    often = [r["word"] for r in often.where(F.col("n") * HOT_SHARE > n).collect()]
+    hot = np.unique(np.array([*often, *np.array([_START, _END]).view(np.int64).tolist()], np.int64).view(np.uint64))
+    ends = rows.where("train").count()
+    sent = met(texts.mapInArrow(_send_pairs(buckets, hot), _SENT))
+    pairs = stage(sent.mapInArrow(_add_pairs(hot), "block long, bucket int, data binary"), "pairs")
+    hot_times, hot_mass, v = np.zeros(len(hot), np.int64), np.zeros(len(hot), np.int64), int(ends > 0)
+    for r in pairs.where("block = -1").select("data").collect():  # a short row per bucket
+        some, context, times, mass = _release(r["data"], *_SUMS)
+        v += int(some.sum())
+        np.add.at(hot_times, np.searchsorted(hot, context), times)
         np.add.at(hot_mass, np.searchsorted(hot, context), mass)
-
-    def part(df, kind, t, data):
-        return df.select("block", F.lit(kind).alias("kind"), t.alias("t"), F.col(data).alias("data"))
-
-    none = F.lit(None).cast("long")
-    together = (
-        part(words.where("block >= 0"), 0, none, "data")
-        .union(part(pairs.where("block >= 0"), 1, none, "data"))
-        .union(part(rows, 2, F.col("t"), "z"))
-        .repartition("block").sortWithinPartitions("block", "kind", "t")
-    )
-    return rows, together.mapInArrow(_score(n, v, learned, hot, hot_mass), _SCORED), n
+    v += int((hot_times[hot != _START] > 0).sum())
+    back = pairs.where("block >= 0").select("block", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("t"), "data")
+    together = back.union(rows.select("block", F.lit(1), "t", "z"))
+    together = together.repartition("block").sortWithinPartitions("block", "kind", "t")
+    return rows, together.mapInArrow(_score(n, v, ends, hot, hot_times, hot_mass), _SCORED), n
 
 
 def digest(docs: DataFrame) -> DataFrame:
