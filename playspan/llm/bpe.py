@@ -29,7 +29,7 @@ from playspan.llm.common import free_name, kept_in_worker, quoted
 #: Fixed value: the word pattern of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SHORT = 128
-KEPT = 400_000
+KEPT = 200_000
 
 
 @lru_cache(maxsize=None)
@@ -67,11 +67,12 @@ class Encoder:
         self.first = {a + b: i for (a, b), i in self.ranks.items() if len(a) == len(b) == 1}
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in special.items()}
         self.special = special
+        self.decoded = {b"%d" % i: t for i, t in self.tokens.items()}
         self.split = regex.compile(PATTERN).findall
         longest = sorted(special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")").split if special else None
         self.blanks = regex.compile(r"\s | \s|^ | $").search
-        self.met, self.old = {}, {}  # words to (ids, bytes)
+        self.met, self.old = {}, {}  # words to their ids as decimals, a comma after each
         self.chunks, self.old_chunks = {}, {}  # the same for what stands from blank to blank
 
     def merged(self, word: bytes) -> list[int]:
@@ -121,49 +122,44 @@ class Encoder:
                 offer(before[i])
         return [self.ids[word[i : ends[i]]] for i in range(n) if alive[i]]
 
-    def of_word(self, word: str) -> tuple[bytes, bytes]:
-        """The ids as decimal text, a comma after each, and the bytes these ids decode to."""
+    def of_word(self, word: str) -> bytes:
+        """The ids as decimal text, a comma after each."""
         out = self.old.get(word)
         if out is None:
-            ids = self.merged(word.encode("utf-8"))
-            out = b"".join([b"%d," % i for i in ids]), b"".join([self.tokens[i] for i in ids])
+            out = b"".join([b"%d," % i for i in self.merged(word.encode("utf-8"))])
         if len(self.met) >= KEPT:
             self.met, self.old = {}, self.met
         self.met[word] = out
         return out
 
-    def of_words(self, text: str) -> tuple[bytes, bytes]:
+    def of_words(self, text: str) -> bytes:
         met = self.met
-        found = [met.get(word) or self.of_word(word) for word in self.split(text)]
-        return b"".join([a for a, _ in found]), b"".join([b for _, b in found])
+        return b"".join([met.get(word) or self.of_word(word) for word in self.split(text)])
 
-    def of_chunk(self, chunk: str) -> tuple[bytes, bytes]:
+    def of_chunk(self, chunk: str) -> bytes:
         out = self.old_chunks.get(chunk) or self.of_words(chunk)
         if len(chunk) <= SHORT:
-            if 2 * len(self.chunks) >= KEPT:
+            if 3 * len(self.chunks) >= KEPT:
                 self.chunks, self.old_chunks = {}, self.chunks
             self.chunks[chunk] = out
         return out
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """All ids of a text as decimals, each followed by a comma, and the decoded text."""
-        ids, raw = [], []
+    def encode(self, text: str) -> bytes:
+        """All ids of a text as decimals, each followed by a comma."""
+        ids = []
         for piece in self.cut(text) if self.cut else [text]:
             if piece in self.special:
                 ids.append(b"%d," % self.special[piece])
-                raw.append(piece.encode())
-            elif not piece or self.blanks(piece):
-                a, b = self.of_words(piece)
-                ids.append(a)
-                raw.append(b)
+            elif "\0" in piece or not piece or self.blanks(piece):
+                ids.append(self.of_words(piece))
             else:
                 known = self.chunks
-                found = [known.get(c) or self.of_chunk(c) for c in piece.replace(" ", "\0 ").split("\0")] if (
-                    "\0" not in piece
-                ) else [self.of_words(piece)]
-                ids += [a for a, _ in found]
-                raw += [b for _, b in found]
-        return b"".join(ids), b"".join(raw).decode("utf-8", "replace")
+                ids += [known.get(c) or self.of_chunk(c) for c in piece.replace(" ", "\0 ").split("\0")]
+        return b"".join(ids)
+
+    def decode(self, ids: bytes) -> str:
+        """The text of ids given as ``encode`` returns them."""
+        return b"".join(map(self.decoded.__getitem__, ids[:-1].split(b","))).decode("utf-8", "replace") if ids else ""
 
 
 def encoder(vocabulary: str, key: str) -> Encoder:
@@ -182,7 +178,8 @@ def encoded(vocabulary: str | None = None, with_ids: bool = False):
         use = encoder(sent.value, key)
         n, ids_sha, decoded_sha, ids = [], [], [], []
         for text in column:
-            found, back = use.encode(text.as_py() or "")
+            found = use.encode(text.as_py() or "")
+            back = use.decode(found)
             n.append(found.count(b","))
             ids_sha.append(hashlib.sha256(found[:-1]).hexdigest())
             decoded_sha.append(hashlib.sha256(back.encode("utf-8")).hexdigest())

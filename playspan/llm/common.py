@@ -110,6 +110,16 @@ def unpacked(column: pa.Array) -> list[bytes]:
     return [unpack(x) for x in column.to_pylist()]
 
 
+#: Tables with a row per group, as languages or sources, are broadcast up to so many rows;
+#: with more they are joined like any table.
+FEW = 20_000
+
+
+def if_few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, marked for a broadcast if its counted ``rows`` are few."""
+    return F.broadcast(df) if rows <= FEW else df
+
+
 def small_batches(spark) -> None:
     """Fewer rows per Arrow batch: rows hold whole documents, and workers little memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from playspan.llm.bpe import PATTERN
-from playspan.llm.common import kept_in_worker, quoted, slices, texts_of
+from playspan.llm.common import if_few, kept_in_worker, quoted, slices, texts_of
 from playspan.llm.words import Batch, repeated_lines
 from playspan.session import stage
 
@@ -197,8 +197,9 @@ def judge(
         bands = _bands(passed, keys, measures).toDF(
             *[f"{end}_{k}" for k in keys], *[f"{end}_{m}_{side}" for m in measures for side in ("low", "high")]
         )
+        bands = stage(bands, "bands")
         same = [F.col(k) == F.col(f"{end}_{k}") for k in keys]
-        found = found.join(bands, same, "left")
+        found = found.join(if_few(bands, bands.count()), same, "left")
     outside = F.lit(False)
     for m in MEASURES:
         levels = ("class", "group") if m in MEASURES[:2] else ("class",)

@@ -20,7 +20,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from playspan.llm.common import free_name, n_words, quoted
+from playspan.llm.common import free_name, if_few, n_words, quoted
 from playspan.session import stage
 
 WEIGHTS = (5, 2, 1)
@@ -80,6 +80,7 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     )
 
     # Ranges of keys, their sums, and the range in which the budget of the source ends.
+    per_source = if_few(per_source, len(rows))
     ranged = slim.join(per_source, F.equal_null(F.col("source"), F.col("s_source"))).select(
         "source", "key", "size", "budget", F.expr("shiftright(key, shift)").alias("range")
     )
@@ -93,7 +94,7 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     )
     ends = spark.createDataFrame(ends, "e_source string, e_range long, before long")
     last = ranged.join(
-        ends,
+        if_few(ends, len(rows)),
         F.equal_null(F.col("source"), F.col("e_source")) & (F.col("range") == F.col("e_range")),
     ).select("source", "key", "size", "budget", "before")
     # One row per key in that range; the rows of a range are about the root of the source's.
@@ -118,7 +119,7 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     sized = docs.withColumn(n, n_words(quoted(text))).withColumn(k, _key(quoted(doc_id), quoted(text)))
     rest = F.when(F.col(k) < of("cut"), F.col(n)).when(F.col(k) == of("cut"), F.least(of("rest"), F.col(n)))
     mixed = sized.join(
-        final.select(F.struct("*").alias(m)),
+        if_few(final.select(F.struct("*").alias(m)), len(rows)),
         F.equal_null(quoted(source).cast("string"), of("m_source")),
         "left",
     )

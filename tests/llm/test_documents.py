@@ -355,9 +355,9 @@ def test_bpe_words(library):
     more = ["".join(rng.choice("abé \n'.,0xX<|>-") for _ in range(rng.randrange(60))) for _ in range(300)]
     for text in ODD_TEXTS + more:
         want = library.encode(text, add_special_tokens=False).ids
-        ids, back = use.encode(text)
+        ids = use.encode(text)
         assert [int(i) for i in ids.split(b",") if i] == want
-        assert back == library.decode(want, skip_special_tokens=False)
+        assert use.decode(ids) == library.decode(want, skip_special_tokens=False)
     for word in more[:80]:
         raw = word.replace(" ", "").encode() * 3
         assert use._scan(raw) == use._heap(raw)
