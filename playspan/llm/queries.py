@@ -38,6 +38,35 @@ def op3_forest(spark, folder):
     return forest.digest(table(spark, folder, "documents"))
 
 
+SQL["op3_forest"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), places AS (
+    SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM words WHERE len(ws) > 0
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS shingle FROM places
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT x, y FROM common c JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+    WHERE 100 * c.n >= 80 * (a.n + b.n - c.n)
+), edges AS (
+    SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT r.doc_id, e.y FROM reached r JOIN edges e ON e.x = r.other
+)
+SELECT r.doc_id, coalesce(max(s.n), 0) AS n_shingles, min(other) AS component_id, r.doc_id = min(other) AS kept
+FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
 @query
 def op4_suffix(spark, folder):
     return suffix.digest(table(spark, folder, "documents"))
