@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import time
 import types
 from collections.abc import Callable, Iterator
 
@@ -15,18 +16,27 @@ from pyspark.sql.types import BinaryType
 #: Words everywhere in this package: runs without space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
+IDLE = 20
+
 U = np.uint64
 _A, _B, _C = U(0x9E3779B97F4A7C15), U(0x632BE59BD9B4E019), U(0xBF58476D1CE4E5B9)
 
 
 def kept_in_worker(key: tuple, build: Callable[[], object]) -> object:
-    """``build()`` once per Python worker: what tasks of one worker can share."""
+    """``build()`` once per Python worker: what tasks of one worker can share.
+
+    What was not asked for in ``IDLE`` seconds is dropped, so that a later operator in the
+    same worker has its memory.
+    """
     home = sys.modules.setdefault("_playspan_worker", types.ModuleType("_playspan_worker"))
     if not hasattr(home, "kept"):
         home.kept = {}
-    if key not in home.kept:
-        home.kept[key] = build()
-    return home.kept[key]
+    now = time.monotonic()
+    for other in [k for k, (used, _) in home.kept.items() if k != key and now - used > IDLE]:
+        del home.kept[other]
+    value = home.kept[key][1] if key in home.kept else build()
+    home.kept[key] = now, value
+    return value
 
 
 def texts_of(column: pa.Array) -> list[bytes]:
