@@ -38,9 +38,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded text of each row."""
+    """Token counts and digests of the ids and of the decoded text of each row.
+
+    Fewer words are kept per worker than in a job of its own: the executors still hold the
+    memory of the stages before.
+    """
     small_batches(spark)
-    return bpe.digest(docs)
+    return bpe.digest(docs, kept=50_000)
 
 
 STAGES = [

@@ -5,7 +5,8 @@ short word the part boundaries and the ranks of adjacent parts lie in two plain
 smallest rank is found by a scan, its boundary is deleted and the two ranks beside it are
 looked up again, until no adjacent pair is in the merge table. Words above ``SHORT`` bytes
 take the same merges off a heap, since repeated scans would be quadratic. Words met before
-are kept per Python worker, twice ``KEPT`` at most. A blank between two other characters
+are kept per Python worker, twice ``kept`` at most: more memory means fewer merges done
+again, and nothing else. A blank between two other characters
 always begins a word of the pattern, so a text is looked up blank by blank first, and the
 pattern is only run on what was not met yet.
 
@@ -54,9 +55,11 @@ def _shown_bytes() -> dict[str, int]:
 class Encoder:
     """Words to ids and ids to bytes for one vocabulary (the text of its JSON file)."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, kept: int = KEPT):
         import regex
 
+        self.kept = kept
+
         spec = json.loads(vocabulary)
         shown = _shown_bytes()
         raw = lambda token: bytes(shown[c] for c in token)
@@ -65,9 +68,9 @@ class Encoder:
         pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
         self.ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
         self.first = {a + b: i for (a, b), i in self.ranks.items() if len(a) == len(b) == 1}
-        self.tokens = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in special.items()}
+        tokens = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in special.items()}
         self.special = special
-        self.decoded = {b"%d" % i: t for i, t in self.tokens.items()}
+        self.decoded = {b"%d" % i: t for i, t in tokens.items()}
         self.split = regex.compile(PATTERN).findall
         longest = sorted(special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")").split if special else None
@@ -127,7 +130,7 @@ class Encoder:
         out = self.old.get(word)
         if out is None:
             out = b"".join([b"%d," % i for i in self.merged(word.encode("utf-8"))])
-        if len(self.met) >= KEPT:
+        if len(self.met) >= self.kept:
             self.met, self.old = {}, self.met
         self.met[word] = out
         return out
@@ -139,7 +142,7 @@ class Encoder:
     def of_chunk(self, chunk: str) -> bytes:
         out = self.old_chunks.get(chunk) or self.of_words(chunk)
         if len(chunk) <= SHORT:
-            if 3 * len(self.chunks) >= KEPT:
+            if 3 * len(self.chunks) >= self.kept:
                 self.chunks, self.old_chunks = {}, self.chunks
             self.chunks[chunk] = out
         return out
@@ -162,11 +165,11 @@ class Encoder:
         return b"".join(map(self.decoded.__getitem__, ids[:-1].split(b","))).decode("utf-8", "replace") if ids else ""
 
 
-def encoder(vocabulary: str, key: str) -> Encoder:
-    return kept_in_worker(("bpe", key), lambda: Encoder(vocabulary))
+def encoder(vocabulary: str, key: str, kept: int) -> Encoder:
+    return kept_in_worker(("bpe", key, kept), lambda: Encoder(vocabulary, kept))
 
 
-def encoded(vocabulary: str | None = None, with_ids: bool = False):
+def encoded(vocabulary: str | None = None, with_ids: bool = False, kept: int = KEPT):
     """A column function: text -> struct of counts and digests, and the ids if asked for."""
     vocabulary = read_vocabulary(vocabulary or default_vocabulary())
     key = hashlib.sha256(vocabulary.encode()).hexdigest()
@@ -175,7 +178,7 @@ def encoded(vocabulary: str | None = None, with_ids: bool = False):
 
     @arrow_udf(f"struct<{fields}>")
     def run(column: pa.Array) -> pa.Array:
-        use = encoder(sent.value, key)
+        use = encoder(sent.value, key, kept)
         n, ids_sha, decoded_sha, ids = [], [], [], []
         for text in column:
             found = use.encode(text.as_py() or "")
@@ -209,6 +212,6 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text") -
     return found.withColumn(free_name(docs, "ids"), F.col(f"{name}.ids")).drop(name)
 
 
-def digest(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    found = docs.select("doc_id", encoded(vocabulary)("text").alias("e"))
+def digest(docs: DataFrame, vocabulary: str | None = None, kept: int = KEPT) -> DataFrame:
+    found = docs.select("doc_id", encoded(vocabulary, kept=kept)("text").alias("e"))
     return found.select("doc_id", "e.n_tokens", "e.ids_sha256", "e.decoded_sha256")
