@@ -5,8 +5,9 @@ one row each. Each class has ``TREES`` signatures of ``DEPTH`` minhashes. In eve
 classes stand in the sorted order of their signature, and those next to each other with a
 common prefix of ``LEAST_DEPTH`` values or more are candidates, ``NEIGHBOURS`` to each side.
 A region (a common prefix) with more than ``REGION`` classes is cut by one value more, again
-and again to the full depth, and by a hash of the class beyond that: depth adapts to how
-dense a region is, and no region becomes one task's unbounded group.
+and again to the full depth: depth adapts to how dense a region is. Classes with one full path
+are dealt into parts by a hash beyond that, so no region becomes one task's unbounded group;
+the first class of each part is a candidate with the first of the path, so parts stay joined.
 
 Pairs whose full signatures agree in fewer than ``LEAST_EQUAL`` values are dropped (a pair at
 the threshold falls below with a chance of 2e-6). Links are confirmed by the exact Jaccard
@@ -125,7 +126,7 @@ def agreeing(left: pa.Array, right: pa.Array) -> pa.Array:
 
 
 def _regions(rows: DataFrame) -> DataFrame:
-    """``rows`` (tree, path, id) with the region each is looked up in."""
+    """``rows`` (tree, path, id) with the region each is looked up in, and whether it is a part of one path."""
     rows = rows.withColumn("depth", F.lit(LEAST_DEPTH))
     head = lambda d: F.substring("path", 1, 4 * d)
     hot = rows
@@ -150,7 +151,10 @@ def _regions(rows: DataFrame) -> DataFrame:
         hot = rows.where(F.col("depth") == depth + 1)
     part = F.coalesce("part", F.lit(0)) if "part" in rows.columns else F.lit(0)
     region = F.expr("substring(path, 1, 4 * depth)")
-    return rows.select("tree", "path", "id", F.xxhash64("depth", region, part).alias("region"), region.alias("head"))
+    dealt = F.col("part").isNotNull() if "part" in rows.columns else F.lit(False)
+    return rows.select(
+        "tree", "path", "id", F.xxhash64("depth", region, part).alias("region"), region.alias("head"), dealt.alias("dealt")
+    )
 
 
 def candidates(classes: DataFrame) -> DataFrame:
@@ -158,10 +162,13 @@ def candidates(classes: DataFrame) -> DataFrame:
     paths = F.array(*[F.substring("signature", 1 + 4 * DEPTH * t, 4 * DEPTH) for t in range(TREES)])
     rows = classes.select("id", F.posexplode(paths).alias("tree", "path"))
     order = Window.partitionBy("tree", "region", "head").orderBy("path", "id")
-    near = _regions(rows).select(
+    rows = _regions(rows)
+    near = rows.select(
         "id", F.array(*[F.lead("id", k).over(order) for k in range(1, NEIGHBOURS + 1)]).alias("next")
     )
-    pairs = near.select("id", F.explode("next").alias("other")).where("other IS NOT NULL AND id <> other")
+    firsts = rows.where("dealt").groupBy("tree", "path", "region").agg(F.min("id").alias("id"))
+    across = firsts.select("id", F.min("id").over(Window.partitionBy("tree", "path")).alias("other"))
+    pairs = near.select("id", F.explode("next").alias("other")).union(across).where("other IS NOT NULL AND id <> other")
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 

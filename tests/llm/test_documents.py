@@ -226,6 +226,15 @@ def test_forest_dense_regions(spark, monkeypatch):
     assert {found[i] for i in range(120)} == {0} and all(found[i] == i for i in range(200, 220))
 
 
+def test_forest_parts_of_one_path(spark, monkeypatch):
+    """More than REGION copies of one body with own text at the end: most have equal full paths."""
+    monkeypatch.setattr(forest, "REGION", 60)
+    body = " ".join(f"w{i}" for i in range(400))
+    rows = [(i, f"{body} " + " ".join(f"x{i}-{k}" for k in range(5)), "en", "a", 0) for i in range(120)]
+    found = forest.digest(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.component_id for r in found} == {0} and sum(r.kept for r in found) == 1
+
+
 def test_forest_keeps_one_each(docs, rows):
     kept = forest.keep_one_each(docs.selectExpr("*", *(f"1 AS {c}" for c in CLASHING)))
     assert kept.columns == [*SCHEMA.replace(",", " ").split()[::2], *CLASHING]
