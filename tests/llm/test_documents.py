@@ -235,6 +235,19 @@ def test_forest_parts_of_one_path(spark, monkeypatch):
     assert {r.component_id for r in found} == {0} and sum(r.kept for r in found) == 1
 
 
+def test_forest_many_of_one_template(spark, monkeypatch):
+    """One pair at 80.3 % among documents at 77.8 % with each other, more than the neighbours reach."""
+    monkeypatch.setattr(forest, "NEIGHBOURS", 1)
+    body = " ".join(f"w{i}" for i in range(283))
+    rows = [(i, f"{body} " + " ".join(f"x{i}-{k}" for k in range(40)), "en", "a", 0) for i in range(300)]
+    pairs = [(17, 240), (3, 99), (150, 151), (60, 299)]
+    for a, b in pairs:
+        own = [f"x{a}-{k}" if k < 5 else f"x{b}-{k}" for k in range(40)]
+        rows[b] = (b, f"{body} " + " ".join(own), "en", "a", 0)
+    found = {r.doc_id: r.component_id for r in forest.digest(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {i: dict((b, a) for a, b in pairs).get(i, i) for i in range(300)}
+
+
 def test_forest_keeps_one_each(docs, rows):
     kept = forest.keep_one_each(docs.selectExpr("*", *(f"1 AS {c}" for c in CLASHING)))
     assert kept.columns == [*SCHEMA.replace(",", " ").split()[::2], *CLASHING]
