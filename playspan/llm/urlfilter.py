@@ -3,10 +3,10 @@
 A list is a log of dated entries (name, day, action): from its day on an entry holds for the
 host ``name`` and all hosts below it, until the next entry for the same name. Entries become
 validity intervals [valid_from, valid_to); several of one name and day count as the one that
-sorts last by action. A capture is looked up with every name its host is under, as of its
-fetch day: an equality join per name with the interval as a condition. Since the intervals
-of a name do not overlap, at most one matches, so captures are never multiplied. The longest
-name with an entry in force decides; without one the capture passes.
+sorts last by action. Each different (host, fetch day) is looked up once with every name the
+host is under, however deep: an equality join on the names with the interval as a condition.
+The longest name with an entry in force decides; without one the capture passes. Captures
+are joined to that one result of their host and day, so they are never multiplied.
 
 A host with a third of all captures is no more than a skewed join key, which Spark splits;
 no group is collected. The list side is broadcast only if Spark finds it small.
@@ -22,8 +22,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from playspan.llm.common import free_name, quoted
 
-LEVELS = 4  # names looked up: the host and up to three above it, the two last labels at least
-
 
 def host_of(url: Column) -> Column:
     """Lower-case host of an absolute http(s) URL, without user, port and final dot; else null."""
@@ -32,14 +30,11 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def names_of(host: Column) -> list[Column]:
-    """The host and the names above it, most specific first; null where there is none."""
+def names_of(host: Column) -> Column:
+    """The host and all names of two labels or more above it, most specific first; null without a host."""
     labels = F.split(host, r"\.")
-    out = [host]
-    for up in range(1, LEVELS):
-        above = F.slice(labels, F.lit(up + 1), F.greatest(F.size(labels) - up, F.lit(0)))
-        out.append(F.when(F.size(labels) - up >= 2, F.array_join(above, ".")))
-    return out
+    ups = F.sequence(F.lit(0), F.greatest(F.size(labels) - 2, F.lit(0)))
+    return F.transform(ups, lambda up: F.array_join(F.slice(labels, up + 1, F.size(labels)), "."))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -54,23 +49,22 @@ def as_of(captures: DataFrame, entries: DataFrame, url: str = "url", day: str =
     """``captures`` with a struct column appended: host, name, action, valid_from, valid_to, kept."""
     host, result = free_name(captures, "host"), free_name(captures, "filter")
     found = captures.withColumn(host, host_of(quoted(url)))
-    spans = intervals(entries)
-    hits = []
-    for level, name in enumerate(names_of(F.col(host))):
-        hit = free_name(found, f"hit{level}")
-        span = spans.select(F.struct("name", "action", "valid_from", "valid_to").alias(hit))
-        within = (quoted(day) >= F.col(f"{hit}.valid_from")) & (
-            F.col(f"{hit}.valid_to").isNull() | (quoted(day) < F.col(f"{hit}.valid_to"))
-        )
-        found = found.join(span, (name == F.col(f"{hit}.name")) & within, "left")
-        hits.append(hit)
-    first = F.coalesce(*[F.col(h) for h in hits])
+    key, at, hit = (free_name(found, n) for n in ("hit_host", "hit_day", "hit"))
+    asked = found.select(F.col(host).alias(key), quoted(day).alias(at)).dropna().distinct()
+    asked = asked.select(key, at, F.posexplode(names_of(F.col(key))).alias("up", "asked"))
+    within = (F.col("asked") == F.col("name")) & (F.col(at) >= F.col("valid_from")) & (
+        F.col("valid_to").isNull() | (F.col(at) < F.col("valid_to"))
+    )
+    span = F.struct("name", "action", "valid_from", "valid_to")
+    hits = asked.join(intervals(entries), within).groupBy(key, at).agg(F.min_by(span, "up").alias(hit))
+    found = found.join(hits, (F.col(host) == F.col(key)) & (quoted(day) == F.col(at)), "left")
+    first = F.col(hit)
     kept = F.coalesce(first["action"] != "block", F.lit(True))
     judged = F.struct(
         F.col(host).alias("host"), *[first[c].alias(c) for c in ("name", "action", "valid_from", "valid_to")],
         kept.alias("kept"),
     )
-    return found.withColumn(result, judged).drop(host, *hits)
+    return found.withColumn(result, judged).drop(host, key, at, hit)
 
 
 # The test tables have neither fetch days nor a list. Both are derived from ``pages``: the
@@ -86,7 +80,7 @@ def captures_of(pages: DataFrame) -> DataFrame:
 
 def entries_of(pages: DataFrame) -> DataFrame:
     names = names_of(host_of(F.col("url")))
-    named = pages.select("page_id", F.explode(F.array(names[0], names[1])).alias("name")).where("name IS NOT NULL")
+    named = pages.select("page_id", F.explode(F.slice(names, 1, 2)).alias("name"))
     least = named.groupBy("name").agg(F.min("page_id").alias("m"))
     return least.select(
         "name",

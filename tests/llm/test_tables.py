@@ -96,6 +96,21 @@ def test_url_filter(spark):
     assert all(r["filter"].kept for r in urlfilter.as_of(df, entries.limit(0)).collect())
 
 
+def test_url_filter_deep_hosts(spark):
+    entries = spark.createDataFrame(
+        [("evil.com", 5, "block"), ("g.f.e.d.c.evil.com", 5, "allow"), ("com", 5, "block")], "name string, day int, action string"
+    )
+    deep = ".".join("abcdefghij" * 10)
+    captures = [
+        (1, "http://a.b.c.d.evil.com/", 9, False, "evil.com"), (2, f"http://{deep}.evil.com/", 5, False, "evil.com"),
+        (3, "http://x.y.g.f.e.d.c.evil.com/", 9, True, "g.f.e.d.c.evil.com"), (4, f"http://{deep}.evil.com/", 4, True, None),
+        (5, "http://a.b.c.d.notevil.com/", 9, True, None), (6, "http://com/", 9, False, "com"),
+    ]
+    found = urlfilter.as_of(spark.createDataFrame([c[:3] for c in captures], "id int, url string, day int"), entries)
+    got = sorted((r.id, r["filter"].kept, r["filter"].name) for r in found.collect())
+    assert got == [(c[0], c[3], c[4]) for c in captures]
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equal_to_sql(spark, small_dir, name):
     con = duckdb.connect()
