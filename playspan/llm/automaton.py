@@ -3,7 +3,7 @@
 Counts: tokens are words (A-Z lower-cased) and one end per text; the training rows give the
 counts c(w) of tokens and c(h, w) of pairs, with a start before each text. The base
 distribution is P(w) = (c + 0.1) / (N + 0.1 (V + 1)). A state is a context h; it has an arc
-for each pair seen ``LEAST`` times or more, with the discounted and interpolated probability
+for each pair seen in training (``LEAST`` times or more), with the discounted and interpolated probability
 (c(h, w) - D) / c(h) + B(h) P(w), and a failure arc of weight B(h), the mass that is left,
 to the root, where every token has P(w). All distributions sum to 1. A text is scored in one
 walk from left to right that carries its state and adds log10 weights; the texts of a slice
@@ -12,7 +12,7 @@ walk side by side.
 Nothing of the model is held in one place. Rows are cut in blocks of ``BLOCK`` rows in
 written order. A block sends its different pairs, by context, to the bucket of the context's
 hash, where they are added up over all blocks: the sum over a context's pairs is the count
-of that word, those seen often enough are its arcs. The block gets the counts and masses of
+of that word, those seen in training are its arcs. The block gets the counts and masses of
 its own contexts and the arcs among its own pairs back. A pair that is everywhere is sent
 once per block. Contexts with more than a ``HOT_SHARE``-th of all tokens (so at most that
 many) are spread over ``SALTS`` buckets, and their sums collected on the driver.
@@ -34,7 +34,7 @@ from playspan.llm.words import Batch
 from playspan.session import stage
 
 BLOCK = 2048
-LEAST = 2
+LEAST = 1
 DISCOUNT = 0.75
 HOT_SHARE = 512
 SALTS = 64

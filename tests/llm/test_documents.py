@@ -438,6 +438,16 @@ def test_automaton_blocks_and_hot_words(spark, docs, monkeypatch):
     assert all(math.isclose(a[6], b[6], rel_tol=1e-9) for a, b in zip(parts, whole))
 
 
+def test_automaton_pairs_seen_once(spark):
+    """A context whose pairs are all single has a state: all pairs of the only training text."""
+    taught = next(i for i in range(100) if not held(i, 10, 0))
+    (r,) = automaton.digest(spark.createDataFrame([(taught, "a b c", "en", "a", 0)], SCHEMA)).collect()
+    low = (1 + 0.1) / (4 + 0.1 * 5)
+    each = (1 - automaton.DISCOUNT) + automaton.DISCOUNT * low
+    assert math.isclose(r.score, 4 * math.log10(each), rel_tol=1e-9)
+    assert math.isclose(r.base_score, 4 * math.log10(low), rel_tol=1e-9)
+
+
 def test_automaton_knows_nothing(spark):
     df = spark.createDataFrame([(None, "a b", "en", "a", 0)], SCHEMA)
     (r,) = automaton.digest(df).collect()
