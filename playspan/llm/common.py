@@ -63,6 +63,26 @@ def slices_by_size(sizes: np.ndarray, most_bytes: int, most_rows: int) -> Iterat
         yield start, len(sizes)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], most_bytes: int, most_rows: int) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and texts (first and second column) of a task in blocks of bounded size.
+
+    A text above ``most_bytes`` is a block alone.
+    """
+    ids, texts, held = [], [], 0
+    for batch in batches:
+        for lo, hi in slices(batch.column(1), most_bytes, most_rows):
+            some = texts_of(batch.column(1).slice(lo, hi - lo))
+            size = sum(map(len, some))
+            if texts and (held + size > most_bytes or len(texts) + len(some) > most_rows):
+                yield ids, texts
+                ids, texts, held = [], [], 0
+            ids += batch.column(0).slice(lo, hi - lo).to_pylist()
+            texts += some
+            held += size
+    if texts:
+        yield ids, texts
+
+
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """One well-spread 64-bit hash of two arrays of 64-bit values, in order."""
     x = a * _A

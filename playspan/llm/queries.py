@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from playspan.llm.common import small_batches
-from playspan.llm import automaton, bpe, covertree, fertility, forest, langid, mixing, ranking, suffix, urlfilter
+from playspan.llm import (
+    alignment, automaton, bestposition, bloom, bpe, covertree, fertility, forest, langid, mixing, ranking, suffix, urlfilter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -151,3 +153,66 @@ SELECT c.page_id, c.url, c.fetch_day, c.host, h.name, h.action, h.valid_from, h.
        coalesce(h.action <> 'block', TRUE) AS kept
 FROM captures c LEFT JOIN hits h ON h.page_id = c.page_id AND h.n = 1
 """
+
+
+@query
+def op11_bestposition(spark, folder):
+    return bestposition.digest(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+SQL["op11_bestposition"] = r"""
+WITH words AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+    FROM documents
+), sizes AS (
+    SELECT r, doc_id, len(ws) AS n, ws FROM words WHERE len(ws) > 0
+), totals AS (
+    SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes
+), tfs AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM sizes) GROUP BY 1, 2
+), asked AS (
+    SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark) GROUP BY 1, 2
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM tfs GROUP BY 1), totals
+), scored AS (
+    SELECT item_id, s.r, s.doc_id, CAST(sum(
+        times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * n_docs) // n_terms))))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN sizes s ON s.r = tfs.r, totals
+    GROUP BY 1, 2, 3
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+
+@query
+def op12_bloom(spark, folder):
+    return bloom.digest(table(spark, folder, "documents"))
+
+
+SQL["op12_bloom"] = r"""
+WITH bare AS (
+    SELECT doc_id, length(coalesce(text, '')) AS points,
+           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+    FROM documents
+), ranked AS (
+    SELECT doc_id, text_sha256, row_number() OVER w AS n, first_value(doc_id) OVER w AS keep_id,
+           count(*) OVER (PARTITION BY text_sha256) AS group_size
+    FROM bare WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id NULLS LAST)
+)
+SELECT doc_id, keep_id, group_size, n = 1 AS kept, text_sha256 FROM ranked
+"""
+
+
+@query
+def op13_alignment(spark, folder):
+    return alignment.digest(table(spark, folder, "documents"))

@@ -114,7 +114,7 @@ def test_url_filter_deep_hosts(spark):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equal_to_sql(spark, small_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "embeddings", "labels"):
+    for table in ("documents", "pages", "embeddings", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small_dir}/{table}.parquet'")
     df = entry_points.queries()[name](spark, small_dir)
     found = con.execute(SQL[name])
@@ -126,7 +126,7 @@ def test_equal_to_sql(spark, small_dir, name):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     importlib.reload(corpus_pipeline)
 
 
