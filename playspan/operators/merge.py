@@ -45,6 +45,17 @@ def batch_rows(new: DataFrame, keys: Sequence[str], newest: str | Sequence[str]
     return latest_per_key(require_keys(new, keys), keys, newest)
 
 
+def not_outdated(old: DataFrame, batch: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """``batch`` without rows whose key has a row of a later ``order`` in ``old``."""
+    known = old.select(*keys, F.col(order).alias("_known")).filter(F.col("_known").isNotNull())
+    later = F.col(f"k._known") > F.col(f"b.{order}")
+    same = [F.col(f"k.{k}") == F.col(f"b.{k}") for k in keys]
+    on = later
+    for c in same:
+        on = on & c
+    return batch.alias("b").join(known.alias("k"), on, "left_anti")
+
+
 def upsert_batch(old: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``old`` with rows replaced by, and extended with, those of ``batch`` (one per key)."""
     kept = old.join(batch.select(*keys), list(keys), "left_anti")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,9 +45,35 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the scratch folder that nothing has written to before."""
-    return f"{scratch_root(spark)}/playspan/{name}-{uuid.uuid4().hex}"
+    return f"{_scope.get() or f'{scratch_root(spark)}/playspan'}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """What is staged inside is removed at the end: for jobs whose results are written elsewhere."""
+    folder = scratch_path(spark, name)
+    before = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(before)
+        remove(spark, folder)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop path and its file system, for listings and removals by the driver."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where, files = file_system(spark, path)
+    files.delete(where, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

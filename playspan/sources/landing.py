@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from playspan import fixed
 from playspan.functions.keys import is_track_uri, last_uri_piece
-from playspan.session import stage
+from playspan.session import file_system, stage
 from playspan.sources import schemas
 
 BATCH_PARTS = ("year", "month", "day", "batch")
+BATCH = "_batch"  # column with the name of a row's batch; later batches have greater names
 ROWS_PER_FILE = 500_000  # files with newlines in quotes are read by one task each
 
 # One dialect for files, streams and writers: doubled quotes, newlines inside quotes, blanks
@@ -59,12 +62,26 @@ def no_such_path(error: Exception) -> bool:
 
 
 def read_csv(
-    spark: SparkSession, paths: str | Sequence[str], schema: str, loaded_at: Column | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: str,
+    loaded_at: Column | None = None,
+    category: str | None = None,
 ) -> DataFrame:
-    """Typed CSV with header; ``loaded_at`` is the load time unless given."""
-    rows = spark.read.schema(as_text(schema)).options(**CSV_IN).option("recursiveFileLookup", True)
+    """Typed CSV with header; ``loaded_at`` is the load time unless given. With a ``category``
+    each row also has the name of its batch (``BATCH``)."""
+    rows = spark.read.schema(as_text(schema)).options(**CSV_IN).option("recursiveFileLookup", True).csv(paths)
+    if category is not None:
+        rows = rows.withColumn(BATCH, batch_name(F.col("_metadata.file_path"), category))
     stamp = F.current_timestamp() if loaded_at is None else loaded_at
-    return typed(rows.csv(paths), schema).withColumn("loaded_at", stamp)
+    return typed(rows, schema).withColumn("loaded_at", stamp)
+
+
+def batch_name(file: Column, category: str | None = None) -> Column:
+    """The batch of a file: the file itself, or its folder for part files of a writer; below
+    the folder of the category, if given. In a date tree later batches have greater names."""
+    batch = F.regexp_replace(file, r"/part-[^/]*$", "")
+    return batch if category is None else F.regexp_replace(batch, f"^.*/{re.escape(category)}/", "")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -98,18 +115,56 @@ def write_landing(df: DataFrame, root: str, category: str, at: str, batch: str |
     return batch
 
 
-def batches(spark: SparkSession, root: str, category: str) -> DataFrame:
-    """Batches of a category, one row each: a batch folder, or a file named after the
-    category. Lists files without opening them."""
+def batches(spark: SparkSession, root: str, category: str, suffix: str = ".csv") -> DataFrame:
+    """Batches of a category, (name, batch): a batch folder, or a file named after the
+    category, and its path. Lists files without opening them."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", f"*{suffix}")
         .load(f"{root}/{category}")
-        .select("path")
+        .select("path", "_metadata.file_path")
     )
-    folder = F.regexp_replace("path", r"/part-[^/]*$", "")
-    return files.select(folder.alias("batch")).distinct()
+    return files.select(batch_name(F.col("file_path"), category).alias("name"), batch_name(F.col("path")).alias("batch")).distinct()
+
+
+def last_batch(spark: SparkSession, root: str, category: str, suffix: str = ".csv") -> str | None:
+    """Path of the last batch of a category: down the tree by the greatest names, so that one
+    folder per level is listed and not the whole history. None without folder or files."""
+
+    def last_file(where, files) -> str | None:
+        for found in sorted(files.listStatus(where), key=lambda f: f.getPath().getName(), reverse=True):
+            name = found.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            inner = last_file(found.getPath(), files) if found.isDirectory() else None
+            if inner or (found.isFile() and name.endswith(suffix)):
+                return inner or found.getPath().toString()
+        return None
+
+    where, files = file_system(spark, f"{root}/{category}")
+    last = last_file(where, files) if files.exists(where) else None
+    return last and re.sub(r"/part-[^/]*$", "", last)
+
+
+def new_batches(
+    spark: SparkSession, root: str, category: str, taken: DataFrame | None, mode: str = "all", suffix: str = ".csv"
+) -> dict[str, str]:
+    """Batches that were not taken yet, name to path: all of them, or the last one.
+
+    ``taken`` has the names of the others (column ``name``). Nothing is opened.
+    """
+    last = last_batch(spark, root, category, suffix)
+    if last is None:
+        return {}
+    if mode == "latest":
+        spark_path = spark.createDataFrame([(last,)], "batch string")
+        found = spark_path.select(batch_name(F.col("batch"), category).alias("name"), "batch")
+    else:
+        found = batches(spark, root, category, suffix)
+    if taken is not None:
+        found = found.join(taken, "name", "left_anti")
+    return {r["name"]: r["batch"] for r in found.collect()}
 
 
 def read_batches(
@@ -126,15 +181,10 @@ def read_batches(
     Returns None when the category has no folder or no files, so that a missing category is
     a warning for the caller and not an error. Any other problem is raised.
     """
-    try:
-        latest = batches(spark, root, category).agg(F.max("batch")).first()[0]
-    except AnalysisException as error:
-        if no_such_path(error):
-            return None
-        raise
-    if latest is None:
+    last = last_batch(spark, root, category)
+    if last is None:
         return None
-    return read_csv(spark, f"{root}/{category}" if mode == "all" else latest, schema, loaded_at)
+    return read_csv(spark, f"{root}/{category}" if mode == "all" else last, schema, loaded_at)
 
 
 def read_history(
@@ -180,6 +230,19 @@ def history_files(spark: SparkSession, folder: str, pattern: str = fixed.HISTORY
     )
 
 
+@contextmanager
+def plain_numbers(spark: SparkSession) -> Iterator[None]:
+    """JSON numbers asked for as text come from the parser, not from a read of the file at the
+    place of each value, which would be one request per number."""
+    key = "spark.sql.json.enableExactStringParsing"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _read_arrays(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     schema = as_text(schemas.HISTORY_RECORD).add("_broken", T.StringType())
     parsed = (
@@ -191,7 +254,8 @@ def _read_arrays(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .json(folder)
     )
-    return stage(parsed.withColumn("_file", F.col("_metadata.file_path")), "history")
+    with plain_numbers(spark):
+        return stage(parsed.withColumn("_file", F.col("_metadata.file_path")), "history")
 
 
 EXPORT_NAMES = {

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from playspan.sources import schemas
+from playspan.sources.landing import BATCH, batch_name
+
 
 def read_pages(spark: SparkSession, path: str, schema: str, *extra: str) -> DataFrame:
     """JSON lines, one page per line; ``extra`` are further columns as DDL."""
@@ -11,6 +17,39 @@ def read_pages(spark: SparkSession, path: str, schema: str, *extra: str) -> Data
     return spark.read.schema(ddl).json(path)
 
 
+@dataclass(frozen=True)
+class Kind:
+    """Landed pages of one category: their schema, the list they must have, and their rows."""
+
+    schema: str
+    items: str
+    flatten: Callable[[DataFrame], DataFrame]
+    extra: tuple[str, ...] = ()
+
+
+def kinds(user_id: str | Column, at: Column) -> dict[str, Kind]:
+    """What pages land per category; playlists are those of ``user_id`` as of ``at``."""
+    return {
+        "plays": Kind(schemas.PLAYS_PAGE, "items", flatten_plays),
+        "artists": Kind(schemas.ARTISTS_PAGE, "artists", flatten_artists),
+        "playlists": Kind(schemas.PLAYLISTS_PAGE, "items", lambda p: flatten_playlists(p, user_id, at)),
+        "playlist_tracks": Kind(
+            schemas.PLAYLIST_ITEMS_PAGE, "items", flatten_playlist_tracks, ("playlist_id string", "offset int")
+        ),
+    }
+
+
+def read_landed(spark: SparkSession, paths: Sequence[str], category: str, kind: Kind) -> DataFrame:
+    """Pages with their batch (``BATCH``); a line that is no page of this kind is in ``_body``."""
+    ddl = ", ".join([kind.schema.strip(), *kind.extra, "_body string"])
+    read = spark.read.schema(ddl).option("columnNameOfCorruptRecord", "_body").option("recursiveFileLookup", True)
+    return read.json(paths).withColumn(BATCH, batch_name(F.col("_metadata.file_path"), category))
+
+
+def is_broken(kind: Kind) -> Column:
+    return F.col("_body").isNotNull() | F.col(kind.items).isNull()
+
+
 def parse_pages(df: DataFrame, column: str, schema: str) -> DataFrame:
     """Pages held as JSON text in ``column``, next to the other columns."""
     others = [c for c in df.columns if c != column]
@@ -23,12 +62,18 @@ def _struct_body(schema: str) -> str:
     return f"{name}: {kind}"
 
 
+def _batch(pages: DataFrame) -> list[str]:
+    """The batch of a page goes along with its rows, if it is known."""
+    return [BATCH] if BATCH in pages.columns else []
+
+
 def flatten_plays(pages: DataFrame) -> DataFrame:
     """One row per played item with a track that has artists; the first artist counts."""
     track = F.col("item.track")
     lead = F.get(track["artists"], 0)
-    rows = pages.select(F.explode("items").alias("item"))
+    rows = pages.select(*_batch(pages), F.explode("items").alias("item"))
     return rows.filter(track.isNotNull() & (F.size(track["artists"]) > 0)).select(
+        *_batch(pages),
         F.col("item.played_at").cast("timestamp").alias("played_at"),
         track["id"].alias("track_id"),
         track["name"].alias("track_name"),
@@ -49,9 +94,10 @@ def flatten_artists(pages: DataFrame) -> DataFrame:
     artist = F.col("artist")
     genres = F.coalesce(artist["genres"], F.array().cast("array<string>"))
     return (
-        pages.select(F.explode("artists").alias("artist"))
+        pages.select(*_batch(pages), F.explode("artists").alias("artist"))
         .filter(artist.isNotNull())
         .select(
+            *_batch(pages),
             artist["id"].alias("artist_id"),
             artist["name"].alias("artist_name"),
             F.array_join(genres, ",").alias("genres"),
@@ -66,9 +112,10 @@ def flatten_playlists(pages: DataFrame, user_id: str | Column, extracted_at: Col
     user = F.lit(user_id) if isinstance(user_id, str) else user_id
     item = F.col("item")
     return (
-        pages.select(F.explode("items").alias("item"))
+        pages.select(*_batch(pages), F.explode("items").alias("item"))
         .filter(item.isNotNull())
         .select(
+            *_batch(pages),
             item["id"].alias("playlist_id"),
             item["name"].alias("playlist_name"),
             item["owner"]["id"].alias("owner_id"),
@@ -88,9 +135,10 @@ def flatten_playlist_tracks(pages: DataFrame) -> DataFrame:
     the position is the offset of the page plus the place within the page."""
     item = F.col("item")
     return (
-        pages.select("playlist_id", "offset", F.posexplode("items").alias("place", "item"))
+        pages.select(*_batch(pages), "playlist_id", "offset", F.posexplode("items").alias("place", "item"))
         .filter(item["track"]["id"].isNotNull() & (item["track"]["id"] != ""))
         .select(
+            *_batch(pages),
             "playlist_id",
             item["track"]["id"].alias("track_id"),
             item["added_at"].cast("timestamp").alias("added_at"),

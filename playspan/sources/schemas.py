@@ -47,6 +47,7 @@ TABLE_KEYS = {
     "raw_playlists": ("playlist_id",),
     "raw_playlist_tracks": ("playlist_id", "track_id"),
     "raw_exported_plays": ("track_id", "played_at"),
+    "raw_audio_features": ("id",),
 }
 
 # Shape of the API pages, as far as fields are read

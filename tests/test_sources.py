@@ -210,7 +210,7 @@ def test_load_and_build(spark, tmp_path):
         r.table_name: tuple(r)[1:]
         for r in load.load_landing(spark, str(files), root, loaded_at=stamp()).collect()
     }
-    assert again["raw_plays"] == (2, 4, 2, 0) and again["raw_artists"] == (2, 2, 0, 2)
+    assert again["raw_plays"] == (2, 4, 2, 0) and "raw_artists" not in again  # a batch is taken once
 
     export = tmp_path / "export"
     write(export / "Streaming_History_Audio_0.json", json.dumps([record(fixed.TRACK_URI_PREFIX + "A", 0)]))
