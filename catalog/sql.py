@@ -412,6 +412,23 @@ PARTS = {
             '1999-01' AS album_release_date, CAST(floor(value * 1000) AS INTEGER) AS duration_ms,
             k AS popularity, k % 2 = 0 AS explicit, '{PREFIX}t' || k AS track_uri
         FROM numbered_events WHERE event_type NOT IN ('error', 'signup')""",
+    "good_page_plays": f"""
+        SELECT ts AS played_at, 't' || k AS track_id, 'Track ' || k AS track_name,
+            'a' || (k % 20) AS artist_id, 'Artist ' || (k % 20) AS artist_name,
+            'l' || (k % 40) AS album_id, 'Album ' || (k % 40) AS album_name,
+            '1999-01' AS album_release_date, CAST(floor(value * 1000) AS INTEGER) AS duration_ms,
+            k AS popularity, k % 2 = 0 AS explicit, '{PREFIX}t' || k AS track_uri
+        FROM numbered_events WHERE event_type NOT IN ('error', 'signup')
+            AND event_id // 50 % 7 <> 0 AND event_id // 50 % 11 <> 3""",
+    "artist_records": """
+        SELECT o_custkey, o_orderkey % 3 AS b, max(o_orderkey) AS k,
+            max_by(o_orderpriority, o_orderkey) AS priority, max_by(o_totalprice, o_orderkey) AS price
+        FROM orders GROUP BY 1, 2""",
+    "last_artist_records": """
+        SELECT 'a' || o_custkey AS artist_id, 'Artist ' || o_custkey AS artist_name,
+            lower(max_by(priority, b)) AS genres, CAST(max_by(k, b) % 101 AS INTEGER) AS popularity,
+            CAST(floor(max_by(price, b)) AS INTEGER) AS followers, TIMESTAMP '2024-03-01 00:00:00' AS loaded_at
+        FROM artist_records GROUP BY o_custkey""",
     "order_lines": """
         SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_shipdate,
             l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS place FROM lineitem""",
@@ -835,6 +852,38 @@ def bodies() -> dict[str, str]:
                 round(100 * (l_quantity / nullif(CAST(l_linenumber - 1 AS DOUBLE), 0)), 1) AS share,
                 abs(l_quantity - l_linenumber) AS difference
             FROM lineitem""",
+        load_batches_upsert="SELECT * FROM last_artist_records",
+        stream_batches_upsert="SELECT * FROM last_artist_records",
+        load_batches_metrics="""
+            SELECT CAST(1 AS INTEGER) AS load, 'raw_artists' AS table_name, CAST(0 AS BIGINT) AS rows_before,
+                n AS rows_after, n AS rows_added, CAST(0 AS BIGINT) AS rows_updated
+            FROM (SELECT count(*) AS n FROM artist_records WHERE b = 2)
+            UNION ALL
+            SELECT 2, 'raw_artists', n, a, a - n, 0
+            FROM (SELECT count(*) FILTER (b = 2) AS n, count(DISTINCT o_custkey) AS a FROM artist_records)""",
+        upsert_bucketed="SELECT * FROM merged_balances",
+        load_pages_plays=f"""
+            SELECT {hashed("track_id", "played_at")} AS play_id, played_at, track_id, track_name,
+                artist_id, artist_name, album_id, album_name, album_release_date,
+                CAST(left(album_release_date, 4) AS INTEGER) AS album_release_year, duration_ms,
+                popularity, explicit, track_uri, {calendar("played_at")}, TIMESTAMP '2024-03-01 00:00:00' AS loaded_at
+            FROM ({newest("good_page_plays", "track_id, played_at", RAW_PLAY.replace("user_id", ""), at="played_at")})
+            WHERE duration_ms >= {fixed.MIN_PLAY_MS}""",
+        load_pages_broken="""
+            SELECT 'plays' AS category, count(DISTINCT event_id // 50) AS n_pages,
+                count(DISTINCT event_id // 50) FILTER (event_id // 50 % 7 = 0 OR event_id // 50 % 11 = 3) AS n_broken,
+                (SELECT count(*) FROM good_page_plays) AS n_rows, CAST(0 AS BIGINT) AS n_without_key,
+                -- cut pages differ, error bodies of a batch are one row
+                (SELECT count(DISTINCT CASE WHEN p % 7 = 0 THEN p ELSE -1 - p % 3 END)
+                 FROM (SELECT event_id // 50 AS p FROM events) WHERE p % 7 = 0 OR p % 11 = 3) AS n_kept
+            FROM events""",
+        load_audio_features=f"""
+            SELECT id AS track_id, danceability, energy, key, loudness, mode, {MODE_NAME} AS mode_name,
+                speechiness, acousticness, instrumentalness, liveness, valence, tempo, duration_ms,
+                time_signature, {TRACK_MOOD} AS mood_category, TIMESTAMP '2024-03-01 00:00:00' AS loaded_at
+            FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY
+                CAST(epoch(loaded_at) AS BIGINT) // 3600 % 3 DESC, duration_ms DESC) AS place FROM raw_features)
+            WHERE place = 1""",
         stream_ingest="SELECT * FROM landed_plays",
         stream_upsert="SELECT * FROM merged_balances",
         stream_dedup="SELECT * EXCLUDE (loaded_at) FROM landed_plays",

@@ -75,7 +75,8 @@ def _merge(spark: SparkSession, batch: DataFrame, path: str, table: str, replace
 
 
 def load_pages(
-    spark: SparkSession, pages_root: str, root: str, *, user_id: str, loaded_at: Column | None = None
+    spark: SparkSession, pages_root: str, root: str, *, user_id: str, loaded_at: Column | None = None,
+    suffix: str = ".json",
 ) -> DataFrame:
     """Landed API pages (JSON lines) to the raw tables, batch by batch as ``load_landing``.
 
@@ -89,7 +90,7 @@ def load_pages(
     for category, kind in pages.kinds(user_id, stamp).items():
         table, _, replaces = CATEGORIES[category]
         path = tables.layer_path(root, "raw", table)
-        found = landing.new_batches(spark, pages_root, category, tables.taken_batches(spark, path), suffix=".json")
+        found = landing.new_batches(spark, pages_root, category, tables.taken_batches(spark, path), suffix=suffix)
         if not found:
             continue
         with scratch_scope(spark, "pages"):

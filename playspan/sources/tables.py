@@ -283,7 +283,7 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 
 def upsert_version(
     spark: SparkSession, new: DataFrame, base: str, keys: Sequence[str], tag: str | None = None,
-    newest: str = "loaded_at", *, batches: Iterable[str] = (),
+    newest: str = "loaded_at", *, batches: Iterable[str] = (), rows_per_bucket: int | None = None,
 ) -> dict[str, int]:
     """Upsert into a replaced table: the next version is the one before plus ``new``.
 
@@ -299,7 +299,7 @@ def upsert_version(
     if _seen(rows, tag):
         return _unchanged(before)
     have = parts[0]["buckets"] if parts else None
-    want = 1 << max(0, math.ceil(math.log2(max(before, 1) / ROWS_PER_BUCKET)))
+    want = 1 << max(0, math.ceil(math.log2(max(before, 1) / (rows_per_bucket or ROWS_PER_BUCKET))))
     n = have if have and want <= 2 * have else want
     with scratch_scope(spark, "upsert"):
         order = [BATCH, newest] if BATCH in new.columns else newest
