@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from catalog.inputs import models, table, text
-from catalog.queries import _balances, _play_pages, load_time, query
-from playspan.plans import load, staging
+from catalog.queries import _balances, _events, _play_pages, load_time, query
+from playspan.operators import late
+from playspan.plans import daily, load, staging, star
 from playspan.session import scratch_path
 from playspan.sources import landing, schemas, tables
 from playspan.streaming import landing as incremental
@@ -126,3 +127,75 @@ def load_audio_features(spark, folder):
         _land(rows, landed, "audio_features", b)
     load.load_landing(spark, landed, root, loaded_at=load_time())
     return staging.audio_features(load.raw_tables(spark, root)["raw_audio_features"])
+
+
+# ---------------------------------------------------------------- late plays
+
+
+def _with_late_events(spark, folder, name, **options) -> DataFrame:
+    """Events numbered without those of some hours, then with them, added in two steps."""
+    events = _events(spark, folder)
+    hour = F.hour("played_at")
+    kept = late.NumberedPlays(scratch_path(spark, name), ties=("event_id",), carry=("track_id",), rows_per_range=20_000, **options)
+    kept.begin(events.filter((hour != 5) & (hour != 17)))
+    kept.add(events.filter(hour == 17))
+    kept.add(events.filter(hour == 5))
+    return kept.read(spark)
+
+
+@query
+def sessionize_late(spark, folder):
+    return _with_late_events(spark, folder, "sessions", gap_minutes=5).select("event_id", "is_new_session", "session_number")
+
+
+@query
+def sessionize_per_user_late(spark, folder):
+    return _with_late_events(spark, folder, "user-sessions", by=("user_id",), gap_minutes=240).select(
+        "event_id", "user_id", "is_new_session", "session_number"
+    )
+
+
+@query
+def repeat_runs_late(spark, folder):
+    return _with_late_events(spark, folder, "runs").select("event_id", "is_repeat", "repeat_sequence")
+
+
+def _refreshed(spark, folder) -> str:
+    """What is kept for daily reports: of all plays but those of some hours, then the days of
+    the late ones refreshed. Made once per session and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _kept:
+        m, root = models(spark, folder), scratch_path(spark, "daily")
+        is_late = (F.dayofmonth("played_at") % 5 == 2) & (F.hour("played_at") < 8)
+        early, new = m.raw_plays.filter(~is_late), m.raw_plays.filter(is_late)
+        daily.refresh(star.all_plays(staging.plays(early), staging.history(m.raw_history, early)), root)
+        days = daily.touched_days(new, staging.known_ids(early), staging.known_ids(m.raw_plays), m.stg_history)
+        daily.refresh(star.all_plays(m.stg_plays, m.stg_history), root, days)
+        _kept[key] = root
+    return _kept[key]
+
+
+_kept: dict[tuple[str, str], str] = {}
+
+
+@query
+def refreshed_top_artists(spark, folder):
+    m = models(spark, folder)
+    return daily.top_artists(_refreshed(spark, folder), m.dim_tracks, m.dim_artists)
+
+
+@query
+def refreshed_top_tracks(spark, folder):
+    m = models(spark, folder)
+    return daily.top_tracks(_refreshed(spark, folder), m.dim_tracks, m.dim_artists)
+
+
+@query
+def refreshed_patterns(spark, folder):
+    m = models(spark, folder)
+    return daily.patterns(_refreshed(spark, folder), m.dim_tracks, m.dim_artists)
+
+
+@query
+def refreshed_sessions(spark, folder):
+    return daily.sessions(spark, _refreshed(spark, folder))

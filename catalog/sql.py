@@ -591,6 +591,14 @@ def freshness_rows() -> str:
     return " UNION ALL ".join(rows)
 
 
+#: Queries that reach the rows of another one in steps.
+SAME_ROWS = {
+    "sessionize_late": "sessionize", "sessionize_per_user_late": "sessionize_per_user", "repeat_runs_late": "repeat_runs",
+    "refreshed_top_artists": "top_artists_daily", "refreshed_top_tracks": "top_tracks_daily",
+    "refreshed_patterns": "listening_patterns_hourly", "refreshed_sessions": "consecutive_listening_daily",
+}
+
+
 def bodies() -> dict[str, str]:
     out = {name: f"SELECT * FROM {name}" for name in (
         "stg_plays stg_artists stg_playlists stg_playlist_tracks stg_history dim_tracks dim_artists "
@@ -952,6 +960,8 @@ def bodies() -> dict[str, str]:
                 JOIN stg_features f ON e.track_id = f.track_id GROUP BY e.playlist_id) v
             ON a.playlist_id = v.playlist_id""",
     )
+    for name, same in SAME_ROWS.items():
+        out[name] = out[same]
     return out
 
 

@@ -83,8 +83,12 @@ def number_plays(
     rule = (gap_minutes, split_days)
     ranged = in_ranges(plays, [*by, AT, *ties[:1]], rows_per_range=rows_per_range, ranges=ranges)
     scanned = stage(_scan_ranges(ranged, by, ties, seen, rule, copies), "scanned")
-    numbered = _join_carried(scanned, _carried(scanned, by, seen, rule), by)
+    return _shown(scanned, _carried(scanned, by, seen, rule), plays.columns, by, seen, carry, rule, copies)
 
+
+def _shown(scanned: DataFrame, carried: DataFrame, columns, by, seen, carry, rule, copies=None) -> DataFrame:
+    """The numbers of all plays: what was said within the ranges, moved on by what came before."""
+    numbered = _join_carried(scanned, carried, by)
     first = F.col("_at") == 1
     prev = _Play(
         ~first | F.coalesce(F.col("_row_shift") > 0, F.lit(False)),
@@ -98,7 +102,7 @@ def number_plays(
         F.col("_open_run_at"),
     )
     return numbered.select(
-        *plays.columns,
+        *columns,
         *(prev[c].alias(f"prev_{c}") for c in carry),
         minutes_between(prev[AT], row[AT]).alias("minutes_since_prev_play"),
         _opens_session(prev, row, *rule).alias("is_new_session"),

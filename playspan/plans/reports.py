@@ -21,6 +21,11 @@ def top_artists_daily(fact: DataFrame, artists: DataFrame, *, ordered: bool = Tr
         F.sum("duration_ms").alias("total_listen_time_ms"),
         F.avg("track_popularity").alias("avg_track_popularity"),
     )
+    return artists_of_days(daily, artists, ordered=ordered)
+
+
+def artists_of_days(daily: DataFrame, artists: DataFrame, *, ordered: bool = True) -> DataFrame:
+    """The report from totals per day and artist key."""
     about = artists.select(
         "artist_key", "artist_id", "artist_name",
         F.col("genres").alias("artist_genres"),
@@ -43,6 +48,11 @@ def top_tracks_daily(fact: DataFrame, tracks: DataFrame, *, ordered: bool = True
         F.max("duration_ms").alias("duration_ms"),
         F.max("explicit").alias("explicit"),
     )
+    return tracks_of_days(daily, tracks, ordered=ordered)
+
+
+def tracks_of_days(daily: DataFrame, tracks: DataFrame, *, ordered: bool = True) -> DataFrame:
+    """The report from totals per day and track key, of all days."""
     about = tracks.select("track_key", "track_id", "track_name", "artist_name", "album_name")
     out = with_first_date(daily, "track_key").join(about, "track_key", "left").select(
         "played_date", "track_key", "track_id", "track_name", "artist_name", "album_name",
@@ -78,6 +88,11 @@ def listening_patterns_hourly(fact: DataFrame, *, ordered: bool = True) -> DataF
     reduced = fact.groupBy(*HOUR_GRAIN, "track_key", "artist_key").agg(
         F.count("*").alias("n"), F.sum("duration_ms").alias("ms")
     )
+    return hours_of_days(reduced, ordered=ordered)
+
+
+def hours_of_days(reduced: DataFrame, *, ordered: bool = True) -> DataFrame:
+    """The report from plays (n) and listening time (ms) per hour, track and artist."""
     hourly = reduced.groupBy(*HOUR_GRAIN).agg(
         F.sum("n").alias("play_count"),
         F.countDistinct("track_key").alias("unique_tracks"),
@@ -100,7 +115,12 @@ def consecutive_listening_daily(fact: DataFrame, *, ordered: bool = True) -> Dat
     Minutes are rounded per session before they are added up, as whole hundredths, so the
     result does not depend on the order of the additions.
     """
-    sessions = (
+    return sessions_of_days(session_totals(fact), ordered=ordered)
+
+
+def session_totals(fact: DataFrame) -> DataFrame:
+    """Songs, whole hundredths of minutes, start and end of the sessions of each day."""
+    return (
         fact.groupBy("played_date", "session_number")
         .agg(
             F.count("*").alias("songs"),
@@ -109,8 +129,12 @@ def consecutive_listening_daily(fact: DataFrame, *, ordered: bool = True) -> Dat
             F.max("played_at").alias("end"),
         )
         .withColumn("hundredths", F.round(minutes_of(F.col("ms")) * 100.0, 0).cast("long"))
-        .withColumn("length", minutes_between(F.col("start"), F.col("end")))
     )
+
+
+def sessions_of_days(sessions: DataFrame, *, ordered: bool = True) -> DataFrame:
+    """The report from the totals of sessions."""
+    sessions = sessions.withColumn("length", minutes_between(F.col("start"), F.col("end")))
     days = sessions.groupBy("played_date").agg(
         F.countDistinct("session_number").alias("total_sessions"),
         F.sum("songs").alias("total_consecutive_songs"),

@@ -32,7 +32,7 @@ from playspan.sources.landing import BATCH, no_such_path
 LAYERS = ("raw", "staging", "marts", "analytics")
 MANIFEST = (
     "part string, version long, n_rows long, tag string, low timestamp, high timestamp,"
-    " bucket int, buckets int, batches array<string>, replaces array<string>"
+    " bucket long, buckets long, batches array<string>, replaces array<string>"
 )
 FAN = 8  # so many parts of about one size are merged into one
 KEEP = 3  # versions whose parts stay
@@ -277,6 +277,26 @@ def replace_version(df: DataFrame, base: str, tag: str | None = None) -> int:
     return row["n_rows"]
 
 
+def replace_buckets(df: DataFrame, base: str) -> None:
+    """Write the buckets that are in ``df`` (column ``bucket``) anew, as the next version."""
+    spark, version = df.sparkSession, _next(manifest(df.sparkSession, base))
+    part = f"{version}-{uuid.uuid4().hex}"
+    folder = f"{base}/part={part}"
+    df.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(folder)
+    counts = spark.read.parquet(folder).groupBy("bucket").count().collect()
+    _record(spark, base, [
+        {"part": part, "version": version, "n_rows": r["count"], "bucket": r["bucket"], "buckets": 0} for r in counts
+    ])
+    tidy(spark, base, _newest)
+
+
+def read_buckets(spark: SparkSession, base: str, buckets: Iterable[int] | None = None) -> DataFrame:
+    """The newest version of the named buckets, or of all."""
+    parts = _newest(manifest(spark, base))
+    wanted = None if buckets is None else set(buckets)
+    return _read_parts(spark, base, [r for r in parts if wanted is None or r["bucket"] in wanted])
+
+
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
