@@ -251,7 +251,9 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = S
     pairs = candidates(signatures)
     left = signatures.select(F.col("id").alias("a"), F.col("signature").alias("sa"))
     right = signatures.select(F.col("id").alias("b"), F.col("signature").alias("sb"))
-    pairs = pairs.join(left, "a").join(right, "b").select("a", "b", agreeing("sa", "sb").alias("equal"))
+    # Not deterministic for the optimizer, which would run it in the filter and again for the column.
+    equal = agreeing.asNondeterministic()("sa", "sb")
+    pairs = pairs.join(left, "a").join(right, "b").select("a", "b", equal.alias("equal"))
     pairs = stage(pairs.where(F.col("equal") >= LEAST_EQUAL), "pairs")
 
     # Never broadcast: the candidates' texts are shuffled alike at every size.
