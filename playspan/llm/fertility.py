@@ -9,10 +9,12 @@ before are kept per Python worker.
 The bands are learned from all texts that pass the base rules: per group (the language
 label where there is one, else the script of most letters) and length class (log2 of the
 tokens) the quartiles of each measure, widened by ``REACH`` interquartile ranges
-and a small slack. A text outside a band is rejected. A class with fewer than ``LEAST``
-texts uses the bands of its whole group for all but the entropy, which depends on length;
-a group with fewer has no bands. The group table has a row per language or script and length class, so it is small
-whatever the input. Percentiles come from mergeable sketches; nothing is sampled.
+and a small slack. A text outside a band is rejected. Where fewer than
+``LEAST`` texts are alike, wider bands hold: those of the whole group, of the script and
+length class, of the script, of the nearest length class, at last of all texts. Entropy
+depends on length, so it skips bands of all lengths. So every text is judged. The band
+tables have a row per language or script and length class and are small whatever the input.
+Percentiles come from mergeable sketches; nothing is sampled.
 
 A null or empty text has no words, fails the base rules (fewer than 20 words) and is not
 kept. Repeated rows and null ids are treated like other rows; an empty table gives none.
@@ -162,12 +164,12 @@ def measured(spark, vocabularies: tuple[str, str] | None = None):
     return run
 
 
-def _bands(rows: DataFrame, keys: list[str], measures: tuple[str, ...]) -> DataFrame:
+def _bands(rows: DataFrame, keys: list[str], measures: tuple[str, ...], least: int) -> DataFrame:
     """Keys and the low and high limit of each measure, for groups with enough rows."""
     quartiles = (
         rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(m, [0.25, 0.75], 1000).alias(m) for m in measures])
-        .where(F.col("n") >= LEAST)
+        .where(F.col("n") >= least)
     )
     limits = []
     for m in measures:
@@ -178,6 +180,22 @@ def _bands(rows: DataFrame, keys: list[str], measures: tuple[str, ...]) -> DataF
     return quartiles.select(*keys, *limits)
 
 
+#: Where the bands of a text come from: the first of these with ``LEAST`` texts that passed.
+LEVELS = {
+    "class": ["group", "length_class"], "group": ["group"], "like": ["script", "length_class"], "script": ["script"],
+    "length": ["length_class"],
+}
+
+
+def _nearest(bands: DataFrame, level: str) -> DataFrame:
+    """Bands of all length classes: those without their own have the nearest one's."""
+    rows = {r[0]: tuple(r)[1:] for r in bands.collect()}  # a row per power of two of tokens
+    if not rows:
+        return bands
+    filled = [(c, *rows[min(rows, key=lambda x: (abs(x - c), x))]) for c in range(64)]
+    return bands.sparkSession.createDataFrame(filled, bands.schema)
+
+
 def judge(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str | None = None, vocabularies=None
 ) -> DataFrame:
@@ -193,17 +211,24 @@ def judge(
     ).withColumn("length_class", F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))).cast("int"))
     passed = rows.where("NOT base_failed")
     found = rows
-    for keys, measures, end in ((["group", "length_class"], MEASURES, "class"), (["group"], MEASURES[:2], "group")):
-        bands = _bands(passed, keys, measures).toDF(
-            *[f"{end}_{k}" for k in keys], *[f"{end}_{m}_{side}" for m in measures for side in ("low", "high")]
+    for level, keys in LEVELS.items():
+        measures = MEASURES if "length_class" in keys else MEASURES[:2]
+        bands = _bands(passed, keys, measures, LEAST).toDF(
+            *[f"{level}_{k}" for k in keys], *[f"{level}_{m}_{side}" for m in measures for side in ("low", "high")]
         )
         bands = stage(bands, "bands")
-        same = [F.col(k) == F.col(f"{end}_{k}") for k in keys]
+        if keys == ["length_class"]:
+            bands = _nearest(bands, level)
+        same = [F.col(k) == F.col(f"{level}_{k}") for k in keys]
         found = found.join(if_few(bands, bands.count()), same, "left")
+    last = _bands(passed, [], MEASURES, 1).first() or [None] * 2 * len(MEASURES)
     outside = F.lit(False)
-    for m in MEASURES:
-        levels = ("class", "group") if m in MEASURES[:2] else ("class",)
-        low, high = (F.coalesce(*[F.col(f"{level}_{m}_{side}") for level in levels]) for side in ("low", "high"))
+    for i, m in enumerate(MEASURES):
+        levels = [x for x, keys in LEVELS.items() if m in MEASURES[:2] or "length_class" in keys]
+        low, high = (
+            F.coalesce(*[F.col(f"{level}_{m}_{side}") for level in levels], F.lit(last[2 * i + j]).cast("double"))
+            for j, side in enumerate(("low", "high"))
+        )
         outside = outside | F.coalesce(~F.col(m).between(low, high), F.lit(False))
     return found.withColumn("kept", ~F.col("base_failed") & ~outside)
 

@@ -293,10 +293,14 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = S
 def keep_one_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id; columns unchanged.
 
-    Of rows with one id, one stays. Rows with a null id stay if they are linked with nothing.
+    Of rows with one id, one stays. A row with a null id counts under a number of its text,
+    above all ids in use: equal texts are one row, and rows with an id are preferred to it.
     """
+    columns, own = docs.columns, quoted("doc_id")
+    name, of = free_name(docs, "kept_id"), free_name(docs, "of")
+    number = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(F.coalesce(quoted("text"), F.lit(""))), 2)
+    docs = docs.withColumn(of, own).withColumn("doc_id", F.coalesce(own.cast("long"), number))
     linked = stage(link(docs, **options), "linked")
-    name = free_name(docs, "kept_id")
     keep = linked.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
     kept = docs.join(keep, F.col("doc_id") == F.col(name), "left_semi")
     repeated = linked.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
@@ -305,7 +309,7 @@ def keep_one_each(docs: DataFrame, **options) -> DataFrame:
         same = F.col("doc_id") == F.col(name)
         once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id"])
         kept = kept.join(repeated, same, "left_anti").unionByName(once)
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    return kept.withColumn("doc_id", F.col(of)).select(*map(quoted, columns))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -5,12 +5,14 @@ text are hashed to ``WIDTH`` places, weighed by log(1 + tf) * idf and normalised
 language has up to ``PER_LANGUAGE`` centroids (spherical k-means). A text gets the language
 of the centroid with the highest cosine, ties to the first in code-point order. It is
 rejected when its distance 1 - cosine is beyond the limit of its length band, learned from
-the sample: half of the cosine that all but 0.1 % of the sample's texts of the band reach.
-
-The classifier is fitted on a bounded sample of labelled rows (``sample_rows``, drawn by
-hash from all of them); prediction reads whole texts of all rows. A null text, an empty one
-and one without a letter get ``und`` with score 0 and are rejected; without any labelled
-row everything is ``und``. Repeated rows and rows with null ids are predicted like others;
+all labelled rows: ``MARGIN`` of the cosine to their own language that all but 0.1 % of the
+texts of the band reach. A band with fewer than ``LEAST`` texts is widened by its neighbours
+until it has as many. A cosine of 0 is always rejected.
+
+The centroids are fitted on a bounded sample of labelled rows (about ``sample_rows``, drawn
+row by row from all of them, so repeated rows are drawn one by one); limits and predictions
+read whole texts of all rows. A null text, an empty one and one without a letter get ``und``
+with score 0 and are rejected; without any labelled row everything is ``und``. Repeated rows and rows with null ids are predicted like others;
 other columns are passed through, whatever their names.
 """
 
@@ -33,6 +35,8 @@ SAMPLE_ROWS = 12_000
 ROUNDS = 3
 BANDS = 24
 FIT_PARTS = 12
+LEAST = 200
+MARGIN = 0.9
 
 
 @dataclass
@@ -103,9 +107,10 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", sample_rows: in
     total = rows.count()
     if not total:
         return Model([], np.ones(WIDTH, np.float32), np.zeros((0, WIDTH), np.float32), np.ones(BANDS))
-    share = int(min(1.0, sample_rows / total) * (1 << 20))
-    drawn = F.pmod(F.xxhash64("lang", "text"), F.lit(1 << 20)) <= share
-    sample = stage(rows.where(drawn).limit(2 * sample_rows).repartition(FIT_PARTS), "langid")
+    drawn = rows.where(F.rand(17) < sample_rows / total) if total > sample_rows else rows
+    sample = stage(drawn.repartition(FIT_PARTS), "langid")
+    if not sample.count():
+        sample = stage(rows.limit(sample_rows), "langid")
     languages = sorted(r[0] for r in sample.select("lang").distinct().collect())
     if not languages:
         return Model([], np.ones(WIDTH, np.float32), np.zeros((0, WIDTH), np.float32), np.ones(BANDS))
@@ -127,41 +132,64 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", sample_rows: in
     idf = (np.log((1 + sum(r["n"] for r in found)) / (1 + seen)) + 0.1).astype(np.float32)
 
     def one_pass(centroids):
-        """Sums per centroid of the texts next to it, and (band, cosine) of each text."""
+        """Sums per centroid of the texts next to it."""
 
         def gather(batches):
-            sums, near = np.zeros((k, WIDTH), np.float32), []
+            sums = np.zeros((k, WIDTH), np.float32)
             for batch in batches:
                 own = np.array([place[x] for x in batch.column("lang").to_pylist()], np.int64)
                 for a, b, x, letters in _vectors(batch.column("text"), idf):
                     some = letters > 0
                     if centroids is None:
                         best = np.abs(np.round(x.sum(axis=1) * 1e4)).astype(np.int64) % PER_LANGUAGE
-                        cosine = np.ones(b - a)
                     else:
                         scores = (x @ centroids.T).reshape(b - a, len(languages), PER_LANGUAGE)
-                        scores = scores[np.arange(b - a), own[a:b]]
-                        best, cosine = scores.argmax(axis=1), scores.max(axis=1)
+                        best = scores[np.arange(b - a), own[a:b]].argmax(axis=1)
                     np.add.at(sums, (own[a:b] * PER_LANGUAGE + best)[some], x[some])
-                    near.append(np.stack([_band(letters)[some], cosine[some]]))
-            near = np.concatenate(near, axis=1) if near else np.zeros((2, 0))
-            yield pa.RecordBatch.from_pydict({"sums": [sums.tobytes()], "near": [near.astype(float).tobytes()]})
+            yield pa.RecordBatch.from_pydict({"sums": [sums.tobytes()]})
 
-        parts = sample.mapInArrow(gather, "sums binary, near binary").collect()
+        parts = sample.mapInArrow(gather, "sums binary").collect()
         sums = sum(np.frombuffer(r["sums"], np.float32).reshape(k, WIDTH) for r in parts)
         size = np.sqrt((sums**2).sum(axis=1))
-        near = np.concatenate([np.frombuffer(r["near"]).reshape(2, -1) for r in parts], axis=1)
-        return (sums / np.maximum(size, 1e-9)[:, None]).astype(np.float32), near
+        return (sums / np.maximum(size, 1e-9)[:, None]).astype(np.float32)
 
-    centroids, _ = one_pass(None)
+    centroids = one_pass(None)
     for _ in range(ROUNDS):
-        centroids, near = one_pass(centroids)
+        centroids = one_pass(centroids)
+
+    def near(batches):
+        """(band, thousandths of the cosine to the own language, texts): a histogram per task."""
+        counts = np.zeros((BANDS, 1001), np.int64)
+        for batch in batches:
+            own = np.array([place.get(x, -1) for x in batch.column("lang").to_pylist()], np.int64)
+            for a, b, x, letters in _vectors(batch.column("text"), idf):
+                scores = (x @ centroids.T).reshape(b - a, len(languages), PER_LANGUAGE)
+                cosine = scores[np.arange(b - a), own[a:b]].max(axis=1)
+                some = (letters > 0) & (own[a:b] >= 0)
+                at = np.clip(cosine * 1000, 0, 1000).astype(np.int64)
+                np.add.at(counts, (_band(letters)[some], at[some]), 1)
+        band, at = np.nonzero(counts)
+        yield pa.RecordBatch.from_pydict({"band": band, "at": at, "n": counts[band, at]})
+
+    histogram = rows.mapInArrow(near, "band long, at long, n long").groupBy("band", "at").agg(F.sum("n").alias("n"))
+    counts = np.zeros((BANDS, 1001), np.int64)
+    for r in histogram.collect():  # BANDS * 1001 rows at most
+        counts[r["band"], r["at"]] = r["n"]
+    return Model(languages, idf, centroids, limits(counts))
+
+
+def limits(counts: np.ndarray) -> np.ndarray:
+    """Least cosine per band from counts of texts by band and thousandths of the cosine."""
     least = np.zeros(BANDS)
     for band in range(BANDS):
-        own = near[1][near[0] == band]
-        if len(own) >= 20:
-            least[band] = 0.5 * max(0.0, float(np.quantile(own, 0.001)))
-    return Model(languages, idf, centroids, least)
+        for reach in range(BANDS):
+            own = counts[max(0, band - reach) : band + reach + 1].sum(axis=0)
+            if own.sum() >= LEAST:
+                break
+        so_far = np.cumsum(own)
+        if so_far[-1]:
+            least[band] = MARGIN * float(np.searchsorted(so_far, 0.001 * so_far[-1], side="right")) / 1000
+    return least
 
 
 def predict(model: Model):
@@ -181,7 +209,7 @@ def predict(model: Model):
             some = letters > 0
             lang += [model.languages[i // PER_LANGUAGE] if s else "und" for i, s in zip(best, some)]
             score += np.where(some, top, 0.0).tolist()
-            rejected += (~some | (top < model.least_cosine[_band(letters)])).tolist()
+            rejected += (~some | (top <= 0) | (top < model.least_cosine[_band(letters)])).tolist()
         return pa.StructArray.from_arrays(
             [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
             ["lang", "score", "rejected"],

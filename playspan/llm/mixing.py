@@ -9,7 +9,8 @@ on top when the target is above the source's size.
 
 Sizes are numbers of words; a null text has 0 and takes nothing. A null source is a source
 of its own, last in order. Rows with one key are equal rows (key: id and text), which share
-what is left at the cut evenly, by whole words. An empty table gives an empty result. One
+what is left at the cut evenly: each takes the whole words of its share, and one word more
+with the probability of the rest, so many small equal rows come near the target together. An empty table gives an empty result. One
 row per source goes to the driver: a mix is configured per source. Reruns agree, as keys
 are hashes of the rows.
 """
@@ -106,18 +107,19 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     cuts = (
         keys.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(upto), F.lit(0)))
         .where("before <= budget and budget < before + size")
-        .select("source", "key", F.floor((F.col("budget") - F.col("before")) / F.col("copies")).alias("rest"))
+        .select("source", "key", "copies", (F.col("budget") - F.col("before")).alias("left"))
         .collect()
     )
-    at = {r["source"]: (r["key"], r["rest"]) for r in cuts}
+    at = {r["source"]: (r["key"], r["left"] // r["copies"], r["left"] % r["copies"] / r["copies"]) for r in cuts}
     final = spark.createDataFrame(
-        [(*r[:4], *at.get(r[0], ((1 << _BITS) if r[4] > 0 else -1, 0))) for r in rows],
-        "m_source string, source_size long, target double, epochs long, cut long, rest long",
+        [(*r[:4], *at.get(r[0], ((1 << _BITS) if r[4] > 0 else -1, 0, 0.0))) for r in rows],
+        "m_source string, source_size long, target double, epochs long, cut long, rest long, more double",
     )
     name, n, k, m = (free_name(docs, x) for x in ("mix", "mix_size", "mix_key", "mix_source"))
     of = lambda field: F.col(f"{m}.{field}")
     sized = docs.withColumn(n, n_words(quoted(text))).withColumn(k, _key(quoted(doc_id), quoted(text)))
-    rest = F.when(F.col(k) < of("cut"), F.col(n)).when(F.col(k) == of("cut"), F.least(of("rest"), F.col(n)))
+    share = of("rest") + (F.rand(29) < of("more")).cast("long")
+    rest = F.when(F.col(k) < of("cut"), F.col(n)).when(F.col(k) == of("cut"), F.least(share, F.col(n)))
     mixed = sized.join(
         if_few(final.select(F.struct("*").alias(m)), len(rows)),
         F.equal_null(quoted(source).cast("string"), of("m_source")),

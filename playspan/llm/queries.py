@@ -126,7 +126,10 @@ def op10_urls(spark, folder):
 SQL["op10_urls"] = r"""
 WITH hosts AS (
     SELECT page_id, url, CAST((page_id * 37) % 365 AS INTEGER) AS fetch_day,
-           nullif(regexp_replace(lower(regexp_extract(url, '^(?i:https?)://(?:[^/?#@]*@)?([^/?#:@\[\]]+)', 1)), '\.$', ''), '') AS host
+           nullif(regexp_replace(lower(regexp_extract(translate(url_decode(regexp_replace(regexp_extract(
+               replace(regexp_replace(url, '^[\x00-\x20]+|[\x00-\x20]+$|[\t\n\r]+', '', 'g'), '\', '/'),
+               '^(?i:https?)://([^/?#]*)', 1), '^.*@', '')), chr(12290) || chr(65294) || chr(65377), '...'),
+               '^([^/?#:@\[\]]+)', 1)), '\.+$', ''), '') AS host
     FROM pages
 ), captures AS (
     SELECT *, string_split(host, '.') AS labels FROM hosts
@@ -143,11 +146,13 @@ WITH hosts AS (
     GROUP BY 1, 2
 ), spans AS (
     SELECT name, action, day AS valid_from, lead(day) OVER (PARTITION BY name ORDER BY day) AS valid_to FROM daily
+), asked AS (
+    SELECT page_id, fetch_day, labels, unnest(range(0, greatest(len(labels) - 1, 1))) AS up
+    FROM captures WHERE host IS NOT NULL
 ), hits AS (
-    SELECT c.page_id, s.*, row_number() OVER (PARTITION BY c.page_id ORDER BY length(s.name) DESC) AS n
-    FROM captures c, (VALUES (0), (1), (2), (3)) AS l(up), spans s
-    WHERE s.name = CASE WHEN l.up = 0 THEN c.host WHEN len(c.labels) - l.up >= 2 THEN array_to_string(c.labels[l.up + 1:], '.') END
-      AND c.fetch_day >= s.valid_from AND (s.valid_to IS NULL OR c.fetch_day < s.valid_to)
+    SELECT a.page_id, s.*, row_number() OVER (PARTITION BY a.page_id ORDER BY length(s.name) DESC) AS n
+    FROM asked a JOIN spans s ON s.name = array_to_string(a.labels[a.up + 1:], '.')
+    WHERE a.fetch_day >= s.valid_from AND (s.valid_to IS NULL OR a.fetch_day < s.valid_to)
 )
 SELECT c.page_id, c.url, c.fetch_day, c.host, h.name, h.action, h.valid_from, h.valid_to,
        coalesce(h.action <> 'block', TRUE) AS kept

@@ -23,10 +23,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from playspan.llm.common import free_name, quoted
 
 
+#: Other full stops that stand for a dot in a host.
+DOTS = "\u3002\uff0e\uff61"
+
+
 def host_of(url: Column) -> Column:
-    """Lower-case host of an absolute http(s) URL, without user, port and final dot; else null."""
-    host = F.regexp_extract(url, r"^(?i:https?)://(?:[^/?#@]*@)?([^/?#:@\[\]]+)", 1)
-    host = F.regexp_replace(F.lower(host), r"\.$", "")
+    """Lower-case host of an absolute http(s) URL as a browser finds it; else null.
+
+    Blanks around the URL, tabs and line ends in it say nothing, a backslash is a slash. The
+    host stands behind the last ``@`` of the authority, percent signs are decoded (a broken one
+    is left as it is), other full stops are dots; port and final dots go.
+    """
+    plain = F.regexp_replace(url, r"^[\x00-\x20]+|[\x00-\x20]+$|[\t\n\r]+", "")
+    authority = F.regexp_extract(F.replace(plain, F.lit("\\"), F.lit("/")), r"^(?i:https?)://([^/?#]*)", 1)
+    host = F.replace(F.regexp_replace(authority, "^.*@", ""), F.lit("+"), F.lit("%2B"))
+    host = F.translate(F.coalesce(F.try_url_decode(host), host), DOTS, "...")
+    host = F.regexp_extract(host, r"^([^/?#:@\[\]]+)", 1)
+    host = F.regexp_replace(F.lower(host), r"\.+$", "")
     return F.when(host != "", host)
 
 

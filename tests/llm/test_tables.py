@@ -111,6 +111,19 @@ def test_url_filter_deep_hosts(spark):
     assert got == [(c[0], c[3], c[4]) for c in captures]
 
 
+def test_url_filter_odd_authorities(spark):
+    urls = {
+        "http://a@b@evil.com/": "evil.com", "http://u:p@ss@evil.com/x": "evil.com", " http://evil.com/": "evil.com",
+        "http://evil.com../": "evil.com", "http://%65vil.com/": "evil.com", "http://evil.com\\@good.org/": "evil.com",
+        "http://evil\u3002com/": "evil.com", "http://evil.com:80/": "evil.com", "HTTP://EVIL.com?x": "evil.com",
+        "http://good.org/@evil.com": "good.org", "http://good.org#@evil.com": "good.org", "http://ev\til.com/\n": "evil.com",
+        "http://e%zzvil.com/": "e%zzvil.com", "http://[::1]/": None, "http:///x": None, "ftp://evil.com/": None, "": None, None: None,
+    }
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, url string").coalesce(1)
+    found = df.select("i", urlfilter.host_of(df["url"]).alias("h")).orderBy("i").collect()
+    assert [r.h for r in found] == list(urls.values())
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_equal_to_sql(spark, small_dir, name):
     con = duckdb.connect()
