@@ -9,13 +9,16 @@ to the root, where every token has P(w). All distributions sum to 1. A text is s
 walk from left to right that carries its state and adds log10 weights; the texts of a slice
 walk side by side.
 
-Nothing of the model is held in one place. Rows are cut in blocks of ``BLOCK`` rows in
-written order. A block sends its different pairs, by context, to the bucket of the context's
-hash, where they are added up over all blocks: the sum over a context's pairs is the count
-of that word, those seen in training are its arcs. The block gets the counts and masses of
-its own contexts and the arcs among its own pairs back. A pair that is everywhere is sent
-once per block. Contexts with more than a ``HOT_SHARE``-th of all tokens (so at most that
-many) are spread over ``SALTS`` buckets, and their sums collected on the driver.
+Nothing of the model is held in one place. Rows are cut in runs of at most ``BLOCK`` rows
+and about ``RUN`` bytes in written order, known by the number of their first row. A run sends its different pairs, by
+context, to the bucket of the context's hash, where they are added up over all runs: the sum
+over a context's pairs is the count of that word, those seen in training are its arcs. What
+comes back are only numbers, in the order of the run's own pairs: the count of each pair, the
+count and mass of each context. The run finds its pairs again from its texts and has the part
+of the automaton that it needs. A pair that is everywhere is sent once per run. There is a
+bucket per ``BUCKET`` training tokens or more. Contexts with more than a ``HOT_SHARE``-th of
+all tokens (so at most that many) are spread over ``SALTS`` buckets, and their sums, a row
+per context, collected on the driver.
 
 Null and empty texts have the end as their only token. Rows with a null id teach nothing and
 are not held out. Without training rows all tokens are unknown (c = 0, N = 0, V = 0). Words
@@ -34,6 +37,8 @@ from playspan.llm.words import Batch
 from playspan.session import stage
 
 BLOCK = 2048
+RUN = 1 << 24
+BUCKET = 1 << 22
 LEAST = 1
 DISCOUNT = 0.75
 HOT_SHARE = 512
@@ -94,23 +99,24 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[new], np.add.reduceat(counts[order], new) if len(new) else counts[:0]
 
 
-def _blocks(batches):
-    """(block, texts, training flags) for runs of rows of one block."""
-    held, texts, flags, size = None, [], [], 0
-    for batch in batches:
-        import zstandard
+def _runs(batches, most: int):
+    """(number of the first row, texts, training flags) for runs of rows of one block."""
+    import zstandard
 
-        unpack = zstandard.ZstdDecompressor().decompress
-        for block, z, train in zip(*(batch.column(c).to_pylist() for c in ("block", "z", "train"))):
-            if texts and (block != held or size > 1 << 24):
-                yield held, texts, np.array(flags, bool)
+    unpack = zstandard.ZstdDecompressor().decompress
+    held, run, texts, flags, size = None, None, [], [], 0
+    for batch in batches:
+        for block, t, z, train in zip(*(batch.column(c).to_pylist() for c in ("block", "t", "z", "train"))):
+            if texts and (block != held or size > most):
+                yield run, texts, np.array(flags, bool)
                 texts, flags, size = [], [], 0
-            held = block
+            if not texts:
+                held, run = block, t
             texts.append(unpack(z))
             flags.append(train)
             size += len(texts[-1])
     if texts:
-        yield held, texts, np.array(flags, bool)
+        yield run, texts, np.array(flags, bool)
 
 
 def _in_slices(texts: list[bytes]):
@@ -119,17 +125,19 @@ def _in_slices(texts: list[bytes]):
         yield (a, b, *_tokens(texts[a:b]))
 
 
-_SENT = "bucket int, block long, data binary"
+_SENT = "bucket int, t long, data binary"
+_SUMMED = "bucket int, t long, data binary, word long, times long, mass long"
 
 
 def _rows(names: list[str], rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {"bucket": pa.int32(), "block": pa.int64(), "data": pa.binary(), "kind": pa.int32()}
+    kinds = {"bucket": pa.int32(), "data": pa.binary()}
+    kinds |= dict.fromkeys(("t", "word", "times", "mass"), pa.int64())
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[n]) for i, n in enumerate(names)], names)
 
 
 def _frequent(batches):
-    """Words with a ``HOT_SHARE``-th of a block's training tokens; all of them as word null."""
-    for _, texts, train in _blocks(batches):
+    """Words with a ``HOT_SHARE``-th of a run's training tokens; all of them as word null."""
+    for _, texts, train in _runs(batches, RUN):
         parts, total = [], 0
         for a, b, tokens, _, n in _in_slices(texts):
             own = tokens[np.repeat(train[a:b], n)]
@@ -147,67 +155,79 @@ def _frequent(batches):
 
 
 def _by_bucket(batches, *kinds):
-    """(bucket, blocks, arrays per block) for sorted rows."""
-    held, blocks, data = None, [], []
+    """(bucket, runs, arrays per run) for sorted rows."""
+    held, runs, data = None, [], []
     for batch in batches:
-        for bucket, block, raw in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "data"))):
-            if blocks and bucket != held:
-                yield held, blocks, data
-                blocks, data = [], []
+        for bucket, t, raw in zip(*(batch.column(c).to_pylist() for c in ("bucket", "t", "data"))):
+            if runs and bucket != held:
+                yield held, runs, data
+                runs, data = [], []
             held = bucket
-            blocks.append(block)
+            runs.append(t)
             data.append(_release(raw, *kinds))
-    if blocks:
-        yield held, blocks, data
-
-
-def _send_pairs(buckets: int, hot: np.ndarray):
+    if runs:
+        yield held, runs, data
+
+
+def _changes(*arrays: np.ndarray) -> np.ndarray:
+    """Where a new combination begins in sorted arrays."""
+    new = np.zeros(max(len(arrays[0]) - 1, 0), bool)
+    for a in arrays:
+        new |= a[1:] != a[:-1]
+    return np.flatnonzero(np.append(True, new))
+
+
+def _pairs(texts: list[bytes], train: np.ndarray, buckets: int, hot: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Different pairs of a run in order of (bucket, context, word), and their training counts."""
+    parts = []
+    for a, b, tokens, first, n in _in_slices(texts):
+        h, w, flags = _before(tokens, first), tokens & _WORD48, np.repeat(train[a:b], n)
+        order = np.lexsort((w, h))
+        h, w, c = h[order], w[order], flags[order].astype(np.int64)
+        new = _changes(h, w)
+        parts.append((h[new], w[new], np.add.reduceat(c, new)))
+    h, w, c = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    del parts
+    salt = np.where(np.isin(h, hot), U(1) + (w >> U(40)) % U(SALTS), U(0))
+    place = np.where(salt > 0, mix(h, salt), h)
+    to = ((place >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
+    order = np.lexsort((w, h, to))
+    to, h, w, c = to[order], h[order], w[order], c[order]
+    new = _changes(to, h, w)
+    return to[new], h[new], w[new], np.add.reduceat(c, new)
+
+
+def _send_pairs(buckets: int, hot: np.ndarray, most: int):
     """Per bucket: contexts, pairs of each, the pairs' other words, training counts."""
 
     def run(batches):
-        for block, texts, train in _blocks(batches):
-            parts = []
-            for a, b, tokens, first, n in _in_slices(texts):
-                h, w, flags = _before(tokens, first), tokens & _WORD48, np.repeat(train[a:b], n)
-                order = np.lexsort((w, h))
-                h, w, c = h[order], w[order], flags[order].astype(np.int64)
-                new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (w[1:] != w[:-1])))
-                parts.append((h[new], w[new], np.add.reduceat(c, new)))
-            h, w, c = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            del parts
-            salt = np.where(np.isin(h, hot), U(1) + (w >> U(40)) % U(SALTS), U(0))
-            place = np.where(salt > 0, mix(h, salt), h)
-            to = ((place >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
-            order = np.lexsort((w, h, to))
-            h, w, c, to = h[order], w[order], c[order], to[order]
-            new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (w[1:] != w[:-1]) | (to[1:] != to[:-1])))
-            h, w, c, to = h[new], w[new], np.add.reduceat(c, new), to[new]
-            cut = np.searchsorted(to, np.arange(buckets + 1))
-            rows = []
-            for i, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
-                if b > a:
-                    starts = np.flatnonzero(np.append(True, h[a + 1 : b] != h[a : b - 1]))
-                    each = np.diff(np.append(starts, b - a)).astype(np.uint32)
-                    rows.append((i, block, _press(_steps(h[a:b][starts]), each, w[a:b], c[a:b].astype(np.uint32))))
-            yield _rows(["bucket", "block", "data"], rows)
+        for t, texts, train in _runs(batches, most):
+            to, h, w, c = _pairs(texts, train, buckets, hot)
+            cut, rows = _changes(to), []
+            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(to)]):
+                starts = _changes(h[a:b])
+                each = np.diff(np.append(starts, b - a)).astype(np.uint32)
+                data = _press(_steps(h[a:b][starts]), each, w[a:b], c[a:b].astype(np.uint32))
+                rows.append((int(to[a]), t, data))
+            yield _rows(["bucket", "t", "data"], rows)
 
     return run
 
 
-_BACK = (np.uint64, np.int64, np.uint64, np.uint32, np.int64)
-_SUMS = (np.int64, np.uint64, np.int64, np.int64)
+_BACK = (np.int64, np.int64, np.int64)
 
 
 def _add_pairs(hot: np.ndarray):
-    """Sums of a bucket back to its blocks, and those of hot contexts in block -1.
+    """Sums of a bucket back to its runs, in the order of their pairs; sums of hot contexts.
 
-    A block gets (pair, count) for its pairs with ``LEAST`` training counts or more, and for
-    each of its contexts the count and four times the discounted counts of its arcs (whole
-    numbers). Block -1 gets the number of other contexts with a count.
+    A run gets the count of each of its pairs (0 below ``LEAST``), and for each of its
+    contexts the count and four times the discounted counts of its arcs (whole numbers).
+    Rows without a run are sums of the bucket: a hot context (``word``) each, and one with the
+    number of other contexts with a count (``word`` null).
     """
 
     def run(batches):
-        for bucket, blocks, data in _by_bucket(batches, np.uint64, np.uint32, np.uint64, np.uint32):
+        for bucket, runs, data in _by_bucket(batches, np.uint64, np.uint32, np.uint64, np.uint32):
             data = [(np.cumsum(h, dtype=np.uint64), n, w, c) for h, n, w, c in data]
             keys = [mix(np.repeat(h, n), w) for h, n, w, _ in data]
             total, counts = _summed(np.concatenate(keys), np.concatenate([c for *_, c in data]).astype(np.int64))
@@ -230,16 +250,15 @@ def _add_pairs(hot: np.ndarray):
             context, times = _summed(every, np.concatenate(times))
             _, mass = _summed(every, np.concatenate(mass))
             spread = np.isin(context, hot)
-            rows = [(-1, bucket, _press(
-                np.array([(times[~spread] > 0).sum()], np.int64), context[spread], times[spread], mass[spread]
-            ))]
-            for block, (h, *_), k, (at, mine) in zip(blocks, data, keys, found):
-                order = np.argsort(k[mine])
+            rows = [(bucket, None, None, None, int((times[~spread] > 0).sum()), 0)]
+            for word, n, m in zip(context[spread].view(np.int64).tolist(), times[spread].tolist(), mass[spread].tolist()):
+                rows.append((bucket, None, None, word, n, m))
+            for t, (h, *_), (at, mine) in zip(runs, data, found):
+                back = np.zeros(len(at), np.int64)
+                back[mine] = counts[at[mine]]
                 place = np.searchsorted(context, h)
-                rows.append((block, bucket, _press(
-                    _steps(k[mine][order]), counts[at[mine][order]], _steps(h), times[place].astype(np.uint32), mass[place]
-                )))
-            yield _rows(["block", "bucket", "data"], rows)
+                rows.append((bucket, t, _press(back, times[place], mass[place]), None, None, None))
+            yield _rows(["bucket", "t", "data", "word", "times", "mass"], rows)
 
     return run
 
@@ -251,7 +270,7 @@ def _found_in(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class Automaton:
-    """The part of the automaton that a block needs: its words, arcs and failure weights."""
+    """The part of the automaton that a run needs: its words, arcs and failure weights."""
 
     def __init__(self, words, times, mass, arcs, arc_counts, n: int, v: int, ends: int):
         """``words`` are contexts, the start among them, with counts and discounted arc counts."""
@@ -305,31 +324,27 @@ class Automaton:
 _SCORED = "t long, n_tokens long, n_known long, base_score double, score double"
 
 
-def _score(n: int, v: int, ends: int, hot: np.ndarray, hot_times: np.ndarray, hot_mass: np.ndarray):
-    """Rows sorted by (block, kind): what came back for it (0), then texts (1)."""
+def _score(n: int, v: int, ends: int, buckets: int, hot: np.ndarray, hot_times: np.ndarray, hot_mass: np.ndarray):
+    """Rows sorted by (block, t, kind, bucket): what came back for a run (0), then its texts (1)."""
 
-    def built(parts):
+    def built(parts, texts):
         back = [_release(x, *_BACK) for x in parts]
-        arcs = np.concatenate([np.cumsum(b[0], dtype=np.uint64) for b in back])
-        arcs, where = np.unique(arcs, return_index=True)
-        arc_counts = np.concatenate([b[1] for b in back])[where]
-        words = np.concatenate([np.cumsum(b[2], dtype=np.uint64) for b in back])
-        words, where = np.unique(words, return_index=True)
-        times = np.concatenate([b[3] for b in back])[where].astype(np.int64)
-        mass = np.concatenate([b[4] for b in back])[where]
+        counts, times, mass = (np.concatenate([b[i] for b in back]) for i in range(3))
+        to, h, w, _ = _pairs(texts, np.zeros(len(texts), bool), buckets, hot)
+        has, words = counts > 0, h[_changes(to, h)]
+        arcs, arc_counts = mix(h[has], w[has]), counts[has]
+        order = np.argsort(arcs)
+        words, where = np.unique(words, return_index=True)  # a hot context comes once per salt
+        times, mass = times[where], mass[where]
         at, spread = _found_in(hot, words)  # the sums of these come from the driver
         times[spread], mass[spread] = hot_times[at[spread]], hot_mass[at[spread]]
-        return Automaton(words, times, mass / 4, arcs, arc_counts, n, v, ends)
+        return Automaton(words, times, mass / 4, arcs[order], arc_counts[order], n, v, ends)
 
-    def scored(model, rows):
-        import zstandard
-
-        unpack = zstandard.ZstdDecompressor().decompress
-        texts = [unpack(z) for _, z in rows]
-        out = []
+    def scored(parts, ts, texts):
+        model, out = built(parts, texts), []
         for a, b, tokens, first, size in _in_slices(texts):
             score, base, known = model.walk(tokens, first, size)
-            out.append(([t for t, _ in rows[a:b]], size, known, base, score))
+            out.append((ts[a:b], size, known, base, score))
         kinds = (np.int64, np.int64, np.int64, np.float64, np.float64)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([o[i] for o in out]).astype(k)) for i, k in enumerate(kinds)],
@@ -337,24 +352,22 @@ def _score(n: int, v: int, ends: int, hot: np.ndarray, hot_times: np.ndarray, ho
         )
 
     def run(batches):
-        held, parts, model, rows, size = None, [], None, [], 0
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        parts, ts, texts = [], [], []
         for batch in batches:
-            for block, kind, t, data in zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "t", "data"))):
-                if block != held or size > 1 << 22:
-                    if rows:
-                        yield scored(model, rows)
-                    rows, size = [], 0
-                if block != held:
-                    held, parts, model = block, [], None
+            for kind, t, data in zip(*(batch.column(c).to_pylist() for c in ("kind", "t", "data"))):
                 if kind == 0:
+                    if ts:
+                        yield scored(parts, ts, texts)
+                        parts, ts, texts = [], [], []
                     parts.append(data)
                 else:
-                    if model is None:
-                        model, parts = built(parts), []
-                    rows.append((t, data))
-                    size += 4 * len(data)
-        if rows:
-            yield scored(model, rows)
+                    ts.append(t)
+                    texts.append(unpack(data))
+        if ts:
+            yield scored(parts, ts, texts)
 
     return run
 
@@ -373,11 +386,10 @@ def score_texts(docs: DataFrame, train, text: str = "text") -> tuple[DataFrame,
         F.monotonically_increasing_id().alias("t"),
     )
     rows = stage(rows.withColumn("block", F.floor(F.col("t") / BLOCK)), "texts")
-    texts = rows.select("block", "z", "train")
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = rows.select("block", "t", "z", "train")
 
     def met(sent: DataFrame) -> DataFrame:
-        return sent.repartition("bucket").sortWithinPartitions("bucket", "block")
+        return sent.repartition("bucket").sortWithinPartitions("bucket", "t")
 
     frequent = stage(texts.mapInArrow(_frequent, "word long, n long"), "frequent")
     n = frequent.where("word IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -385,19 +397,24 @@ def score_texts(docs: DataFrame, train, text: str = "text") -> tuple[DataFrame,
     often = [r["word"] for r in often.where(F.col("n") * HOT_SHARE > n).collect()]
     hot = np.unique(np.array([*often, *np.array([_START, _END]).view(np.int64).tolist()], np.int64).view(np.uint64))
     ends = rows.where("train").count()
-    sent = met(texts.mapInArrow(_send_pairs(buckets, hot), _SENT))
-    pairs = stage(sent.mapInArrow(_add_pairs(hot), "block long, bucket int, data binary"), "pairs")
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // BUCKET))
+    sent = met(texts.mapInArrow(_send_pairs(buckets, hot, RUN), _SENT))
+    pairs = stage(sent.mapInArrow(_add_pairs(hot), _SUMMED), "pairs")
     hot_times, hot_mass, v = np.zeros(len(hot), np.int64), np.zeros(len(hot), np.int64), int(ends > 0)
-    for r in pairs.where("block = -1").select("data").collect():  # a short row per bucket
-        some, context, times, mass = _release(r["data"], *_SUMS)
-        v += int(some.sum())
-        np.add.at(hot_times, np.searchsorted(hot, context), times)
-        np.add.at(hot_mass, np.searchsorted(hot, context), mass)
+    sums = pairs.where("t IS NULL").groupBy("word").agg(F.sum("times").alias("times"), F.sum("mass").alias("mass"))
+    for r in sums.collect():  # a row per hot context
+        if r["word"] is None:
+            v += r["times"]
+        else:
+            at = np.searchsorted(hot, np.int64(r["word"]).view(np.uint64))
+            hot_times[at], hot_mass[at] = r["times"], r["mass"]
     v += int((hot_times[hot != _START] > 0).sum())
-    back = pairs.where("block >= 0").select("block", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("t"), "data")
-    together = back.union(rows.select("block", F.lit(1), "t", "z"))
-    together = together.repartition("block").sortWithinPartitions("block", "kind", "t")
-    return rows, together.mapInArrow(_score(n, v, ends, hot, hot_times, hot_mass), _SCORED), n
+    back = pairs.where("t IS NOT NULL").select(
+        F.floor(F.col("t") / BLOCK).alias("block"), "t", F.lit(0).alias("kind"), "bucket", "data"
+    )
+    together = back.union(rows.select("block", "t", F.lit(1), F.lit(None).cast("int"), "z"))
+    together = together.repartition("block").sortWithinPartitions("block", "t", "kind", "bucket")
+    return rows, together.mapInArrow(_score(n, v, ends, buckets, hot, hot_times, hot_mass), _SCORED), n
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -503,6 +503,16 @@ def test_automaton_blocks_and_hot_words(spark, docs, monkeypatch):
     assert all(math.isclose(a[6], b[6], rel_tol=1e-9) for a, b in zip(parts, whole))
 
 
+def test_automaton_many_runs_and_buckets(spark, docs, monkeypatch):
+    """A block that is cut by bytes, and more buckets than pairs in a run."""
+    whole = by_id(automaton.digest(docs))
+    monkeypatch.setattr(automaton, "RUN", 2000)
+    monkeypatch.setattr(automaton, "BUCKET", 100)
+    parts = by_id(automaton.digest(docs))
+    assert [r[:5] for r in parts] == [r[:5] for r in whole]
+    assert all(math.isclose(a[6], b[6], rel_tol=1e-9) for a, b in zip(parts, whole))
+
+
 def test_automaton_pairs_seen_once(spark):
     """A context whose pairs are all single has a state: all pairs of the only training text."""
     taught = next(i for i in range(100) if not held(i, 10, 0))
