@@ -6,8 +6,7 @@ distribution is P(w) = (c + 0.1) / (N + 0.1 (V + 1)). A state is a context h; it
 for each pair seen in training (``LEAST`` times or more), with the discounted and interpolated probability
 (c(h, w) - D) / c(h) + B(h) P(w), and a failure arc of weight B(h), the mass that is left,
 to the root, where every token has P(w). All distributions sum to 1. A text is scored in one
-walk from left to right that carries its state and adds log10 weights; the texts of a slice
-walk side by side.
+walk from left to right that carries its state and adds log10 weights.
 
 Nothing of the model is held in one place. Rows are cut in runs of at most ``BLOCK`` rows
 and about ``RUN`` bytes in written order, known by the number of their first row. A run sends its different pairs, by
@@ -39,6 +38,7 @@ from playspan.session import stage
 BLOCK = 2048
 RUN = 1 << 24
 BUCKET = 1 << 22
+STRIDE = 1 << 17
 LEAST = 1
 DISCOUNT = 0.75
 HOT_SHARE = 512
@@ -296,29 +296,34 @@ class Automaton:
         return np.where(self.contexts[at] == tokens, at, -1)
 
     def walk(self, tokens: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Per text: log10 probability, base score, tokens with a count."""
-        word = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-        base, after = self.log_p[word], self.state_of(tokens)
-        score = np.zeros(len(n))
-        state = np.broadcast_to(self.state_of(np.array([_START]))[0], len(n)).copy()
-        order = np.argsort(-n, kind="stable")
-        alive = np.searchsorted(-n[order], -np.arange(1, int(n.max()) + 1), side="right")
-        for step in range(int(n.max())):
-            texts = order[: alive[step]]
-            at = first[texts] + step
-            now, low = state[texts], base[at]
-            inside = np.flatnonzero(now >= 0)
-            weight = low.copy()
-            if len(inside):
-                s = now[inside]
-                key = mix(self.contexts[s], tokens[at[inside]] & _WORD48)
-                arc, has = _found_in(self.arcs, key)
-                p = (self.arc_counts[arc[has]] - DISCOUNT) / self.times[s[has]] + self.left[s[has]] * 10 ** low[inside[has]]
-                weight[inside] += self.fail[s]
-                weight[inside[has]] = np.log10(p)
-            score[texts] += weight
-            state[texts] = after[at]
-        return score, np.add.reduceat(base, first), np.add.reduceat(self.counts[word] > 0, first)
+        """Per text: log10 probability, base score, tokens with a count.
+
+        Texts stand one after the other and are walked in strides of ``STRIDE`` tokens. A token
+        leads to its own state from any state, so the states of a stride are those its tokens lead
+        to, one place later; the last one is carried to the next stride, and each text starts anew.
+        """
+        begins = np.zeros(len(tokens), bool)
+        begins[first] = True
+        start = carried = self.state_of(np.array([_START]))[0]
+        weight, base, known = np.empty(len(tokens)), np.empty(len(tokens)), np.empty(len(tokens), bool)
+        for a in range(0, len(tokens), STRIDE):
+            here = slice(a, a + STRIDE)
+            read = tokens[here]
+            word = np.minimum(np.searchsorted(self.words, read), len(self.words) - 1)
+            after = self.state_of(read)
+            state = np.where(begins[here], start, np.append(carried, after[:-1]))
+            carried = after[-1]
+            low, known[here] = self.log_p[word], self.counts[word] > 0
+            added = low.copy()
+            inside = np.flatnonzero(state >= 0)
+            s = state[inside]
+            added[inside] += self.fail[s]  # the failure arc to the root, where no arc fits
+            arc, has = _found_in(self.arcs, mix(self.contexts[s], read[inside] & _WORD48))
+            s, inside = s[has], inside[has]
+            p = (self.arc_counts[arc[has]] - DISCOUNT) / self.times[s] + self.left[s] * 10 ** low[inside]
+            added[inside] = np.log10(p)
+            weight[here], base[here] = added, low
+        return np.add.reduceat(weight, first), np.add.reduceat(base, first), np.add.reduceat(known, first, dtype=np.int64)
 
 
 _SCORED = "t long, n_tokens long, n_known long, base_score double, score double"

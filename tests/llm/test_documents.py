@@ -6,6 +6,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from playspan.llm import automaton, bpe, fertility, forest, langid, mixing, ranking, suffix
@@ -513,6 +514,22 @@ def test_automaton_many_runs_and_buckets(spark, docs, monkeypatch):
     assert all(math.isclose(a[6], b[6], rel_tol=1e-9) for a, b in zip(parts, whole))
 
 
+def test_automaton_strides_carry_the_state(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(list("abcdef"), n)).encode() for n in (0, 9, 1, 30, 0, 4)]
+    _, h, w, c = automaton._pairs(texts, np.ones(len(texts), bool), 3, np.zeros(0, np.uint64))
+    words, at = np.unique(h, return_inverse=True)
+    times, kinds = np.bincount(at, c).astype(int), np.bincount(at)
+    arcs = automaton.mix(h, w)
+    order = np.argsort(arcs)
+    model = automaton.Automaton(words, times, times - kinds * 0.25, arcs[order], c[order], 50, 7, len(texts))
+    tokens, first, n = automaton._tokens(texts)
+    whole = model.walk(tokens, first, n)
+    for stride in (1, 2, 7):
+        monkeypatch.setattr(automaton, "STRIDE", stride)
+        assert all(np.allclose(a, b, rtol=1e-12) for a, b in zip(whole, model.walk(tokens, first, n)))
+
+
 def test_automaton_pairs_seen_once(spark):
     """A context whose pairs are all single has a state: all pairs of the only training text."""
     taught = next(i for i in range(100) if not held(i, 10, 0))
