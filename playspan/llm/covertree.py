@@ -1,17 +1,25 @@
 """Exact top-k by inner product: a dual search of cover trees over queries and data.
 
 Each component x becomes the integer floor(SCALE * x). Rows with equal vectors are one
-point that keeps its k + 1 smallest ids, which is all that a ranking can need of them, so
-copies cost nothing. Points are put in blocks of about ``BLOCK`` by their nearest of a
-bounded number of pivots. Queries are rows of the table too and stay in the block of their
-point: first each block searches its own queries, then every block searches the queries of
-all others, which come with the k-th score they have reached so far.
-
-A block's points and a group of queries are both arranged in a cover tree: a node has a
-centre and the radius of the ball that covers what is below it, children shrink by
-``SHRINK``. For a pair of nodes no inner product exceeds
-<q, p> + rq |p| + rp |q| + rq rp; the pair is left out if that is below the worst k-th score
-of the query node. Bounds are floating point with a margin, scores are exact integers.
+point that keeps its k + 1 smallest ids, which is all that a ranking can need of them, and
+equal queries are searched once for k + 1 results, so copies cost nothing.
+
+The upper levels of the tree are tables. Cells of more than ``BLOCK`` points are split by the
+nearest of up to ``PIVOTS`` of their own points, level by level; a node has its pivot as
+centre and the radius of the ball that covers it. Cells are split in parts of bounded size, so
+a cell with most points is no single task, and what is still too large after ``LEVELS`` splits is
+cut by a hash under one ball. The lower levels are cover trees in memory, one per block.
+
+Queries stay in the block of their point. Each block searches its own queries first, which
+gives each a k-th score. Then groups of queries, one per block, descend the node tables:
+children below the worst k-th score of the group are left out, so a group meets only the
+blocks that its bound lets through, and of these each query only those that its own bound
+lets through. In a block, points and queries are searched by a dual descent of two cover
+trees: children shrink by ``SHRINK``.
+
+For a pair of balls no inner product exceeds <q, p> + rq |p| + rp |q| + rq rp; the pair is left
+out if that is below the worst k-th score of the queries. Bounds are floating point with a
+margin, scores are exact integers.
 
 Ranks go by score, then by smaller id; equal ids of repeated rows are ranked one after the
 other, each query row leaving out itself only. Null ids, null vectors and vectors with a
@@ -25,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import BinaryType
+from pyspark.sql.types import BinaryType, DoubleType
 
 from playspan.llm.common import quoted
 from playspan.session import stage
@@ -33,6 +41,9 @@ from playspan.session import stage
 SCALE = 1024
 BLOCK = 4096
 PIVOTS = 64
+LEVELS = 8
+#: Points of a cell that one task splits, and queries that one task asks of a block.
+SHARE = 65536
 LEAF = 32
 SHRINK = 0.7
 
@@ -132,9 +143,9 @@ def search(queries: Tree, own: np.ndarray, data: Tree, ids: list, rows: list, k:
     return best
 
 
-def _matrix(column) -> np.ndarray:
-    data = column.to_pylist()
-    return np.array([np.frombuffer(v, np.int64) for v in data], float).reshape(len(data), -1)
+def _floats(vectors: list[bytes]) -> np.ndarray:
+    """Rows of integers of one length."""
+    return np.frombuffer(b"".join(vectors), np.int64).astype(float).reshape(len(vectors), len(vectors[0]) // 8)
 
 
 @arrow_udf(BinaryType())
@@ -146,89 +157,207 @@ def _integers(column: pa.Array) -> pa.Array:
     return pa.array(out, pa.binary())
 
 
-def _nearest(pivots: list[bytes]):
-    by_size: dict[int, list[int]] = {}
-    for i, p in enumerate(pivots):
-        by_size.setdefault(len(p), []).append(i)
-
-    @arrow_udf("int")
-    def run(column: pa.Array) -> pa.Array:
-        out = np.full(len(column), -1, np.int32)
-        values = column.to_pylist()
-        for size, own in by_size.items():
-            at = np.array([i for i, v in enumerate(values) if len(v) == size], np.int64)
-            if len(at):
-                p = np.array([np.frombuffer(pivots[i], np.int64) for i in own], float).reshape(len(own), -1)
-                x = np.array([np.frombuffer(values[i], np.int64) for i in at], float).reshape(len(at), -1)
-                far = (p**2).sum(axis=1)[None, :] - 2 * x @ p.T
-                out[at] = np.array(own, np.int32)[far.argmin(axis=1)]
-        return pa.array(out)
+@arrow_udf(DoubleType())
+def _bound(q: pa.Array, rq: pa.Array, p: pa.Array, rp: pa.Array) -> pa.Array:
+    """No inner product of a point within rq of q and one within rp of p is greater."""
+    out = np.empty(len(q))
+    q, p = q.to_pylist(), p.to_pylist()
+    rq, rp = rq.to_numpy(zero_copy_only=False), rp.to_numpy(zero_copy_only=False)
+    for size in {len(v) for v in q}:
+        at = np.array([i for i, v in enumerate(q) if len(v) == size])
+        x, y = _floats([q[i] for i in at]), _floats([p[i] for i in at])
+        nx, ny = np.sqrt((x**2).sum(axis=1)), np.sqrt((y**2).sum(axis=1))
+        rx, ry = rq[at], rp[at]
+        out[at] = (x * y).sum(axis=1) + rx * ny + ry * nx + rx * ry + 1e-6 * (1 + (nx + rx) * (ny + ry))
+    return pa.array(out)
+
+
+_PLACED = "cell string, parent string, v binary, ids array<long>, rows array<long>, asked boolean, dist double"
+
+
+def _split(batches):
+    """Rows of one part of a cell together: pivots (kind 0), then points (kind 1)."""
+    held, pivots, x = None, [], None
+    for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("cell", "part", "kind"))))
+        vectors = batch.column("v").to_pylist()
+        child, dist, at = [], [], 0
+        while at < len(keys):
+            cell, part, kind = keys[at]
+            end = at
+            while end < len(keys) and keys[end] == keys[at]:
+                end += 1
+            if kind == 0:
+                if held != (cell, part):
+                    held, pivots = (cell, part), []
+                pivots, x = pivots + vectors[at:end], None
+            else:
+                x = _floats(pivots) if x is None else x
+                own = _floats(vectors[at:end])
+                near = ((x**2).sum(axis=1)[None, :] - 2 * own @ x.T).argmin(axis=1)
+                child += [f"{cell}.{i}" for i in near]
+                dist += np.sqrt(((own - x[near]) ** 2).sum(axis=1)).tolist()
+            at = end
+        points = batch.filter(pa.array([k[2] == 1 for k in keys], pa.bool_()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(child, pa.string()), *(points.column(c) for c in ("cell", "v", "ids", "rows", "asked")),
+             pa.array(dist, pa.float64())],
+            ["cell", "parent", "v", "ids", "rows", "asked", "dist"],
+        )
+
+
+def _parts(size: int):
+    return F.ceil(F.col("n") / F.lit(size)).cast("int")
+
+
+def cells(points: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Points with the block they are in, and the nodes (cell, parent, centre, radius, n) per level.
+
+    The first cells hold the vectors of one length.
+    """
+    cell = points.withColumn("cell", F.length("v").cast("string")).withColumn("dist", F.lit(None).cast("double"))
+    whole = ["cell", "v", "ids", "rows", "asked", "dist"]
+    counts = stage(cell.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "cells")
+    levels, done = [], []
+    for level in range(LEVELS):
+        big = counts.where(F.col("n") > BLOCK).select("cell", "n")
+        if big.isEmpty():
+            break
+        done.append(cell.join(big, "cell", "left_anti").select(*whole, F.lit(0).alias("part")))
+        wide = cell.join(big, "cell")
+        drawn = Window.partitionBy("cell").orderBy(F.xxhash64("v", F.lit(level)), "v")
+        pivots = wide.withColumn("i", F.row_number().over(drawn)).where(F.col("i") <= PIVOTS)
+        pivots = pivots.where(F.col("i") <= 1 + F.ceil(4 * F.col("n") / BLOCK)).withColumn(
+            "part", F.explode(F.sequence(F.lit(0), _parts(SHARE) - 1))
+        )
+        dealt = ["cell", "part", "kind", "v", "ids", "rows", "asked"]
+        both = pivots.withColumn("kind", F.lit(0)).select(dealt).unionByName(
+            wide.withColumn("part", F.pmod(F.xxhash64("v"), _parts(SHARE)).cast("int"))
+            .withColumn("kind", F.lit(1)).select(dealt)
+        )
+        sorted_ = both.repartition("cell", "part").sortWithinPartitions("cell", "part", "kind")
+        cell = stage(sorted_.mapInArrow(_split, _PLACED), "split")
+        counts = stage(
+            cell.groupBy("cell", "parent").agg(
+                F.min_by("v", "dist").alias("centre"), F.max("dist").alias("radius"), F.count(F.lit(1)).alias("n")
+            ),
+            "nodes",
+        )
+        levels.append(counts)
+    rest = cell.join(counts.select("cell", "n"), "cell")
+    done.append(rest.withColumn("part", F.pmod(F.xxhash64("v"), _parts(BLOCK)).cast("int")).select(*whole, "part"))
+    placed = done[0]
+    for more in done[1:]:
+        placed = placed.unionByName(more)
+    return placed, levels
 
-    return run
 
+def descend(groups: DataFrame, levels: list[DataFrame]) -> DataFrame | None:
+    """(home, cell, n, centre, radius): the cells without children that a group's bound lets through.
 
-_FOUND = "t long, query_id long, score long, vec_id long"
+    A group has home, cell, q (centre), rq (radius) and worst (k-th score, null if one has none).
+    """
+    at = groups.select("home", "q", "rq", "worst", F.element_at(F.split("cell", "[.]"), 1).alias("parent"))
+    found = None
+    for level, nodes in enumerate(levels):
+        met = at.join(nodes, "parent").withColumn("most", _bound("q", "rq", "centre", "radius"))
+        met = stage(met.where("worst IS NULL OR most >= worst").drop("most"), "met")
+        leaf = F.lit(True) if level + 1 == len(levels) else F.col("n") <= BLOCK
+        ends = met.where(leaf).select("home", "cell", "n", "centre", "radius")
+        found = ends if found is None else found.unionByName(ends)
+        at = met.where(~leaf).select("home", "q", "rq", "worst", F.col("cell").alias("parent"))
+    return found
+
+
+_FOUND = "q long, score long, vec_id long, t long"
 
 
 def _search_blocks(k: int):
-    """Rows of one block together: points (kind 0), then queries (kind 1)."""
-
-    def searched(model, rows):
-        data, ids, row_ids = model
-        out = []
-        by_size: dict[int, list] = {}
-        for r in rows:
-            by_size.setdefault(len(r[2]), []).append(r)
-        for size, group in by_size.items():
-            if size not in data:
-                continue
-            tree, at = data[size]
-            x = np.array([np.frombuffer(r[2], np.int64) for r in group], float).reshape(len(group), -1)
-            floor = np.array([-np.inf if r[3] is None else r[3] for r in group])
-            best = search(
-                Tree(x), np.array([r[0] for r in group]), tree,
-                [ids[i] for i in at], [row_ids[i] for i in at], k, floor,
-            )
-            for r, found in zip(group, best.found):
-                out += [(r[0], r[1], -s, i) for s, i, _ in sorted(found)[:k]]
+    """Rows of one block together: points (kind 0), then queries (kind 1), all of one length."""
+
+    def searched(tree, ids, row_ids, rows):
+        floor = np.array([-np.inf if f is None else f for _, _, f in rows])
+        best = search(Tree(_floats([v for _, v, _ in rows])), np.full(len(rows), -1), tree, ids, row_ids, k, floor)
+        out = [(q, -s, i, t) for (q, _, _), found in zip(rows, best.found) for s, i, t in sorted(found)[:k]]
         return pa.RecordBatch.from_arrays(
-            [pa.array([o[i] for o in out], pa.int64()) for i in range(4)], ["t", "query_id", "score", "vec_id"]
+            [pa.array([o[i] for o in out], pa.int64()) for i in range(4)], ["q", "score", "vec_id", "t"]
         )
 
-    def indexed(points):
-        by_size: dict[int, list[int]] = {}
-        for i, p in enumerate(points):
-            by_size.setdefault(len(p[0]), []).append(i)
-        trees = {}
-        for size, at in by_size.items():
-            x = np.array([np.frombuffer(points[i][0], np.int64) for i in at], float).reshape(len(at), -1)
-            trees[size] = Tree(x), at
-        return trees, [p[1] for p in points], [p[2] for p in points]
-
     def run(batches):
         held, points, model, rows = None, [], None, []
-        names = ("block", "kind", "v", "ids", "rows", "t", "query_id", "floor")
+        names = ("block", "part", "kind", "v", "ids", "rows", "q", "floor")
         for batch in batches:
-            for block, kind, v, ids, row_ids, t, query, floor in zip(*(batch.column(c).to_pylist() for c in names)):
-                if block != held:
-                    if rows and model:
-                        yield searched(model, rows)
-                    held, points, model, rows = block, [], None, []
+            for block, part, kind, v, ids, row_ids, q, floor in zip(*(batch.column(c).to_pylist() for c in names)):
+                if (block, part) != held:
+                    if rows:
+                        yield searched(*model, rows)
+                    held, points, model, rows = (block, part), [], None, []
                 if kind == 0:
                     points.append((v, ids, row_ids))
                 else:
                     if model is None:
-                        model = indexed(points)
-                    rows.append((t, query, v, floor))
+                        model = Tree(_floats([p[0] for p in points])), [p[1] for p in points], [p[2] for p in points]
+                    rows.append((q, v, floor))
                     if len(rows) >= 1024:
-                        yield searched(model, rows)
+                        yield searched(*model, rows)
                         rows = []
-        if rows and model:
-            yield searched(model, rows)
+        if rows:
+            yield searched(*model, rows)
 
     return run
 
 
+def search_blocks(placed: DataFrame, asks: DataFrame, k: int) -> DataFrame:
+    """(q, score, vec_id, t): the best k of each block for the queries (block, q, v, floor) sent to it."""
+    asks = stage(asks, "asks")
+    shares = asks.groupBy("block").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("block").alias("b"), _parts(SHARE).alias("shares")
+    )
+    shares = stage(shares, "shares")
+    held = F.col("block") == F.col("b")
+    none = lambda kind: F.lit(None).cast(kind)
+    data = placed.join(shares, held).select(
+        "block", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("part"), F.lit(0).alias("kind"),
+        "v", "ids", "rows", none("long").alias("q"), none("long").alias("floor"),
+    )
+    queries = asks.join(shares, held).select(
+        "block", F.pmod(F.xxhash64("q"), F.col("shares")).cast("int").alias("part"), F.lit(1).alias("kind"),
+        "v", none("array<long>").alias("ids"), none("array<long>").alias("rows"), "q", "floor",
+    )
+    together = data.union(queries).repartition("block", "part").sortWithinPartitions("block", "part", "kind", "q")
+    return stage(together.mapInArrow(_search_blocks(k), _FOUND), "found")
+
+
+def away(queries: DataFrame, levels: list[DataFrame]) -> DataFrame | None:
+    """(block, q, v, floor): the blocks other than its own that the bound of a query lets through.
+
+    None if no cell was split, so no vector has others of its length in another block.
+    """
+    if not levels:
+        return None
+    nodes = levels[0].select(F.col("cell").alias("c"), "centre")
+    for more in levels[1:]:
+        nodes = nodes.unionByName(more.select(F.col("cell").alias("c"), "centre"))
+    # Queries without a k-th score are a group of their own: they would open all ways for the rest.
+    queries = queries.withColumn("home", F.struct("cell", "block", F.col("floor").isNull().alias("free")))
+    groups = queries.groupBy("home").agg(F.max("dist").alias("rq"), F.min("floor").alias("worst"))
+    groups = groups.withColumn("cell", F.col("home.cell"))
+    groups = groups.join(nodes, F.col("cell") == F.col("c")).withColumnRenamed("centre", "q")
+    met = descend(stage(groups.select("home", "cell", "q", "rq", "worst"), "groups"), levels)
+    met = met.select("home", F.col("cell").alias("to"), "n", "centre", "radius")
+    pairs = queries.select("home", "block", "q", "v", "floor").join(met, "home")
+    pairs = pairs.withColumn("most", _bound("v", F.lit(0.0), "centre", "radius"))
+    pairs = pairs.where("floor IS NULL OR most >= floor").withColumn(
+        "other", F.explode(F.sequence(F.lit(0), _parts(BLOCK) - 1))
+    )
+    pairs = pairs.withColumn("other", _block("to", "other")).where("other <> block")
+    return pairs.select(F.col("other").alias("block"), "q", "v", "floor")
+
+
+def _block(cell: str, part: str):
+    return F.concat_ws("#", F.col(cell), F.col(part).cast("string"))
+
+
 def top_k(table: DataFrame, is_query, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) for rows where the column ``is_query`` is true."""
     rows = table.select(
@@ -239,54 +368,27 @@ def top_k(table: DataFrame, is_query, k: int = 10, vec_id: str = "vec_id", vecto
     same = Window.partitionBy("v").orderBy("vec_id", "t")
     few = rows.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1)
     points = few.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("vec_id", "t"))).alias("of"))
-    points = stage(points, "points")
-    share = min(1.0, 4 * PIVOTS / max(1, points.count()))
-    drawn = points.where(F.pmod(F.xxhash64("v"), F.lit(1 << 20)) <= int(share * (1 << 20)))
-    pivots = [bytes(r[0]) for r in drawn.select("v").limit(PIVOTS).collect()]
-    pivot = _nearest(pivots)
-    near = stage(points.withColumn("pivot", pivot("v")), "near")
-    sizes = near.groupBy("pivot").count().collect()  # at most PIVOTS + 1 rows
-    parts = {r["pivot"]: -(-r["count"] // BLOCK) for r in sizes}
-    spark = table.sparkSession
-    starts, total = [], 0
-    for p in sorted(parts):
-        starts.append((p, total, parts[p]))
-        total += parts[p]
-    blocks = F.broadcast(spark.createDataFrame(starts, "b_pivot int, start int, parts int"))
-    placed = near.join(blocks, F.col("pivot") == F.col("b_pivot")).select(
-        (F.col("start") + F.pmod(F.xxhash64("v"), F.col("parts"))).cast("int").alias("block"), "v", "of"
-    )
-    placed = stage(placed, "placed")
-    queries = stage(
-        rows.where("query").select("t", F.col("vec_id").alias("query_id"), F.col("v").alias("qv"))
-        .join(placed.select("block", "v"), F.col("qv") == F.col("v")).select("block", "v", "t", "query_id"),
-        "queries",
-    )
-    none = lambda kind: F.lit(None).cast(kind)
-    data = placed.select(
-        "block", F.lit(0).alias("kind"), "v", F.col("of.vec_id").alias("ids"), F.col("of.t").alias("rows"),
-        none("long").alias("t"), none("long").alias("query_id"), none("long").alias("floor"),
+    asked = rows.where("query").select(F.col("v").alias("a")).distinct()
+    points = points.join(asked, F.col("v") == F.col("a"), "left").select(
+        "v", F.col("of.vec_id").alias("ids"), F.col("of.t").alias("rows"), F.col("a").isNotNull().alias("asked")
     )
-
-    def searched(asked: DataFrame) -> DataFrame:
-        asked = asked.select(
-            "block", F.lit(1).alias("kind"), "v", none("array<long>").alias("ids"), none("array<long>").alias("rows"),
-            "t", "query_id", "floor",
-        )
-        together = data.union(asked).repartition("block").sortWithinPartitions("block", "kind", "t")
-        return stage(together.mapInArrow(_search_blocks(k), _FOUND), "found")
-
-    home = searched(queries.withColumn("floor", none("long")))
-    floors = home.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).where(F.col("n") == k)
-    floors = floors.select(F.col("t").alias("f_t"), "least")
-    away = queries.join(floors, F.col("t") == F.col("f_t"), "left").select(
-        F.col("block").alias("home"), "v", "t", "query_id", F.col("least").alias("floor"),
-        F.explode(F.sequence(F.lit(0), F.lit(max(total - 1, 0)))).alias("block"),
-    ).where("block <> home")
-    found = home.union(searched(away)) if total > 1 else home
-    order = Window.partitionBy("t", "query_id").orderBy(F.desc("score"), "vec_id")
+    placed, levels = cells(stage(points, "points"))
+    placed = stage(placed.withColumn("block", _block("cell", "part")), "placed")
+    # One query per vector, with one result more than asked: each of its rows leaves out itself.
+    queries = placed.where("asked").select("cell", "block", "v", "dist", F.element_at("rows", 1).alias("q"))
+    home = search_blocks(placed, queries.withColumn("floor", F.lit(None).cast("long")).select("block", "q", "v", "floor"), k + 1)
+    floors = home.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("floor")).where(F.col("n") == k + 1)
+    others = away(queries.join(floors.select("q", "floor"), "q", "left"), levels)
+    found = home if others is None else home.unionByName(search_blocks(placed, others, k + 1))
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id", "t")
+    found = found.withColumn("i", F.row_number().over(order)).where(F.col("i") <= k + 1)
+    of = queries.select("q", F.col("v").alias("a"))
+    asks = rows.where("query").select(F.col("vec_id").alias("query_id"), F.col("t").alias("own"), "v")
+    asks = asks.join(of, F.col("v") == F.col("a")).select("query_id", "own", "q")
+    ranked = Window.partitionBy("own").orderBy("i")
     return (
-        found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        asks.join(found, "q").where("t <> own")
+        .withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
 

@@ -54,6 +54,35 @@ def test_top_k(spark, monkeypatch, block):
     assert covertree.digest(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("levels,share", [(8, 65536), (1, 40)])
+def test_top_k_sends_queries_where_bounds_let_them(spark, monkeypatch, levels, share):
+    """Two lengths, many cells: only a few blocks are asked; also if cells are cut by hash, parts are small."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    rows = []
+    for size, centres in ((8, rng.normal(size=(30, 8))), (6, rng.normal(size=(5, 6)))):
+        for c in centres:
+            near = (c + rng.normal(size=(60, size)) * 0.02).astype(np.float32)
+            rows += [(len(rows) + i, [float(x) for x in v], 0) for i, v in enumerate(near)]
+    rows += [(100 * (100 + i), rows[0][1], 0) for i in range(90)]  # many equal queries
+    for name, value in (("BLOCK", 64), ("LEVELS", levels), ("SHARE", share)):
+        monkeypatch.setattr(covertree, name, value)
+    sent = {}
+
+    def noted(queries, nodes, plain=covertree.away):
+        out = plain(queries, nodes)
+        sent.update(pairs=out.count(), queries=queries.count(), levels=len(nodes))
+        sent["blocks"] = sum(n.count() for n in nodes[:1])
+        return out
+
+    monkeypatch.setattr(covertree, "away", noted)
+    df = spark.createDataFrame(rows, VECTORS).repartition(3)
+    assert sorted(tuple(r) for r in covertree.digest(df).collect()) == brute(rows)
+    assert sent["queries"] < 40 and sent["levels"] >= 1  # equal queries are one
+    assert sent["pairs"] < 0.5 * sent["queries"] * sent["blocks"]
+
+
 def test_cover_tree_balls():
     import numpy as np
 
