@@ -192,16 +192,22 @@ def fact_plays(
     if dedup_sources:
         union = one_per_play(union)
     slots = track_slots(track_memberships(playlist_tracks, playlists))
-    keyed = stage(with_dimension_keys(union, tracks, artists, albums, slots), "fact")
-    numbered = number_plays(
-        keyed,
+    keyed = with_dimension_keys(union, tracks, artists, albums, slots)
+    keyed = stage(keyed.withColumn("_row", F.monotonically_increasing_id()), "fact")
+    by = list(numbering.get("by", ()))
+    # Only what numbering needs is dealt in ranges and sorted; wide rows are written once
+    # and meet their numbers by the row number written with them.
+    slim = ["_row", "play_id", "data_source", "played_at", "played_date", "track_id", "track_key", "artist_key"]
+    slim += [c for c in by if c not in slim]
+    numbers = number_plays(
+        keyed.select(*slim),
         ties=("play_id", "data_source"),
         carry=("track_key", "artist_key"),
         staged=True,
         copies="_copies",
         **numbering,
     )
-    by = list(numbering.get("by", ()))
+    numbered = keyed.join(numbers.select("_row", *(c for c in numbers.columns if c not in slim)), "_row")
     local = local_time(F.col("played_at"))
     shown = numbered.withColumns(
         {
