@@ -332,6 +332,16 @@ def test_suffixes(docs, rows, none, monkeypatch, most):
     assert suffix.digest(none).count() == 0
 
 
+def test_strings_that_differ_in_few_regular_places(spark, monkeypatch):
+    """Two bytes, 8 apart: sums and products of 8-byte words are equal for some pairs."""
+    monkeypatch.setattr(suffix, "MOST_PIECES", 2)
+    line = "The quick brown fox jumps over the lazy dog while nobody looks at it, as was said. "
+    texts = [f"{line}{chr(97 + i % 26)}bcdefgh{chr(97 + i // 26)}jklmnop{line}{line}" for i in range(26 * 26)]
+    df = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(texts)], SCHEMA)
+    want = sorted(zip(range(len(texts)), *zip(*removed_of([t.encode() for t in texts], 200))), key=repr)
+    assert by_id(suffix.digest(df)) == want
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_suffix_array_and_pieces(seed):
     import numpy as np
