@@ -7,8 +7,12 @@ features; Newton steps with a ridge solve it. The cut is a score quantile of the
 rows: the share of label 0 among them lies below it. Scores are then carried to 0..1 by a
 logistic curve that is ``LEVEL`` at the cut.
 
-The classifier is fitted on at most about ``SAMPLE_ROWS`` labelled rows drawn by hash of
-the id, in ``PAIRS`` pairs drawn from a fixed seed; every row is scored on its whole text.
+The classifier is fitted on all labelled rows, each of them in about ``MEET`` pairs. Rows of
+the more frequent label are dealt to groups by hash, ``MEET`` in a group, and rows of the
+other label to as many groups as gives each group ``MEET`` of them; all pairs in a group
+count, each with the weight that gives every row of the first kind the same. The groups are
+written once. A Newton step is one pass over them that sends back sums per task, and the cut
+is found by counting scores in ever narrower bins. Every row is scored on its whole text.
 Null and empty texts have features of zero and get a score like any other. Labels other
 than 0 and 1, and ids that are null, teach nothing; without both labels all scores are
 ``LEVEL``. Repeated rows get equal scores.
@@ -28,8 +32,9 @@ from playspan.llm.common import quoted, remainder_of_id, slices, texts_of
 from playspan.llm.words import Batch, per_text, repeated_lines
 from playspan.session import stage
 
-SAMPLE_ROWS = 20_000
-PAIRS = 40_000
+MEET = 64
+STEPS = 12
+BINS = 4096
 LEVEL = 0.3
 RIDGE = 1e-3
 
@@ -88,46 +93,143 @@ def expanded(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
     return np.concatenate([z, z * z], axis=1)
 
 
-def fit(x: np.ndarray, label: np.ndarray, pairs: int = PAIRS) -> Model:
-    """Weights from preference pairs of rows labelled 1 over rows labelled 0."""
-    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-    if not len(good) or not len(bad):
+def groups_of(rows: DataFrame, n_good: int, n_bad: int) -> DataFrame:
+    """Labelled rows (id, x, quality) by group: lists of the features of either label."""
+    most, least = max(n_good, n_bad), min(n_good, n_bad)
+    groups = -(-most // MEET)
+    copies = min(groups, -(-MEET * groups // least))
+    frequent = F.col("quality") == (1 if n_good >= n_bad else 0)
+    at = F.pmod(F.xxhash64("doc_id", "x"), F.lit(groups))
+    turns = F.sequence(F.lit(0), F.when(frequent, 0).otherwise(copies - 1))
+    dealt = rows.select("x", "quality", at.alias("at"), F.explode(turns).alias("turn"))
+    group = F.pmod(F.col("at") + F.col("turn"), F.lit(groups))
+    lists = [
+        F.array_sort(F.collect_list(F.when(F.col("quality") == q, F.col("x")))).alias(name)
+        for q, name in ((1, "good"), (0, "bad"))
+    ]
+    return dealt.groupBy(group.alias("group")).agg(*lists)
+
+
+def _sums_of_pairs(mean: np.ndarray, scale: np.ndarray, w: np.ndarray):
+    """Groups -> per task the weight, slope and curve of the logistic loss of their pairs."""
+
+    def run(batches):
+        size = len(w)
+        total, slope, curve = 0.0, np.zeros(size), np.zeros((size, size))
+        for batch in batches:
+            for pair in zip(*(batch.column(c) for c in ("good", "bad"))):
+                good, bad = (expanded(np.array(p.as_py(), float).reshape(-1, N_FEATURES), mean, scale) for p in pair)
+                if not len(good) or not len(bad):
+                    continue
+                more, less, sign = (good, bad, 1) if len(good) >= len(bad) else (bad, good, -1)
+                for a in range(0, len(more), 1024):  # copies of one row share a group
+                    some = more[a : a + 1024]
+                    p = 1 / (1 + np.exp(np.clip(sign * ((some @ w)[:, None] - (less @ w)[None, :]), -30, 30)))
+                    q = p * (1 - p)
+                    total += len(some)
+                    slope += sign * (some.T @ p.sum(axis=1) - less.T @ p.sum(axis=0)) / len(less)
+                    cross = some.T @ q @ less
+                    here = (some.T * q.sum(axis=1)) @ some + (less.T * q.sum(axis=0)) @ less
+                    curve += (here - cross - cross.T) / len(less)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([np.concatenate([[total], slope, curve.ravel()]).tolist()], pa.list_(pa.float64()))], ["sums"]
+        )
+
+    return run
+
+
+def _moments(batches):
+    """Features -> their number, sums and sums of squares per task, for ``_standard``."""
+    n, total, squares = 0, np.zeros(N_FEATURES), np.zeros(N_FEATURES)
+    for batch in batches:
+        x = np.asarray(batch.column("x").flatten()).reshape(-1, N_FEATURES)
+        n, total, squares = n + len(x), total + x.sum(axis=0), squares + (x * x).sum(axis=0)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([np.concatenate([[n], total, squares]).tolist()], pa.list_(pa.float64()))], ["sums"]
+    )
+
+
+def _summed(rows: DataFrame, sums) -> np.ndarray:
+    """Sums per task added up in one order, so that reruns agree."""
+    return np.sum(sorted(r["sums"] for r in rows.mapInArrow(sums, "sums array<double>").collect()), axis=0)
+
+
+def quantile(values: DataFrame, name: str, share: float) -> float:
+    """The quantile of a column as ``numpy.quantile`` has it, found by counts in bins."""
+    low, high, n = values.agg(F.min(name), F.max(name), F.count(name)).first()
+    place = share * (n - 1)
+    wanted = [int(np.floor(place)), int(np.ceil(place))]
+
+    def ranked(k: int, low: float, high: float, below: int) -> float:
+        """The value of rank ``k``; ``below`` values are under ``low``."""
+        while low < high:
+            inside = values.where(F.col(name).between(F.lit(low), F.lit(high)))
+            width = (high - low) / BINS
+            bin_ = F.least(F.floor((F.col(name) - F.lit(low)) / F.lit(width or 1.0)), F.lit(BINS - 1))
+            found = inside.groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min(name).alias("low"), F.max(name).alias("high"))
+            for r in sorted(found.collect(), key=lambda r: r["bin"]):
+                if k < below + r["n"]:
+                    if (low, high) == (r["low"], r["high"]):  # neighbouring numbers
+                        return low if k == below else high
+                    low, high = r["low"], r["high"]
+                    break
+                below += r["n"]
+        return low
+
+    a = ranked(wanted[0], low, high, 0)
+    b = a if wanted[0] == wanted[1] else ranked(wanted[1], low, high, 0)
+    return float(a + (b - a) * (place - wanted[0]))
+
+
+def fit(rows: DataFrame) -> Model:
+    """Weights from pairs of rows labelled 1 and 0, of all ``rows`` (doc_id, x, quality)."""
+    counts = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
+    if len(counts) < 2:
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(2 * N_FEATURES), 0.0)
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    z = expanded(x, mean, scale)
-    draw = np.random.default_rng(7)
-    d = z[draw.choice(good, pairs)] - z[draw.choice(bad, pairs)]
-    w = np.zeros(z.shape[1])
-    for _ in range(12):
-        p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))  # of preferring the other one
-        slope = d.T @ p / pairs - RIDGE * w
-        curve = (d * (p * (1 - p))[:, None]).T @ d / pairs + RIDGE * np.eye(len(w))
-        w = w + np.linalg.solve(curve, slope)
-    return Model(mean, scale, w, float(np.quantile(z @ w, len(bad) / len(label))))
-
-
-def scored(model: Model):
-    """A column function: array of features -> score from 0 to 1."""
+    sums = _summed(rows.select("x"), _moments)
+    mean = sums[1 : 1 + N_FEATURES] / sums[0]
+    scale = np.sqrt(np.maximum(sums[1 + N_FEATURES :] / sums[0] - mean**2, 0)) + 1e-6
+    groups = stage(groups_of(rows, counts[1], counts[0]), "groups")
+    size = 2 * N_FEATURES
+    w = np.zeros(size)
+    for _ in range(STEPS):
+        sums = _summed(groups, _sums_of_pairs(mean, scale, w))
+        n = max(sums[0], 1.0)
+        slope = sums[1 : 1 + size] / n - RIDGE * w
+        curve = sums[1 + size :].reshape(size, size) / n + RIDGE * np.eye(size)
+        step = np.linalg.solve(curve, slope)
+        w = w + step
+        if np.abs(step).max() < 1e-10:
+            break
+    model = Model(mean, scale, w, 0.0)
+    raw = stage(rows.select(raw_score(model)("x").alias("s")), "scores")
+    model.cut = quantile(raw, "s", counts[0] / (counts[0] + counts[1]))
+    return model
+
+
+def raw_score(model: Model):
+    """A column function: array of features -> score before the cut."""
 
     @arrow_udf("double")
     def run(column: pa.Array) -> pa.Array:
         x = np.asarray(column.flatten()).reshape(-1, N_FEATURES)
-        s = expanded(x, model.mean, model.scale) @ model.weights - model.cut
-        return pa.array(1 / (1 + np.exp(-np.clip(s + np.log(LEVEL / (1 - LEVEL)), -40, 40))))
+        return pa.array(expanded(x, model.mean, model.scale) @ model.weights)
 
     return run
 
 
-def rank(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def scored(model: Model, x: str):
+    """Score from 0 to 1 of a column of features."""
+    logit = raw_score(model)(x) - F.lit(model.cut) + F.lit(float(np.log(LEVEL / (1 - LEVEL))))
+    return 1 / (1 + F.exp(-F.greatest(F.least(logit, F.lit(40.0)), F.lit(-40.0))))
+
+
+def rank(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: id and score, learned from ``labels`` (doc_id, quality)."""
     table = stage(docs.select(quoted(doc_id).alias("doc_id"), features(quoted(text)).alias("x")), "features")
     labels = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).select("doc_id", "quality")
-    share = int(min(1.0, sample_rows / max(1, labels.count())) * (1 << 20))
-    drawn = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) <= share).limit(2 * sample_rows)
-    rows = table.join(F.broadcast(drawn), "doc_id").limit(2 * sample_rows).orderBy("doc_id", "quality").collect()
-    x = np.array([r["x"] for r in rows], float).reshape(-1, N_FEATURES)
-    model = fit(x, np.array([r["quality"] for r in rows]))
-    return table.select("doc_id", scored(model)("x").alias("score"))
+    rows = stage(table.join(labels, "doc_id").select("doc_id", "x", "quality"), "labelled")
+    return table.select("doc_id", scored(fit(rows), "x").alias("score"))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -220,6 +220,23 @@ def test_ranking(spark, docs, none):
     assert {round(r.score, 9) for r in unlabelled} == {0.3}
 
 
+def test_every_labelled_row_teaches(spark):
+    import numpy as np
+
+    n, rng = 50_000, np.random.default_rng(2)
+    labelled = spark.range(n).selectExpr(
+        "id AS doc_id", f"transform(sequence(1, {ranking.N_FEATURES}), i -> double(id * i % 101)) AS x", "int(id % 5 > 0) AS quality"
+    )
+    sizes = ranking.groups_of(labelled, 40_000, 10_000).selectExpr("size(good) AS good", "size(bad) AS bad").toPandas()
+    assert sizes.good.sum() == 40_000 and sizes.bad.sum() >= 40_000
+    assert sizes.good.max() < 4 * ranking.MEET and sizes.bad.max() < 4 * ranking.MEET
+    assert set(ranking.groups_of(labelled.where("doc_id < 10"), 8, 2).select("good", "bad").first()[1][0]) <= set(range(101))
+    for values in (rng.normal(size=9_000), np.repeat([1.0, 2.0], [10, 30]), np.array([3.0])):
+        df = spark.createDataFrame([(float(v),) for v in values], "s double")
+        for share in (0.0, 0.137, 0.25, 0.5, 1.0):
+            assert ranking.quantile(df, "s", share) == pytest.approx(np.quantile(values, share), abs=1e-12)
+
+
 # ---------------------------------------------------------------- near-duplicates
 
 
