@@ -235,3 +235,14 @@ def test_values_that_break_checks_are_counted(spark):
         "play_id string, track_key long, duration_ms int",
     )
     assert sorted(r.play_id for r in checks.out_of_bounds(fact).collect()) == ["a", "c"]
+
+
+def test_track_report_needs_no_numbered_plays(spark, small_dir):
+    import __spark_entry__ as entry_points
+    from catalog import inputs
+
+    inputs.forget()
+    found = entry_points.queries()["top_tracks_daily"](spark, small_dir)
+    m = inputs.models(spark, small_dir)
+    assert "fct_history" not in m._made
+    assert sorted(found.collect(), key=repr) == sorted(reports.top_tracks_daily(m.fct_history, m.dim_tracks).collect(), key=repr)
