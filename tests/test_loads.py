@@ -280,3 +280,21 @@ def test_long_numbers_of_exports(spark, tmp_path):
     write(tmp_path / "Streaming_History_Audio_1.json", json.dumps([item]))
     (row,) = landing.read_history(spark, str(tmp_path), loaded_at=stamp()).collect()
     assert row.offline_timestamp == 12345678901234567
+
+
+def test_many_buckets_are_listed_by_few_tasks(spark, tmp_path):
+    base = str(tmp_path / "t")
+    rows = spark.range(2000).selectExpr("id", "1 AS v", "current_timestamp() AS loaded_at")
+    tables.upsert_version(spark, rows, base, ["id"], rows_per_bucket=1)
+    tables.upsert_version(spark, rows, base, ["id"], rows_per_bucket=5)
+    assert len({r["bucket"] for r in tables.manifest(spark, base) if r["version"] == 1}) > 100
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        found = tables.read_current(spark, base)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+    assert tasks and max(tasks) <= 64
+    assert found.count() == 2000
