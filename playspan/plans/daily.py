@@ -24,6 +24,11 @@ PLAYS = (
     " most_popular int, explicit boolean"
 )
 SESSIONS = "played_date date, session_number long, songs long, ms long, start timestamp, end timestamp, hundredths long"
+# Plays of one time are in one session in whatever order, so ids need not be carried along.
+ORDERED = ("played_at", "played_date", "track_id", "duration_ms")
+NEEDED = (
+    *ORDERED, "played_hour", "played_day_of_week", "played_day_name", "artist_id", "track_popularity", "explicit",
+)
 
 
 def touched_days(new_plays: DataFrame, ids_before: DataFrame, ids_after: DataFrame, history: DataFrame) -> DataFrame:
@@ -51,7 +56,8 @@ def refresh(plays: DataFrame, root: str, days: DataFrame | None = None) -> None:
             of_day = F.col("played_date").isin([d for d in touched if d is not None])
             plays = plays.filter(of_day | F.col("played_date").isNull() if None in touched else of_day)
             emptied = spark.createDataFrame([(d,) for d in touched], "played_date date")
-        plays = stage(plays, "plays")
+        # Only what is reduced is written, and only what sessions need is dealt in ranges.
+        plays = stage(plays.select(*NEEDED), "plays")
         local = local_time(F.col("played_at"))
         reduced = (
             plays.withColumns({"played_hour_utc": F.col("played_hour"), "played_hour_cst": F.hour(local).cast("long")})
@@ -62,7 +68,7 @@ def refresh(plays: DataFrame, root: str, days: DataFrame | None = None) -> None:
                 F.max("track_popularity").alias("most_popular"), F.max("explicit").alias("explicit"),
             )
         )
-        numbered = number_plays(plays, ties=("play_id", "data_source"), staged=True)
+        numbered = number_plays(plays.select(*ORDERED), ties=("track_id", "duration_ms"), staged=True)
         for name, rows, schema in (("plays", reduced, PLAYS), ("sessions", reports.session_totals(numbered), SESSIONS)):
             if days is not None:
                 rows = rows.unionByName(emptied, allowMissingColumns=True)

@@ -102,3 +102,28 @@ def test_days_are_refreshed(spark, tmp_path):
     assert rows(daily.patterns(root, tracks, artists)) == rows(reports.listening_patterns_hourly(fact))
     assert rows(daily.sessions(spark, root)) == rows(reports.consecutive_listening_daily(fact))
     assert not [r for r in daily.sessions(spark, root).collect() if str(r.played_date) == "2024-01-02"]
+
+
+def test_sessions_are_numbered_on_slim_rows(spark, tmp_path, monkeypatch):
+    dealt, number = [], daily.number_plays
+
+    def number_plays(plays, **options):
+        dealt.append(set(plays.columns))
+        return number(plays, **options)
+
+    monkeypatch.setattr(daily, "number_plays", number_plays)
+    raw = spark.range(3).selectExpr(
+        "timestamp_seconds(1704067200 + id * 600) AS played_at", "'t1' AS track_id", "'T' AS track_name", "'a' AS artist_id",
+        "'A' AS artist_name", "'l' AS album_id", "'L' AS album_name", "'2001-01-01' AS album_release_date",
+        "60000 AS duration_ms", "5 AS popularity", "true AS explicit", "'u' AS track_uri", "current_timestamp() AS loaded_at",
+    )
+    plays = staging.plays(raw)
+    exported = plays.limit(0).selectExpr(
+        "played_at AS ts", "'' AS platform", "duration_ms AS ms_played", "'' AS conn_country", "'' AS master_metadata_track_name",
+        "'' AS master_metadata_album_artist_name", "'' AS master_metadata_album_album_name", "track_uri AS spotify_track_uri",
+        "'' AS reason_start", "'' AS reason_end", "true AS shuffle", "true AS skipped", "true AS offline", "'' AS offline_timestamp",
+        "true AS incognito_mode", "loaded_at",
+    )
+    daily.refresh(star.all_plays(plays, staging.history(exported, raw)), str(tmp_path / "d"))
+    assert daily.sessions(spark, str(tmp_path / "d")).first()["max_consecutive_songs"] == 3
+    assert dealt == [{"played_at", "played_date", "track_id", "duration_ms"}]
