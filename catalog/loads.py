@@ -160,22 +160,22 @@ def repeat_runs_late(spark, folder):
     return _with_late_events(spark, folder, "runs").select("event_id", "is_repeat", "repeat_sequence")
 
 
-def _refreshed(spark, folder) -> str:
-    """What is kept for daily reports: of all plays but those of some hours, then the days of
-    the late ones refreshed. Made once per session and folder."""
-    key = (spark.sparkContext.applicationId, folder)
+def _refreshed(spark, folder, name="plays") -> str:
+    """What is kept for daily reports (``plays`` or ``sessions``): of all plays but those of some
+    hours, then the days of the late ones refreshed. Made once per session and folder."""
+    key = (spark.sparkContext.applicationId, folder, name)
     if key not in _kept:
         m, root = models(spark, folder), scratch_path(spark, "daily")
         is_late = (F.dayofmonth("played_at") % 5 == 2) & (F.hour("played_at") < 8)
         early, new = m.raw_plays.filter(~is_late), m.raw_plays.filter(is_late)
-        daily.refresh(star.all_plays(staging.plays(early), staging.history(m.raw_history, early)), root)
+        daily.refresh(star.all_plays(staging.plays(early), staging.history(m.raw_history, early)), root, kept=(name,))
         days = daily.touched_days(new, staging.known_ids(early), staging.known_ids(m.raw_plays), m.stg_history)
-        daily.refresh(star.all_plays(m.stg_plays, m.stg_history), root, days)
+        daily.refresh(star.all_plays(m.stg_plays, m.stg_history), root, days, (name,))
         _kept[key] = root
     return _kept[key]
 
 
-_kept: dict[tuple[str, str], str] = {}
+_kept: dict[tuple[str, str, str], str] = {}
 
 
 @query
@@ -198,4 +198,4 @@ def refreshed_patterns(spark, folder):
 
 @query
 def refreshed_sessions(spark, folder):
-    return daily.sessions(spark, _refreshed(spark, folder))
+    return daily.sessions(spark, _refreshed(spark, folder, "sessions"))

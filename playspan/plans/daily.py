@@ -41,11 +41,11 @@ def touched_days(new_plays: DataFrame, ids_before: DataFrame, ids_after: DataFra
     return days.union(new_plays.select(F.to_date("played_at"))).distinct()
 
 
-def refresh(plays: DataFrame, root: str, days: DataFrame | None = None) -> None:
+def refresh(plays: DataFrame, root: str, days: DataFrame | None = None, kept: tuple[str, ...] = ("plays", "sessions")) -> None:
     """Reduce the plays of ``days`` (all, if None) and replace what is kept of these days.
 
     ``plays`` are those of both sources (``star.all_plays``). A day without plays any more is
-    kept as empty.
+    kept as empty. ``kept`` limits it to the reduced rows that the wanted reports read.
     """
     spark = plays.sparkSession
     with scratch_scope(spark, "refresh"):
@@ -68,8 +68,11 @@ def refresh(plays: DataFrame, root: str, days: DataFrame | None = None) -> None:
                 F.max("track_popularity").alias("most_popular"), F.max("explicit").alias("explicit"),
             )
         )
-        numbered = number_plays(plays.select(*ORDERED), ties=("track_id", "duration_ms"), staged=True)
-        for name, rows, schema in (("plays", reduced, PLAYS), ("sessions", reports.session_totals(numbered), SESSIONS)):
+        written = [("plays", reduced, PLAYS)] if "plays" in kept else []
+        if "sessions" in kept:
+            numbered = number_plays(plays.select(*ORDERED), ties=("track_id", "duration_ms"), staged=True)
+            written.append(("sessions", reports.session_totals(numbered), SESSIONS))
+        for name, rows, schema in written:
             if days is not None:
                 rows = rows.unionByName(emptied, allowMissingColumns=True)
             (

@@ -127,3 +127,6 @@ def test_sessions_are_numbered_on_slim_rows(spark, tmp_path, monkeypatch):
     daily.refresh(star.all_plays(plays, staging.history(exported, raw)), str(tmp_path / "d"))
     assert daily.sessions(spark, str(tmp_path / "d")).first()["max_consecutive_songs"] == 3
     assert dealt == [{"played_at", "played_date", "track_id", "duration_ms"}]
+    dealt.clear()
+    daily.refresh(star.all_plays(plays, staging.history(exported, raw)), str(tmp_path / "e"), kept=("plays",))
+    assert not dealt and not (tmp_path / "e" / "sessions").exists()
