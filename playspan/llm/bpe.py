@@ -8,7 +8,8 @@ take the same merges off a heap, since repeated scans would be quadratic. Words
 are kept per Python worker, twice ``kept`` at most: more memory means fewer merges done
 again, and nothing else. A blank between two other characters
 always begins a word of the pattern, so a text is looked up blank by blank first, and the
-pattern is only run on what was not met yet.
+pattern is only run on what was not met yet. Ids are decoded once per such chunk too: the
+bytes of a text are those of its ids one after another, and become characters as a whole.
 
 Null and empty texts have no tokens and decode to an empty text. Whole texts are encoded,
 whatever their length; rows and other columns are passed through.
@@ -30,7 +31,8 @@ from playspan.llm.common import free_name, kept_in_worker, quoted
 #: Fixed value: the word pattern of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SHORT = 128
-KEPT = 200_000
+KEPT = 800_000
+LATIN, MARKS = "\u024f", "!\"#$%&()*+,-./:;<=>?@[]^_{|}~"  # the apostrophe can begin an ending
 
 
 @lru_cache(maxsize=None)
@@ -66,8 +68,12 @@ class Encoder:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.ids = {raw(t): i for t, i in spec["model"]["vocab"].items() if t not in special}
         pairs = (m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"])
-        self.ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
-        self.first = {a + b: i for (a, b), i in self.ranks.items() if len(a) == len(b) == 1}
+        self.bytes = {b: self.ids[bytes([b])] for b in range(256) if bytes([b]) in self.ids}
+        self.ranks, self.made = {}, []  # two ids in one number to their rank, rank to id
+        for a, b in pairs:
+            a, b = raw(a), raw(b)
+            self.ranks[self.ids[a] << 32 | self.ids[b]] = len(self.made)
+            self.made.append(self.ids[a + b])
         tokens = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in special.items()}
         self.special = special
         self.decoded = {b"%d" % i: t for i, t in tokens.items()}
@@ -77,53 +83,52 @@ class Encoder:
         self.blanks = regex.compile(r"\s | \s|^ | $").search
         self.met, self.old = {}, {}  # words to their ids as decimals, a comma after each
         self.chunks, self.old_chunks = {}, {}  # the same for what stands from blank to blank
+        self.backs, self.old_backs = {}, {}  # and the bytes that those ids stand for
 
     def merged(self, word: bytes) -> list[int]:
         return self._scan(word) if len(word) <= SHORT else self._heap(word)
 
     def _scan(self, word: bytes) -> list[int]:
-        rank, none = self.ranks.get, len(self.ranks)
-        cuts = list(range(len(word) + 1))
-        first = self.first.get
-        ranks = [first(word[i : i + 2], none) for i in range(len(word) - 1)]
+        rank, made, none = self.ranks.get, self.made, len(self.made)
+        parts = [self.bytes[b] for b in word]
+        ranks = [rank(a << 32 | b, none) for a, b in zip(parts, parts[1:])]
         while ranks:
             least = min(ranks)
             if least == none:
                 break
             i = ranks.index(least)
-            del cuts[i + 1], ranks[i]
-            part = word[cuts[i] : cuts[i + 1]]
+            del parts[i], ranks[i]
+            parts[i] = part = made[least]
             if i < len(ranks):
-                ranks[i] = rank((part, word[cuts[i + 1] : cuts[i + 2]]), none)
+                ranks[i] = rank(part << 32 | parts[i + 1], none)
             if i:
-                ranks[i - 1] = rank((word[cuts[i - 1] : cuts[i]], part), none)
-        return [self.ids[word[a:b]] for a, b in zip(cuts, cuts[1:])]
+                ranks[i - 1] = rank(parts[i - 1] << 32 | part, none)
+        return parts
 
     def _heap(self, word: bytes) -> list[int]:
         rank, n = self.ranks.get, len(word)
-        after, before, ends = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-        alive = [True] * n
+        parts = [self.bytes[b] for b in word]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = []
 
         def offer(i: int) -> None:
             j = after[i]
-            if j < n and (r := rank((word[i : ends[i]], word[j : ends[j]]))) is not None:
-                heapq.heappush(heap, (r, i, ends[i], ends[j]))
+            if j < n and (r := rank(parts[i] << 32 | parts[j])) is not None:
+                heapq.heappush(heap, (r, i, parts[i], parts[j]))
 
         for i in range(n - 1):
             offer(i)
         while heap:
-            _, i, middle, end = heapq.heappop(heap)
-            if not alive[i] or ends[i] != middle or after[i] >= n or ends[after[i]] != end:
+            r, i, left, right = heapq.heappop(heap)
+            if parts[i] != left or (j := after[i]) >= n or parts[j] != right:
                 continue
-            j = after[i]
-            alive[j], ends[i], after[i] = False, end, after[j]
+            parts[i], parts[j], after[i] = self.made[r], -1, after[j]
             if after[i] < n:
                 before[after[i]] = i
             offer(i)
             if before[i] >= 0:
                 offer(before[i])
-        return [self.ids[word[i : ends[i]]] for i in range(n) if alive[i]]
+        return [part for part in parts if part >= 0]
 
     def of_word(self, word: str) -> bytes:
         """The ids as decimal text, a comma after each."""
@@ -140,29 +145,60 @@ class Encoder:
         return b"".join([met.get(word) or self.of_word(word) for word in self.split(text)])
 
     def of_chunk(self, chunk: str) -> bytes:
-        out = self.old_chunks.get(chunk) or self.of_words(chunk)
-        if len(chunk) <= SHORT:
-            if 3 * len(self.chunks) >= self.kept:
-                self.chunks, self.old_chunks = {}, self.chunks
-            self.chunks[chunk] = out
+        # Latin letters after at most one blank are a word of the pattern, and so are marks after them.
+        letters = chunk.rstrip(MARKS)
+        if not letters.removeprefix(" ").isalpha() or max(letters) > LATIN:
+            return self.of_words(chunk)
+        found = self.met.get(letters) or self.of_word(letters)
+        if len(letters) < len(chunk):
+            marks = chunk[len(letters):]
+            found += self.met.get(marks) or self.of_word(marks)
+        return found
+
+    def of_chunks(self, chunks: list[str]) -> tuple[bytes, bytes]:
+        """The ids of chunks that stand one after another, and the bytes they stand for."""
+        known, backs = self.chunks, self.backs
+        missing = set(chunks).difference(known)
+        for c in missing:
+            if c in self.old_chunks:
+                known[c], backs[c] = self.old_chunks[c], self.old_backs[c]
+            else:
+                known[c] = found = self.of_chunk(c)
+                backs[c] = self.raw(found)
+        out = b"".join(map(known.__getitem__, chunks)), b"".join(map(backs.__getitem__, chunks))
+        for c in missing:
+            if len(c) > SHORT:
+                del known[c], backs[c]
+        if 3 * len(known) >= self.kept:
+            self.chunks, self.old_chunks = {}, known
+            self.backs, self.old_backs = {}, backs
         return out
 
-    def encode(self, text: str) -> bytes:
-        """All ids of a text as decimals, each followed by a comma."""
-        ids = []
+    def of_text(self, text: str) -> tuple[bytes, bytes]:
+        """All ids of a text as decimals, each followed by a comma, and the bytes they stand for."""
+        out = []
         for piece in self.cut(text) if self.cut else [text]:
             if piece in self.special:
-                ids.append(b"%d," % self.special[piece])
+                ids = b"%d," % self.special[piece]
+                out.append((ids, self.raw(ids)))
             elif "\0" in piece or not piece or self.blanks(piece):
-                ids.append(self.of_words(piece))
+                ids = self.of_words(piece)
+                out.append((ids, self.raw(ids)))
             else:
-                known = self.chunks
-                ids += [known.get(c) or self.of_chunk(c) for c in piece.replace(" ", "\0 ").split("\0")]
-        return b"".join(ids)
+                out.append(self.of_chunks(piece.replace(" ", "\0 ").split("\0")))
+        return out[0] if len(out) == 1 else (b"".join([ids for ids, _ in out]), b"".join([back for _, back in out]))
+
+    def encode(self, text: str) -> bytes:
+        """All ids of a text as decimals, each followed by a comma."""
+        return self.of_text(text)[0]
+
+    def raw(self, ids: bytes) -> bytes:
+        """The bytes that ids stand for, given as ``encode`` returns them."""
+        return b"".join(map(self.decoded.__getitem__, ids[:-1].split(b","))) if ids else b""
 
     def decode(self, ids: bytes) -> str:
         """The text of ids given as ``encode`` returns them."""
-        return b"".join(map(self.decoded.__getitem__, ids[:-1].split(b","))).decode("utf-8", "replace") if ids else ""
+        return self.raw(ids).decode("utf-8", "replace")
 
 
 def encoder(vocabulary: str, key: str, kept: int) -> Encoder:
@@ -181,11 +217,10 @@ def encoded(vocabulary: str | None = None, with_ids: bool = False, kept: int = K
         use = encoder(sent.value, key, kept)
         n, ids_sha, decoded_sha, ids = [], [], [], []
         for text in column:
-            found = use.encode(text.as_py() or "")
-            back = use.decode(found)
+            found, back = use.of_text(text.as_py() or "")
             n.append(found.count(b","))
             ids_sha.append(hashlib.sha256(found[:-1]).hexdigest())
-            decoded_sha.append(hashlib.sha256(back.encode("utf-8")).hexdigest())
+            decoded_sha.append(hashlib.sha256(back.decode("utf-8", "replace").encode("utf-8")).hexdigest())
             if with_ids:
                 ids.append([int(x) for x in found[:-1].split(b",")] if found else [])
         out = [pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]

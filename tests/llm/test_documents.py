@@ -478,6 +478,18 @@ def test_bpe_words(library):
         assert use._scan(raw) == use._heap(raw)
 
 
+def test_bpe_chunks_met_before(library, monkeypatch):
+    text = "the naïve, cat's (end). ɐb x-y Straße!! 9% the'll " * 40 + "q" * 300 + " the"
+    want = library.encode(text, add_special_tokens=False).ids
+    for kept in (3, 30, bpe.KEPT):  # caches that are full after some chunks, and ones that never are
+        use, decoded = bpe.Encoder(bpe.read_vocabulary(bpe.default_vocabulary()), kept), []
+        monkeypatch.setattr(use, "raw", lambda ids, raw=use.raw: decoded.append(ids) or raw(ids))
+        for _ in range(3):
+            ids, back = use.of_text(text)
+            assert [int(i) for i in ids.split(b",") if i] == want and back == text.encode()
+    assert len(decoded) <= len(set(text.split(" "))) + 6  # each chunk once, long ones each time
+
+
 def test_bpe(docs, rows, none, library):
     want = []
     for r in rows:
