@@ -96,13 +96,17 @@ def repeated_events(fact: DataFrame) -> DataFrame:
 
 
 def special_checks(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Violating rows of the checks that span tables or need an order, by name."""
+    """Violating rows of the checks that span tables or need an order, by name.
+
+    The numbers of sessions are those of ``session_numbers`` if it is among the tables, and of
+    the fact otherwise.
+    """
     fact = tables["fct_history"]
     return {
         "counts_match": quality.count_differences(fact, tables["dim_artists"], "artist_key"),
         "ids_are_valid": quality.malformed_ids(tables["stg_history"]),
         "positive_play_count": without_plays(tables["top_artists_daily"]),
-        "sessions_are_sequential": quality.sequence_gaps(fact),
+        "sessions_are_sequential": quality.sequence_gaps(tables.get("session_numbers", fact)),
     }
 
 

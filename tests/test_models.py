@@ -237,6 +237,31 @@ def test_values_that_break_checks_are_counted(spark):
     assert sorted(r.play_id for r in checks.out_of_bounds(fact).collect()) == ["a", "c"]
 
 
+def test_checks_need_no_numbered_plays(spark, small_dir):
+    import __spark_entry__ as entry_points
+    from catalog import inputs
+
+    inputs.forget()
+    found = sorted(entry_points.queries()["dq_report"](spark, small_dir).collect(), key=repr)
+    m = inputs.models(spark, small_dir)
+    assert "fct_history" not in m._made
+    made = {name: getattr(m, name) for name in checks.DECLARED} | {"top_artists_daily": m.top_artists_daily}
+    assert found == sorted(checks.full_report(made).collect(), key=repr)
+
+
+def test_checked_plays_and_sessions_are_those_of_the_fact(spark):
+    plays = [(at(0), "A", 40000, LOADED), (at(1), "B", 50000, LOADED), (at(90), "A", 40000, LOADED), (at(90), "B", 40000, LOADED)]
+    made = Star(spark, plays)
+    found = star.checked_plays(made.plays, made.history, made.tracks, made.dim_artists, made.albums)
+    assert sorted(found.collect(), key=repr) == sorted(made.fact.select(*found.columns).collect(), key=repr)
+    plain = made.plays.unionByName(made.plays.limit(2).withColumn("played_at", F.lit(None).cast("timestamp")), True)
+    plain = plain.withColumn("played_date", F.to_date("played_at")).localCheckpoint()
+    keys = (made.tracks, made.dim_artists, made.albums, made.playlists, made.entries)
+    numbers = star.session_numbers(plain, made.history, ranges=3)
+    fact = star.fact_plays(plain, made.history, *keys)
+    assert sorted(numbers.collect()) == sorted(fact.select("session_number").collect())
+
+
 def test_track_report_needs_no_numbered_plays(spark, small_dir):
     import __spark_entry__ as entry_points
     from catalog import inputs
