@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from playspan import fixed
 from playspan.operators.playlists import playlist_coverage
-from playspan.plans import checks, reports, staging, star
+from playspan.plans import checks, features, reports, staging, star
 from playspan.sources import schemas
 
 T0 = dt.datetime(2024, 1, 1, 10)
@@ -262,6 +262,21 @@ def test_checked_plays_and_sessions_are_those_of_the_fact(spark):
     assert sorted(numbers.collect()) == sorted(fact.select("session_number").collect())
 
 
+def test_names_of_a_track_are_written_once(spark, tmp_path):
+    from playspan.session import long_texts_once
+
+    key, before = "parquet.dictionary.page.size", spark.conf.get("parquet.dictionary.page.size", None)
+    names = spark.range(40_000).selectExpr("'A' AS track_id", "id AS playlist_id", "md5(string(id)) AS playlist_name")
+    wide = spark.range(50).selectExpr("'A' AS track_id", "0 AS playlist_count", "id").coalesce(1)
+    try:
+        long_texts_once(spark)
+        features.with_names(wide, names).write.parquet(f"{tmp_path}/wide")
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    assert spark.read.parquet(f"{tmp_path}/wide").agg(F.min(F.length("playlists_containing_track"))).first()[0] == 40_000 * 34 - 2
+    assert sum(f.stat().st_size for f in (tmp_path / "wide").iterdir()) < 3_000_000  # each text in full is 68 MB
+
+
 def test_track_report_needs_no_numbered_plays(spark, small_dir):
     import __spark_entry__ as entry_points
     from catalog import inputs
