@@ -277,6 +277,47 @@ def test_names_of_a_track_are_written_once(spark, tmp_path):
     assert sum(f.stat().st_size for f in (tmp_path / "wide").iterdir()) < 3_000_000  # each text in full is 68 MB
 
 
+def test_statistics_of_shared_texts_are_not_written(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from playspan.session import long_texts_once
+
+    keys = ("parquet.dictionary.page.size", f"parquet.column.statistics.enabled#{features.NAMES}")
+    before = {key: spark.conf.get(key, None) for key in keys}
+    wide = spark.range(20).selectExpr("'A' AS track_id", "0 AS playlist_count", "id").coalesce(1)
+    names = spark.createDataFrame([("A", 1, "x"), ("A", 2, "y")], "track_id string, playlist_id long, playlist_name string")
+    try:
+        long_texts_once(spark, features.NAMES)
+        features.with_names(wide, names).coalesce(1).write.parquet(f"{tmp_path}/wide")
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    (file,) = (f for f in (tmp_path / "wide").iterdir() if f.name.startswith("part-"))
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    found = {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
+    assert not found[features.NAMES].is_stats_set and found["id"].is_stats_set
+    assert {r[0] for r in spark.read.parquet(f"{tmp_path}/wide").select(features.NAMES).collect()} == {"x, y"}
+
+
+def test_plays_of_a_track_with_a_long_text_are_cut_into_slices(spark):
+    plays = [("A", i % 90) for i in range(100)] + [("B", 1), ("C", 2), ("D", 3), (None, 4), (None, 5)]
+    wide = spark.createDataFrame(plays, "track_id string, id long").withColumn("playlist_count", F.lit(0))
+    named = [("A", i, f"name {i % 50:03d}") for i in range(60)] + [
+        ("B", 1, "b"), ("B", 2, None), ("C", 1, None), (None, 1, "lost"), ("E", 1, "unplayed"),
+    ]
+    names = spark.createDataFrame(named, "track_id string, playlist_id long, playlist_name string")
+    text = ", ".join(f"name {i:03d}" for i in range(50))
+    want = sorted(((t, i, {"A": text, "B": "b"}.get(t)) for t, i in plays), key=repr)
+    for counted in (None, wide):
+        whole = features.with_names(wide, names, counted)
+        cut = features.with_names(wide, names, counted, slice_bytes=20_000)
+        assert whole.columns == cut.columns == ["track_id", "id", features.NAMES, "playlist_count"]
+        for found in (whole, cut):
+            assert sorted(((r.track_id, r.id, r[features.NAMES]) for r in found.collect()), key=repr) == want
+        per_task = cut.filter("track_id = 'A'").groupBy(F.spark_partition_id()).count().collect()
+        assert len(per_task) > 1 and max(r["count"] for r in per_task) < 100
+
+
 def test_track_report_needs_no_numbered_plays(spark, small_dir):
     import __spark_entry__ as entry_points
     from catalog import inputs
